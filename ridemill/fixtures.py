@@ -17,6 +17,8 @@ LAST_DAY = "2024-01-30"
 # The weekly ranking looks six days further than the last trip.
 LAST_CALCULATION_DAY = "2024-02-05"
 AS_OF = "2024-01-25"
+# Late enough that no trip is in the future, early enough that none is too old.
+AFTER_LAST = "2024-01-31"
 RUN_ID = "run_20240112"
 BATCH_ID = "wap_batch"
 
@@ -117,6 +119,16 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.when(F.col("event_type") == "error", broken).otherwise(line).alias("value"))
 
 
+def land_csv(spark: SparkSession, sf_dir: str, folder: str, files: int = 8) -> None:
+    """The CSV lines as that many files, each with a header.
+
+    One unquoted column named like the header makes Spark write both as they are.
+    """
+    header = ",".join(S.RAW_TRIPS.names)
+    lines = csv_lines(spark, sf_dir).withColumnRenamed("value", header)
+    lines.repartition(files).write.options(header="true", sep="\u0001", quote="").csv(folder)
+
+
 def _silver(events: DataFrame) -> DataFrame:
     return events.select(
         F.concat(F.lit("T"), F.col("event_id").cast("string")).alias("trip_id"),

@@ -63,6 +63,30 @@ _SUBQUERIES = {
                CASE WHEN n % 7 <> 0 THEN coalesce(end_time, start_time) + to_minutes(CAST(n % 5 - 2 AS BIGINT)) END AS end_time,
                distance_km + 1 AS distance_km, '{X.BATCH_ID}' AS sfn_execution_id
         FROM (SELECT *, CAST(substr(trip_id, 2) AS BIGINT) AS n FROM trips)""",
+    "enriched_again": """
+        SELECT t.*, v.vehicle_type, v.capacity, CAST(t.start_time AS DATE) AS trip_date,
+               datesub('microsecond', t.start_time, t.end_time) AS us,
+               datesub('minute', t.start_time, t.end_time) AS minutes
+        FROM redelivered t JOIN vehicles v USING (vehicle_id)""",
+    "accepted_a": """
+        SELECT * REPLACE ('run_a' AS sfn_execution_id) FROM trips
+        WHERE route_id IN (SELECT route_id FROM routes) AND vehicle_id IN (SELECT vehicle_id FROM vehicles)""",
+    "accepted_b": """
+        SELECT * REPLACE ('run_b' AS sfn_execution_id) FROM redelivered
+        WHERE route_id IN (SELECT route_id FROM routes) AND vehicle_id IN (SELECT vehicle_id FROM vehicles)""",
+    "lines": f"""
+        SELECT 'T' || event_id AS trip_id, 'R' || lpad(CAST(user_id % 27 AS VARCHAR), 3, '0') AS route_id,
+               'V' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS vehicle_id, {_STATUS} AS status,
+               ts AS start_time, {_END} AS end_time, value / 4 AS distance_km, event_type = 'error' AS is_corrupt
+        FROM events""",
+    "judged_lines": f"""
+        SELECT *, CASE
+            WHEN is_corrupt THEN '{S.REASON_CORRUPT}'
+            WHEN start_time > TIMESTAMP '{X.AS_OF}' + INTERVAL 1 DAY THEN '{S.REASON_TEMPORAL}'
+            WHEN route_id NOT IN (SELECT route_id FROM routes) THEN '{S.REASON_ROUTE}'
+            WHEN vehicle_id NOT IN (SELECT vehicle_id FROM vehicles) THEN '{S.REASON_VEHICLE}'
+            END AS quarantine_reason
+        FROM lines""",
     "deliveries": """
         SELECT * FROM trips
         UNION ALL BY NAME SELECT * REPLACE (distance_km * 2 AS distance_km) FROM trips
@@ -72,6 +96,10 @@ _NEEDS = {
     "enriched": ("trips", "vehicles"),
     "judged": ("raw", "routes", "vehicles"),
     "redelivered": ("trips",),
+    "enriched_again": ("redelivered", "vehicles"),
+    "accepted_a": ("trips", "routes", "vehicles"),
+    "accepted_b": ("redelivered", "routes", "vehicles"),
+    "judged_lines": ("lines", "routes", "vehicles"),
     "deliveries": ("trips", "redelivered"),
 }
 
@@ -100,21 +128,25 @@ _IN_RANGE = f"trip_date BETWEEN DATE '{X.FIRST_DAY}' AND DATE '{X.LAST_DAY}'"
 _GROUP = "trip_date, route_id, vehicle_type"
 
 
-def _daily(mean: str, longest: str) -> str:
+def _daily(mean: str, longest: str, enriched: str = "enriched", hours: str = "hours", dates: str = _IN_RANGE) -> str:
     return f"""
         SELECT {_GROUP}, count(*) AS total_trips, count(DISTINCT vehicle_id) AS unique_vehicles,
                avg(capacity) AS avg_capacity, {mean} AS avg_duration_minutes, {longest} AS max_duration_minutes,
                {_DONE} AS trips_completed, {_RUNNING} AS trips_in_progress,
-               (SELECT CAST(h.hr AS INTEGER) FROM hours h
+               (SELECT CAST(h.hr AS INTEGER) FROM {hours} h
                 WHERE h.trip_date = e.trip_date AND h.route_id = e.route_id AND h.vehicle_type = e.vehicle_type
                   AND h.place = 1) AS peak_hour
-        FROM enriched e WHERE {_IN_RANGE} GROUP BY {_GROUP}"""
+        FROM {enriched} e WHERE {dates} GROUP BY {_GROUP}"""
 
 
-_HOURS = f"""hours AS (
+def _hours(enriched: str = "enriched", name: str = "hours", dates: str = _IN_RANGE) -> str:
+    return f"""{name} AS (
         SELECT {_GROUP}, hour(start_time) AS hr, count(*) AS n,
                row_number() OVER (PARTITION BY {_GROUP} ORDER BY count(*) DESC, hour(start_time)) AS place
-        FROM enriched WHERE {_IN_RANGE} GROUP BY {_GROUP}, hour(start_time))"""
+        FROM {enriched} WHERE {dates} GROUP BY {_GROUP}, hour(start_time))"""
+
+
+_HOURS = _hours()
 _DAILY = _daily(_MEAN, "max(us) / 6e7")
 
 _CALENDAR = f"""calendar AS (
@@ -186,6 +218,9 @@ def oracle_sql() -> dict[str, str]:
     on_day = f"trip_date = DATE '{X.AS_OF}'"
     kept = f"{enriched}, {_STATS}, {_scored(_IN_RANGE)}"
     rows = "trip_id, route_id, vehicle_id, status, start_time, end_time, distance_km, sfn_execution_id"
+    runs = _using("accepted_a", "accepted_b")
+    in_week = f"trip_date BETWEEN DATE '{X.AS_OF}' - 6 AND DATE '{X.AS_OF}'"
+    again = _daily(_MEAN, "max(us) / 6e7", "enriched_again", "hours_again", in_week)
     return {
         "daily_ridership": f"{enriched}, {_HOURS} {_DAILY}",
         "daily_ridership_minutes": f"{enriched}, {_HOURS} {_daily('avg(minutes)', 'CAST(max(minutes) AS DOUBLE)')}",
@@ -243,5 +278,25 @@ def oracle_sql() -> dict[str, str]:
         "batch_metrics": f"""{judged} SELECT count(*) AS clean_count,
             strftime(min(start_time), '%Y-%m-%d') AS start_date, strftime(max(start_time), '%Y-%m-%d') AS end_date
             FROM judged WHERE quarantine_reason IS NULL""",
+        "csv_scan": f"""{_using('judged_lines')}
+            SELECT trip_id, quarantine_reason, is_corrupt FROM judged_lines""",
+        "quarantine_roundtrip": f"""{judged}
+            SELECT CASE WHEN NOT corrupt THEN trip_id
+                        WHEN event_id % 97 = 0 THEN '  ' ELSE ' T' || event_id || ' ' END AS trip_id,
+                   note, quarantine_reason, CASE WHEN corrupt THEN event_id || ';' || note END AS _corrupt_record
+            FROM judged WHERE quarantine_reason IS NOT NULL""",
+        "run_metadata": f"""{judged} SELECT '{X.BATCH_ID}' AS sfn_execution_id,
+            strftime(min(start_time), '%Y-%m-%d') AS start_date, strftime(max(start_time), '%Y-%m-%d') AS end_date
+            FROM judged WHERE quarantine_reason IS NULL""",
+        "branch_read": f"{runs} {_merged(_STRICT, 'accepted_a', 'accepted_b')}",
+        "branch_publish": f"{runs} SELECT * FROM accepted_a UNION ALL BY NAME SELECT * FROM accepted_b",
+        "gold_replace": f"""{_using('enriched', 'enriched_again')}, {_HOURS},
+            {_hours('enriched_again', 'hours_again', in_week)},
+            daily AS ({_DAILY}), daily_again AS ({again})
+            SELECT * FROM daily WHERE NOT ({in_week}) UNION ALL BY NAME SELECT * FROM daily_again""",
+        "stream_batches": f"""{_using('judged_lines')}
+            SELECT trip_id, route_id, vehicle_id, status, start_time, end_time, distance_km,
+                   TIMESTAMP '{X.AS_OF}' AS ingested_at
+            FROM judged_lines WHERE quarantine_reason IS NULL""",
         "from_csv_corrupt": f"""SELECT 'T' || event_id AS trip_id, NOT ({_LINE_OK}) AS is_corrupt FROM events""",
     }

@@ -38,8 +38,10 @@ class ParquetTripStore:
 
     def init_tables(self, like: DataFrame) -> None:
         """Create both tables, empty, with the columns of `like`, unless they exist."""
+        empty = _with_day(like).limit(0)
         for name in (ACTIVE, HISTORY):
-            _with_day(like).limit(0).write.mode("ignore").parquet(self._layout(name))
+            empty.write.mode("ignore").parquet(self._layout(name))
+            empty.write.mode("ignore").partitionBy(*PARTITIONS[name]).parquet(self._path(name, MAIN))
 
     def read(self, name: str, branch: str = MAIN) -> DataFrame:
         """The table as a branch sees it; `start_date` is kept for pruning."""
@@ -77,28 +79,30 @@ class ParquetTripStore:
     ) -> None:
         """Stage the given days of `active` with the source merged in.
 
-        Only those days are read and rewritten; they must cover the source.
+        Only those days are read and rewritten; they must cover the source.  A
+        small source leaves the target rows in the tasks that read them, already
+        apart by day, so they are only sorted; else the join has mixed the days.
         """
         target = self.read(ACTIVE).where(F.col(S.DAY_COLUMN).isin(days))
         merged = merge_trips(target, source.select(*target.columns), null_end, source_fits_broadcast)
-        self._write(_shaped(merged, ACTIVE), ACTIVE, self._path(ACTIVE, branch, staged=True), "static")
+        shaped = _sorted(merged, ACTIVE) if source_fits_broadcast else _shaped(merged, ACTIVE)
+        self._write(shaped, ACTIVE, self._path(ACTIVE, branch, staged=True), "static")
 
     def publish(self, branch: str) -> None:
-        """Copy the branch's partitions to main.
+        """Copy the branch's partitions to main, file by file and without a shuffle.
 
         Rows staged directly for `main` have no run of their own to replace, so
         their history is appended.
         """
         active = self._rows(ACTIVE, self._path(ACTIVE, branch, staged=True))
-        self._write(_shaped(active, ACTIVE), ACTIVE, self._path(ACTIVE, MAIN), "dynamic")
-        history = _shaped(self.batch_rows(branch), HISTORY)
+        self._write(_sorted(active, ACTIVE), ACTIVE, self._path(ACTIVE, MAIN), "dynamic")
         mode = "append" if branch == MAIN else "dynamic"
-        self._write(history, HISTORY, self._path(HISTORY, MAIN), mode)
+        self._write(_sorted(self.batch_rows(branch), HISTORY), HISTORY, self._path(HISTORY, MAIN), mode)
 
     def _rows(self, name: str, path: str) -> DataFrame:
         layout = self.spark.read.parquet(self._layout(name)).schema
         try:
-            # Day folders are dates by the layout, whatever type they would be inferred as.
+            # Partition values take the layout's types, not inferred ones.
             return self.spark.read.schema(layout).parquet(path).select(*layout.names)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
@@ -131,10 +135,13 @@ def _with_day(rows: DataFrame) -> DataFrame:
 
 
 def _shaped(rows: DataFrame, name: str) -> DataFrame:
-    """Rows gathered by partition and sorted for the table.
+    """Rows gathered by day and sorted for the table.
 
     The rebalance hint lets AQE split a day that holds much of the batch over
     many tasks and files, and join small ones.
     """
-    gathered = rows.hint("rebalance", F.col(S.DAY_COLUMN))
-    return gathered.sortWithinPartitions(*PARTITIONS[name], *SORT[name])
+    return _sorted(rows.hint("rebalance", F.col(S.DAY_COLUMN)), name)
+
+
+def _sorted(rows: DataFrame, name: str) -> DataFrame:
+    return rows.sortWithinPartitions(*PARTITIONS[name], *SORT[name])

@@ -46,7 +46,8 @@ class ParquetGoldSink:
 
     def read(self, table: GoldTable) -> DataFrame:
         """The table's rows; fails if nothing was ever written to it."""
-        return self.spark.read.parquet(self._main(table)).select(*table.column_names)
+        layout = self.spark.read.parquet(self._stage(table)).schema
+        return self.spark.read.schema(layout).parquet(self._main(table)).select(*table.column_names)
 
     def _move_in(self, write: GoldWrite) -> None:
         staged = self.spark.read.parquet(self._stage(write.table))

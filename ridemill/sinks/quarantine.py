@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def write_quarantine(rows: DataFrame, root: str, run_id: str, mode: str = "append") -> str:
@@ -15,5 +16,11 @@ def write_quarantine(rows: DataFrame, root: str, run_id: str, mode: str = "appen
     return folder
 
 
-def read_quarantine(spark: SparkSession, root: str, run_id: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(f"{root}/{run_id}")
+def read_quarantine(spark: SparkSession, root: str, run_id: str, schema: T.StructType) -> DataFrame:
+    """The run's rows, with the raw text of corrupt lines.
+
+    The JSON reader would take `_corrupt_record` for its own error column, so
+    that is given another name.
+    """
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_unreadable_json")
+    return reader.json(f"{root}/{run_id}")

@@ -12,8 +12,19 @@ from ridemill import operators as op
 from ridemill import schema as S
 from ridemill.functions import between_days, date_spine
 from ridemill.operators.outliers import run_scope
-from ridemill.session import checkpointed
-from ridemill.sources import parse_trip_lines
+from ridemill.plans import ParquetTripStore, run_silver
+from ridemill.plans.parquet_store import ACTIVE, HISTORY
+from ridemill.session import checkpointed, scratch_path
+from ridemill.sinks import (
+    GoldWrite,
+    ParquetGoldSink,
+    read_quarantine,
+    read_run_metadata,
+    write_quarantine,
+    write_run_metadata,
+)
+from ridemill.sources import parse_trip_lines, read_trips_csv
+from ridemill.streaming import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -194,6 +205,86 @@ def from_csv_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("trip_id", F.col(S.CORRUPT_COLUMN).isNotNull().alias("is_corrupt"))
 
 
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written CSV files, read back and validated."""
+    folder = scratch_path(spark, "landing")
+    X.land_csv(spark, sf_dir, folder)
+    dims = X.dim_routes(spark, sf_dir), X.dim_vehicles(spark, sf_dir)
+    judged = op.classify_trips(read_trips_csv(spark, folder), *dims, X.BATCH_ID, X.AS_OF)
+    return judged.select("trip_id", S.REASON_COLUMN, F.col(S.CORRUPT_COLUMN).isNotNull().alias("is_corrupt"))
+
+
+def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = op.quarantine_rows(classified(spark, sf_dir), X.AS_OF)
+    root = scratch_path(spark, "quarantine")
+    write_quarantine(bad, root, X.BATCH_ID)
+    return read_quarantine(spark, root, X.BATCH_ID, bad.schema).select(
+        "trip_id", "note", S.REASON_COLUMN, S.CORRUPT_COLUMN
+    )
+
+
+def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "metadata")
+    found = batch_metrics(spark, sf_dir).first()
+    write_run_metadata(spark, root, X.BATCH_ID, found["start_date"], found["end_date"])
+    return read_run_metadata(spark, root, X.BATCH_ID)
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> ParquetTripStore:
+    """All trips as one published run, and their redelivery as a staged one."""
+    root = scratch_path(spark, "store")
+    store = ParquetTripStore(spark, f"{root}/tables")
+    dims = X.dim_routes(spark, sf_dir), X.dim_vehicles(spark, sf_dir)
+    batches = {"run_a": X.trips(spark, sf_dir), "run_b": X.redelivered_trips(spark, sf_dir)}
+    for run_id, rows in batches.items():
+        run_silver(rows.drop(S.RUN_COLUMN), *dims, store, run_id, X.AFTER_LAST, f"{root}/bad", f"{root}/runs")
+        if run_id == "run_a":
+            store.publish(run_id)
+    return store
+
+
+def branch_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current trips as the staged run sees them."""
+    return _two_runs(spark, sf_dir).read(ACTIVE, "run_b").drop(S.DAY_COLUMN, "ingested_at")
+
+
+def branch_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history on main after the second run is published."""
+    store = _two_runs(spark, sf_dir)
+    store.publish("run_b")
+    return store.read(HISTORY).drop(S.DAY_COLUMN, "ingested_at")
+
+
+def gold_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily ridership in files, with one week replaced from the redelivered trips."""
+    sink = ParquetGoldSink(spark, scratch_path(spark, "gold"))
+    again = op.enrich_trips(X.redelivered_trips(spark, sf_dir), X.dim_vehicles(spark, sf_dir))
+    sink.replace([GoldWrite(S.GOLD_DAILY, daily_ridership(spark, sf_dir), *WHOLE)])
+    sink.replace([GoldWrite(S.GOLD_DAILY, op.daily_ridership(again, *WEEK), *WEEK)])
+    return sink.read(S.GOLD_DAILY)
+
+
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files worked off as a stream, three to a batch; the current trips it leaves."""
+    root = scratch_path(spark, "stream")
+    X.land_csv(spark, sf_dir, f"{root}/landing")
+    store = ParquetTripStore(spark, f"{root}/tables")
+    stream_silver(
+        spark,
+        f"{root}/landing",
+        f"{root}/checkpoint",
+        X.dim_routes(spark, sf_dir),
+        X.dim_vehicles(spark, sf_dir),
+        store,
+        ParquetGoldSink(spark, f"{root}/gold"),
+        f"{root}/bad",
+        f"{root}/runs",
+        as_of=X.AS_OF,
+        max_files=3,
+    ).awaitTermination()
+    return _naive(store.read(ACTIVE).drop(S.DAY_COLUMN, S.RUN_COLUMN))
+
+
 def queries() -> dict[str, Query]:
     return {
         "daily_ridership": daily_ridership,
@@ -229,4 +320,11 @@ def queries() -> dict[str, Query]:
         "worst_outliers": worst_outliers,
         "batch_metrics": batch_metrics,
         "from_csv_corrupt": from_csv_corrupt,
+        "csv_scan": csv_scan,
+        "quarantine_roundtrip": quarantine_roundtrip,
+        "run_metadata": run_metadata,
+        "branch_read": branch_read,
+        "branch_publish": branch_publish,
+        "gold_replace": gold_replace,
+        "stream_batches": stream_batches,
     }
