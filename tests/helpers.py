@@ -1,0 +1,49 @@
+from __future__ import annotations
+
+import datetime as dt
+
+ENRICHED = (
+    "trip_id string, vehicle_id string, route_id string, start_time timestamp, end_time timestamp, "
+    "distance_km double, status string, sfn_execution_id string, vehicle_type string, capacity int"
+)
+RAW = (
+    "trip_id string, vehicle_id string, route_id string, start_time string, end_time string, "
+    "distance_km double, status string, vehicle_id_raw string, note string, _corrupt_record string"
+)
+SILVER = (
+    "trip_id string, route_id string, vehicle_id string, status string, start_time timestamp, "
+    "end_time timestamp, distance_km double, ingested_at timestamp, sfn_execution_id string"
+)
+AS_OF = "2025-01-20 12:00:00"
+
+
+def at(text: str | None) -> dt.datetime | None:
+    """A UTC moment from text, as createDataFrame takes it."""
+    return None if text is None else dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc)
+
+
+def ride(trip, route, start, minutes=None, vehicle="v1", km=5.0, status="completed", run="old", kind="bus", seats=50):
+    begin = at(start)
+    end = None if minutes is None else begin + dt.timedelta(minutes=minutes)
+    return (trip, vehicle, route, begin, end, km, status, run, kind, seats)
+
+
+def raw_row(trip="T1", vehicle="v1", route="r1", start="2025-01-20 08:00:00", **other):
+    values = {
+        "end": "2025-01-20 08:30:00",
+        "km": 5.0,
+        "status": " Completed ",
+        "raw": "V1",
+        "note": "n",
+        "corrupt": None,
+        **other,
+    }
+    return (trip, vehicle, route, start, *[values[k] for k in ("end", "km", "status", "raw", "note", "corrupt")])
+
+
+def silver_row(trip, start, end, status="completed", km=5.0, run="old", route="R001", vehicle="V0001"):
+    return (trip, route, vehicle, status, at(start), at(end), km, at("2025-01-20 12:00:00"), run)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from ridemill import functions as fn
+
+
+@pytest.mark.parametrize(
+    "raw, route, vehicle",
+    [
+        ("r1", "R001", "V0001"),
+        ("R01", "R001", "V0001"),
+        ("R1234", "R123", "V1234"),
+        (" R7", "R0R7", "V00R7"),
+        ("v", "R000", "V0000"),
+        (" ", "R000", "V0000"),
+        ("", "", ""),
+        (None, None, None),
+    ],
+)
+def test_pad_id(spark, raw, route, vehicle):
+    df = spark.createDataFrame([(raw,)], "x string")
+    row = df.select(fn.pad_id(F.col("x"), "R", 3), fn.pad_id(F.col("x"), "V", 4)).first()
+    assert tuple(row) == (route, vehicle)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_durations(spark, kind):
+    df = spark.sql(
+        f"""SELECT CAST(a AS {kind}) AS start_time, CAST(b AS {kind}) AS end_time FROM VALUES
+            ('2024-01-01 00:00:59', '2024-01-01 00:02:01'),
+            ('2024-01-01 00:00:00', '2024-01-01 00:00:00.000006'),
+            ('2024-01-01 00:00:00', NULL) AS t(a, b)"""
+    )
+    rows = df.select(fn.duration_us(), fn.duration_minutes(), fn.whole_minutes()).collect()
+    assert [tuple(r) for r in rows] == [(62_000_000, 62 / 60, 1), (6, 1e-7, 0), (None, None, None)]
+
+
+def test_mean_of_parts_does_not_overflow(spark):
+    """A million trips of 290 years each would overflow a sum of microseconds."""
+    micros = 290 * 365 * 86_400 * 1_000_000 + 7
+    df = spark.range(1_000_000).select(F.lit(micros).alias("us"))
+    seconds, rest = fn.split_seconds(F.col("us"))
+    mean = fn.mean_minutes(F.sum(seconds), F.sum(rest), F.count("us"))
+    assert df.agg(mean).first()[0] == pytest.approx(micros / 6e7)
+
+
+def test_mean_of_negative_and_no_durations(spark):
+    df = spark.createDataFrame([("a", -90_000_001), ("a", 30_000_000), ("b", None)], "k string, us bigint")
+    seconds, rest = fn.split_seconds(F.col("us"))
+    mean = fn.mean_minutes(F.sum(seconds), F.sum(rest), F.count("us")).alias("m")
+    found = {r["k"]: r["m"] for r in df.groupBy("k").agg(mean).collect()}
+    assert found["a"] == pytest.approx(-60_000_001 / 2 / 6e7)
+    assert found["b"] is None
+
+
+def test_zscore_guards(spark):
+    df = spark.createDataFrame([(5.0, 3.0, 2.0), (5.0, 3.0, 0.0), (5.0, 3.0, None)], "v double, m double, s double")
+    rows = df.select(fn.zscore(F.col("v"), F.col("m"), F.col("s"))).collect()
+    assert [r[0] for r in rows] == [1.0, 0.0, 0.0]
+
+
+def test_date_spine(spark):
+    days = [r[0] for r in fn.date_spine(spark, "2024-02-27", "2024-03-02").collect()]
+    assert days == [dt.date(2024, 2, 27) + dt.timedelta(days=i) for i in range(5)]
+
+
+def test_rolling_window_expand_clips_to_range(spark):
+    df = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-31')) AS day")
+    found = fn.rolling_window_expand(df, "day", 7, "2024-01-10", "2024-01-12").collect()
+    expected = {
+        (c - dt.timedelta(days=back), c)
+        for c in (dt.date(2024, 1, d) for d in (10, 11, 12))
+        for back in range(7)
+    }
+    assert {(r["day"], r["calculation_date"]) for r in found} == expected
+    assert len(found) == len(expected)
+
+
+def test_between_days_includes_the_last_fraction_of_a_second(spark):
+    df = spark.sql(
+        "SELECT CAST(t AS timestamp) AS t FROM VALUES ('2024-01-01 00:00:00'), "
+        "('2024-01-02 23:59:59.999999'), ('2024-01-03 00:00:00'), ('2023-12-31 23:59:59.999999') AS v(t)"
+    )
+    assert df.where(fn.between_days(F.col("t"), "2024-01-01", "2024-01-02")).count() == 2

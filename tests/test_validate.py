@@ -1,0 +1,155 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ridemill import schema as S
+from ridemill.operators import (
+    classify_trips,
+    known_keys,
+    normalize_trips,
+    quarantine_rows,
+    reason_counts,
+    split_clean_bad,
+    unknown_keys,
+)
+from tests.helpers import AS_OF, RAW, raw_row
+
+
+def classify(spark, routes, vehicles, rows):
+    raw = spark.createDataFrame(rows, RAW)
+    return classify_trips(raw, routes, vehicles, "run_1", AS_OF)
+
+
+def reasons(classified):
+    return {r["note"]: r[S.REASON_COLUMN] for r in classified.collect()}
+
+
+def test_clean_row_is_normalised(spark, routes, vehicles):
+    clean, bad = split_clean_bad(classify(spark, routes, vehicles, [raw_row(" T1 ", "v001", "R01")]))
+    row = clean.first().asDict()
+    assert clean.columns == [*S.SILVER_COLUMNS, "note"]
+    assert (row["trip_id"], row["route_id"], row["vehicle_id"], row["status"]) == ("T1", "R001", "V0001", "completed")
+    assert row[S.RUN_COLUMN] == "run_1"
+    assert str(row["ingested_at"]) == AS_OF
+    assert bad.count() == 0
+
+
+def test_each_fault_has_its_reason(spark, routes, vehicles):
+    rows = [
+        raw_row(note="ok"),
+        raw_row(trip=None, note="no trip"),
+        raw_row(trip="   ", note="blank trip"),
+        raw_row(route="", note="empty route"),
+        raw_row(vehicle=None, note="no vehicle"),
+        raw_row(route=" ", note="blank route is R000"),
+        raw_row(route="r99", note="unknown route"),
+        raw_row(vehicle="v999", note="unknown vehicle"),
+        raw_row(start="2024-12-06 08:00:00", note="too old"),
+        raw_row(start="2025-01-25 08:00:00", note="future"),
+        raw_row(start="soon", note="no time"),
+        raw_row(start=None, note="null time"),
+        raw_row(end="later", note="bad end passes"),
+        raw_row(corrupt="a,b", note="corrupt"),
+    ]
+    assert reasons(classify(spark, routes, vehicles, rows)) == {
+        "ok": None,
+        "no trip": S.REASON_MISSING_KEY,
+        "blank trip": S.REASON_MISSING_KEY,
+        "empty route": S.REASON_MISSING_KEY,
+        "no vehicle": S.REASON_MISSING_KEY,
+        "blank route is R000": S.REASON_ROUTE,
+        "unknown route": S.REASON_ROUTE,
+        "unknown vehicle": S.REASON_VEHICLE,
+        "too old": S.REASON_TEMPORAL,
+        "future": S.REASON_TEMPORAL,
+        "no time": S.REASON_TEMPORAL,
+        "null time": S.REASON_TEMPORAL,
+        "bad end passes": None,
+        "corrupt": S.REASON_CORRUPT,
+    }
+
+
+def test_first_failed_check_names_the_reason(spark, routes, vehicles):
+    all_wrong = {"route": "r99", "vehicle": "v999", "start": "soon"}
+    rows = [
+        raw_row(trip=None, corrupt="x", note="corrupt", **all_wrong),
+        raw_row(trip=None, note="key", **all_wrong),
+        raw_row(note="time", **all_wrong),
+        raw_row(note="route", route="r99", vehicle="v999"),
+    ]
+    assert reasons(classify(spark, routes, vehicles, rows)) == {
+        "corrupt": S.REASON_CORRUPT,
+        "key": S.REASON_MISSING_KEY,
+        "time": S.REASON_TEMPORAL,
+        "route": S.REASON_ROUTE,
+    }
+
+
+@pytest.mark.parametrize(
+    "start, accepted",
+    [
+        ("2024-12-20 23:59:59", False),
+        ("2024-12-21 00:00:00", True),
+        ("2025-01-21 00:00:00", True),
+        ("2025-01-21 00:00:01", False),
+    ],
+)
+def test_time_bounds_are_midnights_and_inclusive(spark, routes, vehicles, start, accepted):
+    found = reasons(classify(spark, routes, vehicles, [raw_row(start=start)]))
+    assert found == {"n": None if accepted else S.REASON_TEMPORAL}
+
+
+def test_corrupt_row_keeps_raw_text_and_no_audit_values(spark, routes, vehicles):
+    rows = [raw_row(" t1 ", "v1", "r1", status=" X ", corrupt="whole,line"), raw_row(trip=None)]
+    bad = {r["_corrupt_record"]: r for r in quarantine_rows(classify(spark, routes, vehicles, rows), AS_OF).collect()}
+    kept = bad["whole,line"]
+    assert (kept["trip_id"], kept["route_id"], kept["vehicle_id"], kept["status"]) == (" t1 ", "r1", "v1", " X ")
+    assert kept["vehicle_id_raw"] == "V1" and kept[S.RUN_COLUMN] is None and kept["ingested_at"] is None
+    assert bad[None]["vehicle_id_raw"] is None and bad[None][S.RUN_COLUMN] == "run_1"
+    assert str(kept["quarantined_at"]) == AS_OF and kept["source_file"] is None
+
+
+def test_repeated_dimension_key_does_not_repeat_a_trip(spark, vehicles):
+    doubled = spark.createDataFrame([("R001",), ("R001",), (None,)], "route_id string")
+    clean, _ = split_clean_bad(classify(spark, doubled, vehicles, [raw_row()]))
+    assert clean.count() == 1
+
+
+def test_bad_numbers_and_typed_times(spark, routes, vehicles):
+    raw = spark.sql(
+        """SELECT 'T1' AS trip_id, 'v1' AS vehicle_id, 'r1' AS route_id, TIMESTAMP_NTZ '2025-01-20 08:00:00' AS start_time,
+                  CAST(NULL AS timestamp_ntz) AS end_time, 'far' AS distance_km, 'IN_PROGRESS' AS status"""
+    )
+    row = normalize_trips(raw, "r", AS_OF).first()
+    assert row["distance_km"] is None and row["status"] == "in_progress"
+    clean, _ = split_clean_bad(classify_trips(raw, routes, vehicles, "r", AS_OF))
+    assert dict(clean.dtypes)["start_time"] == "timestamp_ntz" and clean.count() == 1
+
+
+def test_semi_and_anti_are_complements(spark, routes):
+    trips = spark.createDataFrame([("a", "R001"), ("b", "R009"), ("c", None)], "trip_id string, route_id string")
+    assert [r[0] for r in known_keys(trips, routes, "route_id").select("trip_id").collect()] == ["a"]
+    assert sorted(r[0] for r in unknown_keys(trips, routes, "route_id").select("trip_id").collect()) == ["b", "c"]
+
+
+text = st.sampled_from([None, "", " ", "T1", "r1", "v1", "r99", "v999", "x"])
+moment = st.sampled_from([None, "soon", "2025-01-20 08:00:00", "2024-01-01 00:00:00", "2025-02-01 00:00:00"])
+record = st.tuples(text, text, text, moment, st.sampled_from([None, "line"]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(record, min_size=1, max_size=30))
+def test_clean_and_bad_make_up_the_raw_rows(spark, routes, vehicles, records):
+    rows = [
+        raw_row(trip, vehicle, route, start, corrupt=corrupt, note=str(i))
+        for i, (trip, vehicle, route, start, corrupt) in enumerate(records)
+    ]
+    classified = classify(spark, routes, vehicles, rows)
+    clean, bad = split_clean_bad(classified)
+    notes = [r["note"] for r in clean.collect()] + [r["note"] for r in bad.collect()]
+    assert sorted(notes, key=int) == [str(i) for i in range(len(records))]
+    counted = reason_counts(classified).agg(F.coalesce(F.sum("bad_rows"), F.lit(0))).first()[0]
+    assert counted == bad.count()
