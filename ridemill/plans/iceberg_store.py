@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import partitioning
 
 from ridemill import schema as S
 from ridemill.operators.metrics import observe_batch
@@ -32,7 +33,7 @@ class IcebergTripStore:
             if self.spark.catalog.tableExists(self.table(name)):
                 continue
             empty = like.limit(0).writeTo(self.table(name)).using("iceberg")
-            empty.tableProperty("format-version", "2").partitionedBy(F.days("start_time")).create()
+            empty.tableProperty("format-version", "2").partitionedBy(partitioning.days("start_time")).create()
             self.spark.sql(f"ALTER TABLE {self.table(name)} WRITE ORDERED BY {', '.join(SORT[name])}")
 
     def read(self, name: str, branch: str = MAIN) -> DataFrame:

@@ -1,0 +1,62 @@
+"""The calls made on Iceberg tables; no such table can be made in this environment."""
+
+from __future__ import annotations
+
+import datetime as dt
+from unittest.mock import MagicMock
+
+import pytest
+
+from ridemill.plans import IcebergTripStore
+
+
+@pytest.fixture()
+def session():
+    session = MagicMock()
+    session.catalog.tableExists.return_value = False
+    return session
+
+
+@pytest.fixture()
+def store(session):
+    return IcebergTripStore(session, "lake", "silver")
+
+
+def statements(session):
+    return [call.args[0] for call in session.sql.call_args_list]
+
+
+def test_tables_are_made_empty_partitioned_and_ordered(spark, store, session):
+    like = MagicMock()
+    store.init_tables(like)
+    like.limit.assert_called_with(0)
+    made = [call.args[0] for call in like.limit().writeTo.call_args_list]
+    assert made == ["lake.silver.silver_trips_active", "lake.silver.silver_trips_history"]
+    assert statements(session) == [
+        "ALTER TABLE lake.silver.silver_trips_active WRITE ORDERED BY trip_id",
+        "ALTER TABLE lake.silver.silver_trips_history WRITE ORDERED BY route_id, start_time",
+    ]
+
+
+def test_branch_read_and_publish(store, session):
+    store.read("active", "wap_1")
+    session.read.format.assert_called_with("iceberg")
+    session.read.format().option.assert_called_with("branch", "wap_1")
+    store.publish("main")
+    assert statements(session) == []
+    store.publish("wap_1")
+    assert [s.split("table => ")[1] for s in statements(session)] == [
+        "'silver.silver_trips_active', branch => 'main', to => 'wap_1')",
+        "'silver.silver_trips_history', branch => 'main', to => 'wap_1')",
+    ]
+
+
+def test_merge_goes_to_the_branch_with_day_bounds(spark, store, session):
+    source = MagicMock()
+    days = [dt.date(2025, 1, 3), dt.date(2025, 1, 1)]
+    store.merge_active("wap_1", source, days)
+    assert "CREATE OR REPLACE BRANCH `wap_1` RETAIN 5 DAYS" in statements(session)[0]
+    target, condition = source.drop().alias().mergeInto.call_args.args
+    assert target == "lake.silver.silver_trips_active.branch_wap_1"
+    text = str(condition)
+    assert "2025-01-01" in text and "2025-01-04" in text and "trip_id" in text
