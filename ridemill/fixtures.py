@@ -23,8 +23,17 @@ RUN_ID = "run_20240112"
 BATCH_ID = "wap_batch"
 
 
+# Given, so that no job has to read them from the files.
+LAYOUTS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(LAYOUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def dim_routes(spark: SparkSession, sf_dir: str) -> DataFrame:

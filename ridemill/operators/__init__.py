@@ -4,6 +4,7 @@ from ridemill.operators.lookup import (
     fits_broadcast,
     known_keys,
     sized,
+    unique_lookup,
     unknown_keys,
     with_dimension,
 )
@@ -47,6 +48,7 @@ __all__ = [
     "top_routes_last_week",
     "trip_outliers",
     "trip_outliers_on",
+    "unique_lookup",
     "unknown_keys",
     "weekly_rolling_counts",
     "weekly_top_routes",

@@ -11,10 +11,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridemill.session import checkpointed
+
 BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
 _ROW_OVERHEAD_BYTES = 32
 
@@ -42,6 +44,17 @@ def sized(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
+def unique_lookup(df: DataFrame, key: str, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """One row per key, the first in column order, without null keys; hinted if small.
+
+    A large lookup is written once, so that joins read it by a plain shuffle.
+    """
+    window = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in df.columns])
+    numbered = df.where(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(window))
+    rows = numbered.where("_rn = 1").drop("_rn")
+    return F.broadcast(rows) if fits_broadcast(df, limit) else checkpointed(rows)
+
+
 def known_keys(trips: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Trips whose key is in the dimension."""
     return trips.join(dimension.select(key), key, "left_semi")

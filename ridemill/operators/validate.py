@@ -41,6 +41,9 @@ def classify_trips(
 
     Corrupt rows keep the raw text of what the parser could read and have no
     audit values.  The other raw-only columns stay until `split_clean_bad`.
+    The dimensions need one row per key, which `read_dimension(key=...)` gives:
+    an aggregate here would stand between the join and its shuffle, and AQE
+    splits a hot route only where the join reads the shuffle directly.
     """
     raw = _with_corrupt_column(raw)
     corrupt = F.col(S.CORRUPT_COLUMN).isNotNull()
@@ -147,8 +150,7 @@ def _with_corrupt_column(raw: DataFrame) -> DataFrame:
 
 
 def _marker(dimension: DataFrame, key: str, name: str) -> DataFrame:
-    """One row per key, so that a repeated dimension key cannot repeat a trip."""
-    return dimension.select(key).where(F.col(key).isNotNull()).distinct().withColumn(name, F.lit(True))
+    return dimension.select(key, F.lit(True).alias(name))
 
 
 def _utc_text(moment: dt.datetime | str) -> str:

@@ -280,6 +280,7 @@ def oracle_sql() -> dict[str, str]:
             FROM judged WHERE quarantine_reason IS NULL""",
         "csv_scan": f"""{_using('judged_lines')}
             SELECT trip_id, quarantine_reason, is_corrupt FROM judged_lines""",
+        "distinct_paths": "SELECT DISTINCT url AS path FROM pages",
         "quarantine_roundtrip": f"""{judged}
             SELECT CASE WHEN NOT corrupt THEN trip_id
                         WHEN event_id % 97 = 0 THEN '  ' ELSE ' T' || event_id || ' ' END AS trip_id,

@@ -23,7 +23,7 @@ from ridemill.sinks import (
     write_quarantine,
     write_run_metadata,
 )
-from ridemill.sources import parse_trip_lines, read_trips_csv
+from ridemill.sources import distinct_paths, parse_trip_lines, read_trips_csv
 from ridemill.streaming import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,6 +214,10 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("trip_id", S.REASON_COLUMN, F.col(S.CORRUPT_COLUMN).isNotNull().alias("is_corrupt"))
 
 
+def announced_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_paths(X.table(spark, sf_dir, "pages").withColumnRenamed("url", "path"))
+
+
 def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = op.quarantine_rows(classified(spark, sf_dir), X.AS_OF)
     root = scratch_path(spark, "quarantine")
@@ -321,6 +325,7 @@ def queries() -> dict[str, Query]:
         "batch_metrics": batch_metrics,
         "from_csv_corrupt": from_csv_corrupt,
         "csv_scan": csv_scan,
+        "distinct_paths": announced_paths,
         "quarantine_roundtrip": quarantine_roundtrip,
         "run_metadata": run_metadata,
         "branch_read": branch_read,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridemill import schema as S
-from ridemill.operators import classify_trips, quarantine_rows, reason_counts
+from ridemill.operators import classify_trips, quarantine_rows, reason_counts, split_clean_bad
 from ridemill.sources import discover_csv_schema, distinct_paths, parse_trip_lines, read_dimension, read_trips_csv
 from tests.helpers import AS_OF, plan_of
 
@@ -72,6 +72,16 @@ def test_discovered_schema_trims_and_keeps_times_as_text(spark, tmp_path):
     assert found.simpleString() == "struct<trip_id:string,start_time:string,distance_km:double,seats:int>"
 
 
+def test_a_discovered_schema_reads_the_same_files(spark, tmp_path, routes, vehicles):
+    (tmp_path / "x.csv").write_text("\n".join([f"{HEADER},driver", f"{GOOD},Ann", f"{GOOD},Ann,more"]) + "\n")
+    schema = discover_csv_schema(spark, str(tmp_path))
+    clean, bad = split_clean_bad(
+        classify_trips(read_trips_csv(spark, str(tmp_path), schema), routes, vehicles, "run_1", AS_OF)
+    )
+    assert [r["driver"] for r in clean.collect()] == ["Ann"] and bad.count() == 1
+    assert clean.columns == [*S.SILVER_COLUMNS, "driver"]
+
+
 def test_lines_in_a_column(spark):
     lines = spark.createDataFrame([(GOOD,), (EXTRA,), (QUOTED,)], "value string")
     rows = {r["trip_id"]: r for r in parse_trip_lines(lines).where(F.col(S.CORRUPT_COLUMN).isNull()).collect()}
@@ -79,9 +89,9 @@ def test_lines_in_a_column(spark):
 
 
 def test_dimension_from_csv_parquet_and_table(spark, tmp_path, vehicles):
-    (tmp_path / "routes.csv").write_text("route_id,route_name,start_location,end_location\nR001,One,A,B\n")
-    routes = read_dimension(spark, str(tmp_path / "routes.csv"), S.DIM_ROUTES)
-    assert routes.first()["route_name"] == "One"
+    (tmp_path / "routes.csv").write_text("route_id,route_name,start_location,end_location\nR001,One,A,B\nR001,One,A,B\n")
+    routes = read_dimension(spark, str(tmp_path / "routes.csv"), S.DIM_ROUTES, key="route_id")
+    assert [r["route_name"] for r in routes.collect()] == ["One"]
     vehicles.write.parquet(str(tmp_path / "vehicles"))
     assert read_dimension(spark, str(tmp_path / "vehicles")).count() == 2
     vehicles.createOrReplaceTempView("dim_vehicles")

@@ -13,6 +13,7 @@ from ridemill.operators import (
     quarantine_rows,
     reason_counts,
     split_clean_bad,
+    unique_lookup,
     unknown_keys,
 )
 from tests.helpers import AS_OF, RAW, raw_row
@@ -112,9 +113,12 @@ def test_corrupt_row_keeps_raw_text_and_no_audit_values(spark, routes, vehicles)
     assert str(kept["quarantined_at"]) == AS_OF and kept["source_file"] is None
 
 
-def test_repeated_dimension_key_does_not_repeat_a_trip(spark, vehicles):
-    doubled = spark.createDataFrame([("R001",), ("R001",), (None,)], "route_id string")
-    clean, _ = split_clean_bad(classify(spark, doubled, vehicles, [raw_row()]))
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_repeated_dimension_key_does_not_repeat_a_trip(spark, vehicles, limit):
+    doubled = spark.createDataFrame([("R001", "b"), ("R001", "a"), (None, "c")], "route_id string, route_name string")
+    unique = unique_lookup(doubled, "route_id", limit)
+    assert [tuple(r) for r in unique.collect()] == [("R001", "a")]
+    clean, _ = split_clean_bad(classify(spark, unique, vehicles, [raw_row()]))
     assert clean.count() == 1
 
 
