@@ -189,7 +189,7 @@ _SILVER = f"""trip_id, route_id, vehicle_id, status, start_time, end_time, dista
 _CLEAN = f"SELECT {_SILVER} FROM judged WHERE quarantine_reason IS NULL"
 
 
-def _merged(ends_later: str, target: str = "trips", source: str = "newest") -> str:
+def _merged(ends_later: str, target: str = "trips", source: str = "redelivered") -> str:
     """Target rows that stay, source rows that win, source rows without a match."""
     wins = f"({ends_later}) AND (t.status <> 'completed' OR s.status = 'completed')"
     return f"""
@@ -200,8 +200,6 @@ def _merged(ends_later: str, target: str = "trips", source: str = "newest") -> s
         WHERE t.trip_id IS NULL OR coalesce({wins}, FALSE)"""
 
 
-_NEWEST = """newest AS (
-        SELECT * FROM redelivered)"""
 _STRICT = "s.end_time >= t.end_time"
 _OPEN = "t.end_time IS NULL OR s.end_time >= t.end_time"
 _LINE_OK = "event_type <> 'error'"
@@ -259,9 +257,9 @@ def oracle_sql() -> dict[str, str]:
         "latest_per_trip": f"""{_using('deliveries')} SELECT * FROM deliveries QUALIFY row_number() OVER (
             PARTITION BY trip_id ORDER BY status = 'completed' DESC, end_time DESC NULLS LAST,
             start_time DESC, distance_km DESC, status, sfn_execution_id) = 1""",
-        "merge_strict": f"{_using('trips', 'redelivered')}, {_NEWEST} {_merged(_STRICT)}",
-        "merge_open": f"{_using('trips', 'redelivered')}, {_NEWEST} {_merged(_OPEN)}",
-        "merge_small_batch": f"{_using('trips', 'redelivered')}, {_NEWEST} {_merged(_STRICT)}",
+        "merge_strict": f"{_using('trips', 'redelivered')} {_merged(_STRICT)}",
+        "merge_open": f"{_using('trips', 'redelivered')} {_merged(_OPEN)}",
+        "merge_small_batch": f"{_using('trips', 'redelivered')} {_merged(_STRICT)}",
         "replace_date_range": f"""{_using('trips', 'redelivered')}
             SELECT * FROM trips WHERE CAST(start_time AS DATE) NOT BETWEEN DATE '{X.AS_OF}' - 6 AND DATE '{X.AS_OF}'
             UNION ALL BY NAME SELECT * FROM redelivered

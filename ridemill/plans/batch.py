@@ -107,17 +107,18 @@ def run_gold(
     needs; `persist` keeps the joined trips instead, for small windows.  The
     branch is published only after the sink has taken all three tables.
     """
-    window = load_window(store.read(ACTIVE, run_id), start_date, end_date, WINDOW_PAD_DAYS)
-    trips = enrich_trips(window, vehicles).select(*S.ENRICHED_COLUMNS)
+    active = store.read(ACTIVE, run_id)
+    trips = _enriched_window(active, vehicles, start_date, end_date, WINDOW_PAD_DAYS)
+    of_the_dates = _enriched_window(active, vehicles, start_date, end_date, 0)
     if persist:
-        trips = trips.persist(StorageLevel.MEMORY_AND_DISK)
+        trips = of_the_dates = trips.persist(StorageLevel.MEMORY_AND_DISK)
     last_calculation = shift_day(end_date, WINDOW_PAD_DAYS)
     stats = sized(checkpointed(route_duration_stats(trips)))
     scope = run_scope(run_id, start_date, end_date)
     try:
         sink.replace(
             [
-                GoldWrite(S.GOLD_DAILY, daily_ridership(trips, start_date, end_date), start_date, end_date),
+                GoldWrite(S.GOLD_DAILY, daily_ridership(of_the_dates, start_date, end_date), start_date, end_date),
                 GoldWrite(
                     S.GOLD_WEEKLY,
                     weekly_top_routes(trips, start_date, last_calculation),
@@ -134,6 +135,11 @@ def run_gold(
         store.publish(run_id)
 
 
+def _enriched_window(active: DataFrame, vehicles: DataFrame, start_date: str, end_date: str, pad_days: int) -> DataFrame:
+    window = load_window(active, start_date, end_date, pad_days)
+    return enrich_trips(window, vehicles).select(*S.ENRICHED_COLUMNS)
+
+
 def run_batch(
     raw: DataFrame,
     routes: DataFrame,

@@ -68,8 +68,9 @@ class IcebergTripStore:
         rows = source.drop(S.DAY_COLUMN)
         rows = (F.broadcast(rows) if source_fits_broadcast else rows).alias("source")
         target = self._at(ACTIVE, branch)
-        merge = rows.mergeInto(target, _same_trip(target, min(days), max(days)))
-        merge.whenMatched(_replaces(target, null_end)).updateAll().whenNotMatched().insertAll().merge()
+        name = target.rsplit(".", 1)[1]
+        merge = rows.mergeInto(target, _same_trip(name, min(days), max(days)))
+        merge.whenMatched(_replaces(name, null_end)).updateAll().whenNotMatched().insertAll().merge()
 
     def publish(self, branch: str) -> None:
         if branch == MAIN:

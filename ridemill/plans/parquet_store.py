@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +22,7 @@ from pyspark.sql import types as T
 from ridemill import schema as S
 from ridemill.operators.merge import merge_trips
 from ridemill.operators.metrics import observe_batch
+from ridemill.session import path_exists
 
 MAIN = "main"
 ACTIVE = "active"
@@ -57,10 +57,13 @@ class ParquetTripStore:
     def append_history(self, branch: str, rows: DataFrame) -> dict:
         """Stage the batch, replacing an earlier attempt; returns its metrics.
 
-        The metrics are observed above the last shuffle, in the tasks that write,
+        The batch must have the columns of the table.  The metrics are observed above the last shuffle, in the tasks that write,
         where a lost executor cannot make rows count twice.
         """
-        shaped = _shaped(_with_day(rows), HISTORY)
+        dated, layout = _with_day(rows), self._columns(HISTORY)
+        if set(dated.columns) != set(layout.names):
+            raise ValueError(f"columns differ: {sorted(dated.columns)} and {sorted(layout.names)}")
+        shaped = _shaped(dated.select(*[F.col(f.name).cast(f.dataType) for f in layout]), HISTORY)
         observed, metrics = observe_batch(shaped)
         self._write(observed, HISTORY, self._path(HISTORY, branch, staged=True), "static")
         return metrics.get
@@ -100,14 +103,14 @@ class ParquetTripStore:
         self._write(_sorted(self.batch_rows(branch), HISTORY), HISTORY, self._path(HISTORY, MAIN), mode)
 
     def _rows(self, name: str, path: str) -> DataFrame:
-        layout = self.spark.read.parquet(self._layout(name)).schema
-        try:
-            # Partition values take the layout's types, not inferred ones.
-            return self.spark.read.schema(layout).parquet(path).select(*layout.names)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], T.StructType(layout.fields))
+        layout = self._columns(name)
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], layout)
+        # Partition values take the layout's types, not inferred ones.
+        return self.spark.read.schema(layout).parquet(path).select(*layout.names)
+
+    def _columns(self, name: str) -> T.StructType:
+        return self.spark.read.parquet(self._layout(name)).schema
 
     def _write(self, shaped: DataFrame, name: str, path: str, mode: str) -> None:
         writer = shaped.write.partitionBy(*PARTITIONS[name])

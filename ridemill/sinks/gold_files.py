@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ridemill.functions import as_day
 from ridemill.schema import GoldTable
+from ridemill.session import delete_path
 
 _DAY = "row_day"
 
@@ -62,13 +63,9 @@ class ParquetGoldSink:
         day, last = as_day(write.start), as_day(write.end)
         while day <= last:
             if day not in filled:
-                self._remove_day(write.table, day)
+                delete_path(self.spark, f"{self._main(write.table)}/{_DAY}={day.isoformat()}")
             day += dt.timedelta(days=1)
 
-    def _remove_day(self, table: GoldTable, day: dt.date) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._main(table)}/{_DAY}={day.isoformat()}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
     def _stage(self, table: GoldTable) -> str:
         return f"{self.root}/{table.stage_name}"
 

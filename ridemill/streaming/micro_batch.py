@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ridemill import schema as S
 from ridemill.plans.batch import SilverResult, run_batch
+from ridemill.sinks.run_metadata import first_attempt_time
 from ridemill.sources.csv_trips import stream_trips_csv
 
 
@@ -38,20 +39,20 @@ def stream_silver(
 
     A batch counts as done only after gold has succeeded and its branch is
     published.  One that fails is given again with the same number, so it has
-    the same run id and replaces what its first attempt left.  `as_of` is the
-    time of each batch unless given.
+    the same run id and replaces what its first attempt left.  Unless `as_of` is
+    given, rows are judged by the time of their batch's first attempt.
     """
 
     def handle(rows: DataFrame, batch_id: int) -> None:
-        moment = as_of or dt.datetime.now(dt.timezone.utc)
+        run_id = batch_run_id(name, batch_id)
         result = run_batch(
             rows,
             routes,
             vehicles,
             store,
             sink,
-            batch_run_id(name, batch_id),
-            moment,
+            run_id,
+            as_of or first_attempt_time(spark, metadata_root, run_id),
             quarantine_root,
             metadata_root,
             null_end,

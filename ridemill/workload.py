@@ -271,7 +271,7 @@ def gold_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files worked off as a stream, three to a batch; the current trips it leaves."""
     root = scratch_path(spark, "stream")
-    X.land_csv(spark, sf_dir, f"{root}/landing")
+    X.land_csv(spark, sf_dir, f"{root}/landing", files=6)
     store = ParquetTripStore(spark, f"{root}/tables")
     stream_silver(
         spark,

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from ridemill import schema as S
 from ridemill.plans import ParquetTripStore, run_batch, run_gold, run_silver
 from ridemill.plans.parquet_store import ACTIVE, HISTORY
-from ridemill.sinks import ParquetGoldSink, read_quarantine, read_run_metadata
+from ridemill.sinks import ParquetGoldSink, first_attempt_time, read_quarantine, read_run_metadata
 from tests.helpers import AS_OF, RAW, raw_row
 
 
@@ -117,6 +118,20 @@ def test_batch_without_bad_rows_writes_no_quarantine(spark, place, routes, vehic
     assert glob.glob(f"{place.bad}/*") == []
 
 
+def test_a_batch_with_other_columns_is_refused(spark, place, routes, vehicles):
+    silver(spark, place, routes, vehicles, "run_a", FIRST)
+    raw = spark.createDataFrame(SECOND, RAW).drop("note")
+    with pytest.raises(ValueError):
+        run_silver(raw, routes, vehicles, place.store, "run_b", AS_OF, place.bad, place.runs)
+
+
+def test_a_repeated_run_is_judged_by_its_first_time(spark, place):
+    first = first_attempt_time(spark, place.runs, "run_a")
+    time.sleep(1.1)
+    assert first_attempt_time(spark, place.runs, "run_a") == first
+    assert first_attempt_time(spark, place.runs, "run_b") > first
+
+
 def test_main_is_written_at_once_and_appends_history(spark, place, routes, vehicles):
     silver(spark, place, routes, vehicles, "main", FIRST)
     silver(spark, place, routes, vehicles, "main", SECOND)
