@@ -1,4 +1,4 @@
-"""Reference SQL for DuckDB, written from the meaning of each query.
+"""SQL for DuckDB with the expected result of each query, written from its meaning.
 
 The texts share named subqueries over the driver's tables: `trips`, `routes`,
 `vehicles`, `enriched`, `raw`, `judged` and `redelivered`.  Durations are whole

@@ -16,13 +16,30 @@ SESSION_SETTINGS = {
     # vehicle; a hot key is then split at run time even if that costs a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Size of joined, split and rebalanced partitions, and so of the written files.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
+SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
+FEWEST_SHUFFLE_PARTITIONS = 200
 
 
-def build_session(app_name: str = "ridemill", **extra: str) -> SparkSession:
+def shuffle_partitions_for(shuffled_bytes: int) -> int:
+    """Partitions that keep a shuffle task near 256 MB.
+
+    AQE joins small partitions but does not split large ones, save in skewed
+    joins and rebalanced writes, so the number must suit the largest shuffle:
+    the days a merge rewrites, or a batch while it is deduplicated.
+    """
+    return max(FEWEST_SHUFFLE_PARTITIONS, -(-shuffled_bytes // SHUFFLE_TASK_BYTES))
+
+
+def build_session(app_name: str = "ridemill", shuffled_bytes: int | None = None, **extra: str) -> SparkSession:
+    """A session with the settings above; `shuffled_bytes` is the size of the largest shuffle."""
+    settings = {**SESSION_SETTINGS, **extra}
+    if shuffled_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(shuffled_bytes))
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SESSION_SETTINGS, **extra}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -95,7 +95,7 @@ def test_whole_minutes_drop_the_seconds(spark):
     assert row["avg_duration_minutes"] == 2.0 and row["max_duration_minutes"] == 3.0
 
 
-def reference_shape(spark, trips, start, end):
+def two_scan_shape(spark, trips, start, end):
     """Daily ridership as two aggregates, a window and a join, to compare with."""
     trips.createOrReplaceTempView("t")
     return spark.sql(
@@ -132,7 +132,7 @@ def test_hot_route_gives_the_same_daily_rows(spark):
     )
     key = lambda r: (r["trip_date"], r["route_id"], r["vehicle_type"])
     mine = {key(r): r.asDict() for r in daily_ridership(trips, "2025-01-10", "2025-01-12").collect()}
-    expected = {key(r): r.asDict() for r in reference_shape(spark, trips, "2025-01-10", "2025-01-12").collect()}
+    expected = {key(r): r.asDict() for r in two_scan_shape(spark, trips, "2025-01-10", "2025-01-12").collect()}
     assert mine.keys() == expected.keys()
     for k, row in mine.items():
         assert row == pytest.approx(expected[k], nan_ok=True) or all(

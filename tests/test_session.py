@@ -4,7 +4,7 @@ import glob
 
 import pytest
 
-from ridemill.session import checkpointed, scratch_path, shared_root
+from ridemill.session import checkpointed, scratch_path, shared_root, shuffle_partitions_for
 
 
 def test_the_shared_folder_is_the_one_the_session_names(spark):
@@ -41,3 +41,9 @@ class Cluster:
 def test_a_cluster_without_shared_folder_is_refused():
     with pytest.raises(ValueError):
         shared_root(Cluster)
+
+
+def test_shuffle_partitions_follow_the_shuffled_size():
+    assert shuffle_partitions_for(1) == 200
+    assert shuffle_partitions_for(3 * 2**40) == 12_288
+    assert shuffle_partitions_for(3 * 2**40 + 1) == 12_289
