@@ -144,7 +144,7 @@ moment = st.sampled_from([None, "soon", "2025-01-20 08:00:00", "2024-01-01 00:00
 record = st.tuples(text, text, text, moment, st.sampled_from([None, "line"]))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(record, min_size=1, max_size=30))
 def test_clean_and_bad_make_up_the_raw_rows(spark, routes, vehicles, records):
     rows = [
