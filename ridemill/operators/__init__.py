@@ -9,7 +9,7 @@ from ridemill.operators.lookup import (
     with_dimension,
 )
 from ridemill.operators.merge import merge_trips, replace_date_range
-from ridemill.operators.metrics import observe_batch
+from ridemill.operators.metrics import observe_batch, observe_reasons
 from ridemill.operators.outliers import route_duration_stats, score_trips, trip_outliers, trip_outliers_on
 from ridemill.operators.rankings import top_routes_last_week, weekly_rolling_counts, weekly_top_routes
 from ridemill.operators.reports import latest_daily, latest_top_routes, worst_outliers
@@ -37,6 +37,7 @@ __all__ = [
     "merge_trips",
     "normalize_trips",
     "observe_batch",
+    "observe_reasons",
     "peak_hours",
     "quarantine_rows",
     "reason_counts",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ridemill import schema as S
+
 
 def observe_batch(clean: DataFrame, name: str = "batch") -> tuple[DataFrame, Observation]:
     """The frame to write, and its row count with first and last start date.
@@ -20,3 +22,11 @@ def observe_batch(clean: DataFrame, name: str = "batch") -> tuple[DataFrame, Obs
         F.date_format(F.max("start_time"), "yyyy-MM-dd").alias("end_date"),
     )
     return observed, observation
+
+
+def observe_reasons(bad: DataFrame, name: str = "reasons") -> tuple[DataFrame, Observation]:
+    """The rejected rows to write, and how many have each reason."""
+    observation = Observation(name)
+    reason = F.col(S.REASON_COLUMN)
+    counts = [F.count_if(reason == text).alias(text) for text in S.REASONS]
+    return bad.observe(observation, *counts), observation

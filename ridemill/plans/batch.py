@@ -12,12 +12,13 @@ from ridemill import schema as S
 from ridemill.functions import shift_day
 from ridemill.operators.dedupe import dedupe_batch, latest_per_trip
 from ridemill.operators.lookup import BROADCAST_LIMIT_BYTES, enrich_trips, fits_broadcast, row_floor_bytes, sized
+from ridemill.operators.metrics import observe_reasons
 from ridemill.operators.outliers import route_duration_stats, run_scope, trip_outliers
 from ridemill.operators.rankings import weekly_top_routes
 from ridemill.operators.ridership import daily_ridership, load_window
-from ridemill.operators.validate import classify_trips, quarantine_rows, reason_counts, split_clean_bad
+from ridemill.operators.validate import classify_trips, quarantine_rows, split_clean_bad
 from ridemill.plans.parquet_store import ACTIVE, MAIN, distinct_days
-from ridemill.session import checkpointed
+from ridemill.session import checkpointed, delete_path
 from ridemill.sinks.gold_files import GoldWrite
 from ridemill.sinks.quarantine import write_quarantine
 from ridemill.sinks.run_metadata import write_run_metadata
@@ -51,23 +52,17 @@ def run_silver(
 ) -> SilverResult:
     """Validate a batch, quarantine its bad rows and stage its clean rows on the run's branch.
 
-    The raw files are parsed once: the classified rows are kept for the
-    quarantine and the history write.  Everything after that reads the staged
-    history, which no lost executor can take away.  With run id `main` the
-    result is published at once.
+    The raw rows are judged twice, once for each output: keeping them in between
+    takes as long as parsing them again, needs room for the whole batch, and can
+    be lost with an executor.  Everything after the history write reads the
+    staged history.  With run id `main` the result is published at once.
     """
     spark = raw.sparkSession
-    classified = classify_trips(raw, routes, vehicles, run_id, as_of).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        bad_counts = {row[0]: row[1] for row in reason_counts(classified).collect()}
-        if bad_counts:
-            mode = "append" if run_id == MAIN else "overwrite"
-            write_quarantine(quarantine_rows(classified), quarantine_root, run_id, mode)
-        clean, _ = split_clean_bad(classified)
-        store.init_tables(clean)
-        metrics = store.append_history(run_id, dedupe_batch(clean))
-    finally:
-        classified.unpersist()
+    classified = classify_trips(raw, routes, vehicles, run_id, as_of)
+    bad_counts = _quarantine(classified, quarantine_root, run_id)
+    clean, _ = split_clean_bad(classified)
+    store.init_tables(clean)
+    metrics = store.append_history(run_id, dedupe_batch(clean))
 
     result = SilverResult(run_id, metrics["clean_count"], metrics["start_date"], metrics["end_date"], bad_counts)
     if result.has_clean_rows:
@@ -78,6 +73,17 @@ def run_silver(
     return result
 
 
+def _quarantine(classified: DataFrame, root: str, run_id: str) -> dict[str, int]:
+    """Write the bad rows, counted on the way; no folder stays if there are none."""
+    observed, reasons = observe_reasons(quarantine_rows(classified))
+    mode = "append" if run_id == MAIN else "overwrite"
+    folder = write_quarantine(observed, root, run_id, mode)
+    counts = {reason: n for reason, n in reasons.get.items() if n}
+    if not counts and mode == "overwrite":
+        delete_path(classified.sparkSession, folder)
+    return counts
+
+
 def _merge_batch(store, result: SilverResult, null_end: str) -> None:
     staged = store.batch_rows(result.run_id)
     # The count alone rules out a large batch, so that only a small one is measured.

@@ -83,6 +83,7 @@ REASON_MISSING_KEY = "Missing primary identifier (trip_id, route_id, or vehicle_
 REASON_TEMPORAL = "Temporal validation failure: start_time is in the future or older than 30 days"
 REASON_ROUTE = "Referential validation failure: route_id not found in dim_routes"
 REASON_VEHICLE = "Referential validation failure: vehicle_id not found in dim_vehicles"
+REASONS = (REASON_CORRUPT, REASON_MISSING_KEY, REASON_TEMPORAL, REASON_ROUTE, REASON_VEHICLE)
 OUTLIER_DURATION = "Statistical duration outlier (Z-Score > 3.0)"
 OUTLIER_DISTANCE = "Abnormal distance outlier (> 80 km)"
 OUTLIER_NONE = "Normal"
