@@ -9,12 +9,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from ridemill import oracles, workload
 
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # The smallest data set has no outlier in the run or on the day, and no unknown route.
 EMPTY_HERE = {"trip_outliers_run", "trip_outliers_day", "anti_routes"} if SF_DIR.endswith("sf0.001") else set()
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = workload.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +52,8 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())
 
 
 def test_flagship_query(spark):
