@@ -11,12 +11,22 @@ from .exact_dedup import exact_groups
 from .frames import table
 from .quality_rules import quality_rules
 from .sharding import balanced_shards
+from .simhash import simhash_components
+from .substring_dedup import substring_dedup
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("spans", "kept_text")
+
+
+def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -29,6 +39,8 @@ def op9_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op2_quality_rules,
+        op3_substring_dedup,
+        op4_simhash_components,
         op8_exact_dedup,
         op9_balanced_shards,
     )
@@ -46,5 +58,26 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+SUBSTRING_DEDUP = r"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+    SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS place FROM worded WHERE len(words) >= 13
+), windows AS (
+    SELECT doc_id, place, min(doc_id) OVER (PARTITION BY list_slice(words, place, place + 12)) AS holder FROM starts
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(place, place + 13)) AS place FROM windows WHERE holder < doc_id
+), lost AS (
+    SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id
+), kept AS (
+    SELECT w.doc_id, len(w.words) AS n_words, coalesce(len(l.places), 0) AS n_removed,
+           CASE WHEN l.places IS NULL THEN w.words
+                ELSE list_filter(w.words, lambda word, i: NOT list_contains(l.places, i)) END AS words
+    FROM worded w LEFT JOIN lost l ON w.doc_id = l.doc_id
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(words, ' ')) AS kept_sha256 FROM kept
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": EXACT_DEDUP}
+    return {"op3_substring_dedup": SUBSTRING_DEDUP, "op8_exact_dedup": EXACT_DEDUP}
