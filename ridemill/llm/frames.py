@@ -9,14 +9,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ridemill.session import scratch_path
 
 #: Python's `bytes.split()` cuts at exactly these bytes, which the contracts call white space.
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+#: Rows of a bucket that is ranked in one task.
+BUCKET_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ranked(rows: DataFrame, by: list[str], order: list[str], bucket: Column, name: str) -> DataFrame:
+    """`rows` with their rank `name`, from 0, among those with equal `by`: by bucket, then by `order` inside it.
+
+    Buckets are counted, the counts summed up, and rows numbered inside their bucket.
+    """
+    rows = rows.withColumn("rank_bucket", bucket)
+    counts = rows.groupBy(*by, "rank_bucket").agg(F.count(F.lit(1)).alias("rank_rows"))
+    before = Window.partitionBy(*by).orderBy("rank_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*by, "rank_bucket", F.coalesce(F.sum("rank_rows").over(before), F.lit(0)).alias("rank_start"))
+    inside = F.row_number().over(Window.partitionBy(*by, "rank_bucket").orderBy(*order)) - 1
+    found = rows.withColumn("rank_inside", inside).join(starts, [*by, "rank_bucket"])
+    return found.withColumn(name, F.col("rank_start") + F.col("rank_inside")).drop("rank_bucket", "rank_inside", "rank_start")
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples, column by column as Python values."""
     for batch in batches:

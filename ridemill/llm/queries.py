@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_groups
 from .frames import table
+from .packing import packed
 from .quality_rules import quality_rules
 from .sharding import balanced_shards
 from .simhash import simhash_components
@@ -27,6 +28,10 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_quality_rules,
         op3_substring_dedup,
         op4_simhash_components,
+        op5_packing,
         op8_exact_dedup,
         op9_balanced_shards,
     )

@@ -10,15 +10,13 @@ group that holds a third of the rows is never gathered in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import written
+from .frames import BUCKET_ROWS, ranked, written
 
 SHARDS = 8
 ROUNDS = 4
-#: Rows of a bucket that is ranked in one task; larger groups are spread over several buckets.
-BUCKET_ROWS = 50_000
 GROUP = ("text_crc32", "text_hash")
 
 
@@ -34,19 +32,6 @@ def linked_rows(docs: DataFrame) -> DataFrame:
     return rows.join(sizes, list(GROUP))
 
 
-def ranked(rows: DataFrame, by: list[str], order: list[str], bucket: Column, name: str) -> DataFrame:
-    """`rows` with their rank `name`, from 0, among those with equal `by`: by bucket, then by `order` inside it.
-
-    Buckets are counted, the counts summed up, and rows numbered inside their bucket.
-    """
-    rows = rows.withColumn("bucket", bucket)
-    counts = rows.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("bucket_rows"))
-    before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*by, "bucket", F.coalesce(F.sum("bucket_rows").over(before), F.lit(0)).alias("start"))
-    inside = F.row_number().over(Window.partitionBy(*by, "bucket").orderBy(*order)) - 1
-    return rows.withColumn("inside", inside).join(starts, [*by, "bucket"]).withColumn(name, F.col("start") + F.col("inside")).drop("bucket", "inside", "start")
-
-
 def by_shard(rows: DataFrame, column: str, shards: int) -> list[int]:
     """Rows of each shard: as many numbers as there are shards come to the driver."""
     found = dict(rows.groupBy(column).count().collect())
