@@ -3,8 +3,10 @@
 A text's fingerprint is its value as a polynomial over its bytes, modulo two
 primes.  The fingerprint of two joined parts follows from those of the parts and
 the length of the second (`joined`), so a huge text is hashed in chunks.  Texts
-with one fingerprint and one length are then compared chunk by chunk with the
-text that stays; what differs forms new groups, until nothing differs.
+with one fingerprint and one length are then compared chunk by chunk: of each chunk
+the least and the greatest are kept as the texts stream by, and must be the same.
+Only where they are not, each text is compared with the one that stays, and what
+differs forms new groups, until nothing differs.
 """
 
 from __future__ import annotations
@@ -93,6 +95,11 @@ def differing(docs: DataFrame, rows: DataFrame, primes: Sequence[int]) -> DataFr
     texts = fingerprints(docs, primes).join(copies, same_text)
     texts = texts.withColumn("stays", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_sha256") == F.col("keep_sha256")))
     parts = chunked(texts)
+    uneven = parts.groupBy(*KEY, "at").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high")
+    uneven = written(uneven.select(*KEY).distinct(), "exact-uneven")
+    if uneven.isEmpty():
+        return uneven.withColumn("text_sha256", F.lit(""))
+    parts = chunked(texts.join(uneven, list(KEY)))
     stays = parts.where("stays").groupBy(*KEY, "at").agg(F.min("part").alias("kept_part"))
     others = parts.where("NOT stays").join(stays, [*KEY, "at"])
     return others.where("part != kept_part").select(*KEY, "text_sha256").distinct()
