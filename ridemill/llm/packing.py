@@ -27,10 +27,10 @@ CAPACITY = 2048
 UNIT = 8
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
+#: Part of the sequences by which the program may miss its optimum.
+GAP = 1e-3
 #: The program stops there at the latest; any basis packs all pieces.
 MOST_PIVOTS = 5_000
-#: Pivots after which the inverse of the basis is computed anew.
-REFRESH = 100
 
 
 @lru_cache(maxsize=1)
@@ -97,15 +97,18 @@ def patterns(histogram: Mapping[int, int], room: int) -> list[tuple[dict[int, in
     demand = np.array([histogram[s] for s in sizes.tolist()], np.int64)
     if not len(sizes):
         return []
+    # Plain array arithmetic: these arrays are too small for a linear algebra library's threads.
     basis = np.diag((room // sizes).astype(float))
-    for turn in range(MOST_PIVOTS):
-        if turn % REFRESH == 0:
-            inverse = np.linalg.inv(basis)
-            used = np.maximum(inverse @ demand, 0)
+    inverse = np.diag(1.0 / (room // sizes))
+    used = demand / (room // sizes)
+    bound = float(sizes @ demand) / room
+    for _ in range(MOST_PIVOTS):
         value, column = knapsack(inverse.sum(axis=0), sizes, room)
-        if value <= 1 + 1e-9:
+        # No packing needs less than all pieces fill, nor less than what is used now divided by `value`.
+        bound = max(bound, used.sum() / max(1.0, value))
+        if used.sum() <= bound * (1 + GAP):
             break
-        step = inverse @ column
+        step = (inverse * column).sum(axis=1)
         able = step > 1e-9
         out = int(np.where(able, used / np.where(able, step, 1), np.inf).argmin())
         basis[:, out] = column
@@ -113,7 +116,7 @@ def patterns(histogram: Mapping[int, int], room: int) -> list[tuple[dict[int, in
         used = np.maximum(used - share * step, 0)
         used[out] = share
         row = inverse[out] / step[out]
-        inverse -= np.outer(step, row)
+        inverse -= np.multiply.outer(step, row)
         inverse[out] = row
     plan, left = [], demand.copy()
     # The largest first, so that rounding errors can never use more pieces than there are.
