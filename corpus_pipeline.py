@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ridemill.llm.exact_dedup import exact_dedup
 from ridemill.llm.frames import written
+from ridemill.llm.near_dedup import near_dedup
+from ridemill.llm.packing import packed
 from ridemill.llm.quality_rules import quality_filter
+from ridemill.llm.substring_dedup import cut_repeats
 
+#: Tokens, similarities and covering codes are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -21,7 +25,28 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup(docs)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicates (five-word shingles, similarity of 0.8 or more), the one with the least doc_id."""
+    return near_dedup(docs)
+
+
+def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages of 13 words and more that a smaller doc_id has too."""
+    return cut_repeats(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens as pieces of sequences of 2048."""
+    return packed(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("exact dedup", exact),
+    ("near dedup", near),
+    ("substring dedup", substring),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ LINK_BITS = 2
 #: The halves tell apart pairs of up to so many differing bits.
 MOST_BITS = 3
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+#: Odd number that keeps the keys of parts apart.
+MIX_PART = 0x9E3779B97F4A7C15
 PLACES = np.arange(8, dtype=np.int64) * 256
 VALUES = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
