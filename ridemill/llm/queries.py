@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_groups
 from .frames import table
+from .language_id import is_held_out, language_id
 from .packing import packed
 from .quality_rules import quality_rules
 from .sharding import balanced_shards
@@ -41,6 +42,12 @@ def op9_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = is_held_out(4, 2)
+    return language_id(docs, docs.where(~held_out)).withColumn("held_out", held_out)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op2_quality_rules,
@@ -49,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_packing,
         op8_exact_dedup,
         op9_balanced_shards,
+        op10_language_id,
     )
     return {query.__name__: query for query in named}
 
