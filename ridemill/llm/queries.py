@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_groups
 from .frames import table
 from .language_id import is_held_out, language_id
+from .maxent_lm import lm_scores
 from .packing import packed
 from .quality_rules import quality_rules
 from .sharding import balanced_shards
@@ -33,6 +34,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op6_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = is_held_out(5, 1)
+    return lm_scores(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", held_out)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_substring_dedup,
         op4_simhash_components,
         op5_packing,
+        op6_maxent_scores,
         op8_exact_dedup,
         op9_balanced_shards,
         op10_language_id,
