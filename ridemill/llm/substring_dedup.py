@@ -19,6 +19,7 @@ Runs are told apart by 112 bits of hash, windows of marked runs by 64.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import Memo, bodies, in_batches, rows_of
+from .frames import WHITE_SPACE, Memo, bodies, in_batches, rows_of, written
 
 LENGTH = 13
 #: Words of an anchor; each window of LENGTH words has LENGTH - ANCHOR + 1 of them.
@@ -36,6 +37,9 @@ ANCHOR = 5
 STEP = 0xBF58476D1CE4E5B9
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ANCHOR_BITS = np.uint64((1 << 48) - 1)
+#: Size of the filter of runs: eight megabytes.
+FILTER_BITS, FILTER_SHIFT = 1 << 26, 26
+WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 WORDS = Memo(xxhash.xxh64_intdigest)
 
 
@@ -111,8 +115,8 @@ def text_runs(docs: DataFrame, length: int) -> DataFrame:
     return bodies(docs).mapInArrow(run, "anchor long, run long, doc_id long, others array<long>")
 
 
-def marks(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, `repeated` and `marked`: its runs that a smaller document has whole, and those to look at closely."""
+def told_runs(docs: DataFrame, length: int) -> DataFrame:
+    """run, doc_id, repeated: runs of a document that a smaller one has whole (repeated), or that need a closer look."""
     runs = text_runs(docs, length)
     anchor, whole = Window.partitionBy("anchor"), Window.partitionBy("anchor", "run")
     runs = runs.withColumns(
@@ -125,30 +129,76 @@ def marks(docs: DataFrame, length: int) -> DataFrame:
     told = runs.where(F.col("apart") | (F.col("holder") < F.col("doc_id")) | F.col("others").isNotNull())
     each = F.explode(F.concat(F.array("doc_id"), F.coalesce("others", F.array().cast("array<long>")))).alias("doc_id")
     told = told.select("run", "holder", "apart", each)
-    return told.groupBy("doc_id").agg(
-        F.collect_set(F.expr("IF(holder < doc_id, run, NULL)")).alias("repeated"),
-        F.collect_set(F.expr("IF(holder = doc_id AND apart, run, NULL)")).alias("marked"),
-    )
+    return told.where("apart OR holder < doc_id").select("run", "doc_id", F.expr("holder < doc_id").alias("repeated"))
+
+
+def run_filter(runs: DataFrame) -> np.ndarray:
+    """A Bloom filter of the runs, of FILTER_BITS bits for any input."""
+    places = F.expr(f"array(run & {FILTER_BITS - 1}, shiftrightunsigned(run, {FILTER_SHIFT}) & {FILTER_BITS - 1})")
+    places = runs.select(F.explode(places).alias("place"))
+    bits = F.expr("shiftleft(1L, CAST(place & 63 AS INT))")
+    found = places.groupBy((F.col("place") / 64).cast("long").alias("word")).agg(F.bit_or(bits).alias("bits")).toArrow()
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return words
+
+
+def may_hold(words: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    def bit(places: np.ndarray) -> np.ndarray:
+        return words[places >> 6] >> (places & 63) & 1
+
+    mask = FILTER_BITS - 1
+    return (bit(runs & mask) & bit((runs.view(np.uint64) >> np.uint64(FILTER_SHIFT)).astype(np.int64) & mask)).astype(bool)
 
 
-def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
-    """doc_id and `windows`: hashes of windows in its marked runs that start in a smaller document too."""
+def repeated_windows(docs: DataFrame, closer: DataFrame, length: int) -> DataFrame:
+    """doc_id and `windows`: hashes of windows in the runs `closer` that start in a smaller document too.
+
+    Documents are scanned again; a filter of fixed size tells which windows to send.
+    The more runs it holds, the more windows it lets pass beyond those; it misses none.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64())])
+    known = docs.sparkSession.sparkContext.broadcast(run_filter(closer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, body, marked in rows_of(iter([batch])):
-                own = Windows(body.split(), length)
-                hashes = np.unique(own.hashes(own.inside(np.isin(own.run, np.array(marked, np.int64)))))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), doc_id)), pa.array(hashes)], schema=schema)
+            ids, hashes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for doc_id, body in rows_of(iter([batch])):
+                own = Windows((body or b"").split(), length)
+                if own.count and doc_id is not None and (chosen := may_hold(known.value, own.run)).any():
+                    hashes.append(own.hashes(own.inside(chosen)))
+                    ids.append(np.full(len(hashes[-1]), doc_id))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(hashes))], schema=schema)
 
-    closer = texts.where("size(marked) > 0").select("doc_id", "body", "marked")
-    windows = closer.mapInArrow(run, "doc_id long, hash long")
+    windows = written(bodies(docs).mapInArrow(run, "doc_id long, hash long"), "windows")
     holders = windows.groupBy("hash").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("latest")).where("holder < latest")
     found = windows.join(holders, "hash").where("holder < doc_id")
     return found.groupBy("doc_id").agg(F.collect_set("hash").alias("windows"))
 
 
+def repeats(docs: DataFrame, length: int) -> DataFrame:
+    """doc_id, `repeated` (runs) and `windows` (hashes) of documents that have any: what is to be removed from them."""
+    told = written(told_runs(docs, length), "runs")
+    whole = told.where("repeated").groupBy("doc_id").agg(F.collect_set("run").alias("repeated"))
+    return whole.join(repeated_windows(docs, told.where("NOT repeated"), length), "doc_id", "full")
+
+
+def removed(words: list[bytes], length: int, repeated: list[int] | None, windows: list[int] | None) -> np.ndarray:
+    """For each word whether it goes."""
+    edges = np.zeros(len(words) + 1, np.int64)
+    if repeated or windows:
+        own = Windows(words, length)
+        gone = np.zeros(own.count, bool)
+        if repeated:
+            gone[own.inside(np.isin(own.run, np.array(repeated, np.int64)))] = True
+        if windows:
+            gone |= np.isin(own.hashes(np.arange(own.count)), np.array(windows, np.int64))
+        starts = np.flatnonzero(gone)
+        np.add.at(edges, starts, 1)
+        np.add.at(edges, starts + length, -1)
+    return np.cumsum(edges)[:-1] > 0
+
+
 def substring_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, spans and kept_text of every row of `docs`.
 
@@ -159,31 +209,17 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     its row neither loses nor takes words; rows that repeat a doc_id are the same
     document and get a row each.  An empty table gives an empty result.
     """
-    texts = bodies(docs).join(marks(docs, length), "doc_id", "left")
-    rows = texts.join(repeated_windows(texts, length), "doc_id", "left").select("doc_id", "body", "repeated", "windows")
+    rows = bodies(docs).join(repeats(docs, length), "doc_id", "left")
     span = pa.struct([("start", pa.int64()), ("words", pa.int64())])
     fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.list_(span)), ("kept_text", pa.string())]
     schema = pa.schema(fields)
 
     def kept(doc_id, body, repeated, windows) -> tuple:
         words = (body or b"").split()
-        spans = []
-        if repeated or windows:
-            own = Windows(words, length)
-            gone = np.zeros(own.count, bool)
-            gone[own.inside(np.isin(own.run, np.array(repeated or [], np.int64)))] = True
-            if windows:
-                gone |= np.isin(own.hashes(np.arange(own.count)), np.array(windows, np.int64))
-            starts = np.flatnonzero(gone)
-            edges = np.zeros(len(words) + 1, np.int64)
-            np.add.at(edges, starts, 1)
-            np.add.at(edges, starts + length, -1)
-            covered = np.cumsum(edges)[:-1] > 0
-            turns = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8))).reshape(-1, 2)
-            spans = [{"start": a, "words": b - a} for a, b in turns.tolist()]
-            left = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
-        else:
-            left = words
+        covered = removed(words, length, repeated, windows)
+        turns = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8))).reshape(-1, 2)
+        spans = [{"start": a, "words": b - a} for a, b in turns.tolist()]
+        left = [w for w, c in zip(words, covered.tolist(), strict=True) if not c] if spans else words
         text = b" ".join(left)
         return doc_id, len(words), len(words) - len(left), hashlib.sha256(text).hexdigest(), spans, text.decode("utf-8", "replace")
 
@@ -193,3 +229,34 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     columns = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start: long, words: long>>, kept_text string"
     return rows.mapInArrow(run, columns)
+
+
+def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The rows of `docs`, all their columns, texts without the words that `substring_dedup` removes.
+
+    A word goes with the white space after it; other texts, null ones too, stay as they
+    are.  `n_chars`, where it is a column, follows the text.
+    """
+    at, counted = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    rows = rows.join(repeats(docs, length), "doc_id", "left").select("row", "repeated", "windows")
+
+    def cut(text: str | None, repeated: list[int] | None, windows: list[int] | None) -> str | None:
+        if text is None or not (repeated or windows):
+            return text
+        parts = WORD.findall(text.encode())
+        gone = removed([p.rstrip(WHITE_SPACE) for p in parts], length, repeated, windows)
+        lead = text[: len(text) - len(text.lstrip(WHITE_SPACE.decode()))]
+        return lead + b"".join(p for p, g in zip(parts, gone.tolist(), strict=True) if not g).decode()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = batch.column(0).flatten()
+            texts = list(map(cut, columns[at].to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            columns[at] = pa.array(texts, columns[at].type)
+            if counted is not None:
+                lengths = [n if t is None else len(t) for n, t in zip(columns[counted].to_pylist(), texts, strict=True)]
+                columns[counted] = pa.array(lengths, columns[counted].type)
+            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+
+    return rows.mapInArrow(run, docs.schema)
