@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_groups
 from .frames import table
+from .html_text import main_text
 from .language_id import is_held_out, language_id
 from .maxent_lm import lm_scores
 from .packing import packed
@@ -39,6 +40,10 @@ def op6_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), ~held_out).withColumn("held_out", held_out)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_simhash_components,
         op5_packing,
         op6_maxent_scores,
+        op7_html_text,
         op8_exact_dedup,
         op9_balanced_shards,
         op10_language_id,
