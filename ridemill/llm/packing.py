@@ -30,6 +30,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Part of the sequences by which the program may miss its optimum.
 GAP = 1e-3
 #: The program stops there at the latest; any basis packs all pieces.
+MOST_KNOWN = 1_500_000
 MOST_PIVOTS = 5_000
 
 
@@ -45,7 +46,7 @@ def word_ids(path: str | None) -> Memo:
 
     tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
     tokenizer.encode_special_tokens = True
-    return Memo(lambda word: np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes())
+    return Memo(lambda word: np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes(), most=MOST_KNOWN)
 
 
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:

@@ -14,11 +14,16 @@ from .language_id import is_held_out, language_id
 from .maxent_lm import lm_scores
 from .packing import packed
 from .quality_rules import quality_rules
+from .sentencepiece_scan import round_trip
 from .sharding import balanced_shards
 from .simhash import simhash_components
 from .substring_dedup import substring_dedup
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -61,6 +66,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
+        op1_sentencepiece,
         op2_quality_rules,
         op3_substring_dedup,
         op4_simhash_components,
