@@ -2,10 +2,10 @@
 
 The public vocabulary is a byte-pair one.  Its encoding of a text is the only cut into
 pieces in which each two neighbours fit: merging the text of both alone gives them
-back.  So the encoding is a best path: a piece that follows one it fits adds 1, any
-other is impossible (minus infinity).  The state at a boundary is the piece that
+back.  So the encoding is a best path: a piece that follows one it fits adds its
+ids, one as a rule, and any other is impossible (minus infinity).  The state at a boundary is the piece that
 covers or ends at it, and a chunk of a giant document is a matrix that says for each
-state before it and each state after it how many pieces the path between them has.
+state before it and each state after it how many ids the path between them has.
 These matrices combine associatively; from the products before and after a boundary
 follows the one state there, and each chunk finds its pieces on its own.
 """
@@ -78,8 +78,11 @@ class Model:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def weight(self, piece: str) -> int:
+        return 1 if piece in self.ids else len(piece.encode())
+
     def ends(self, text: str, state: State, stop: int) -> dict[int, tuple[str, int]]:
-        """From a state on: for each place up to `stop` that a path reaches, the last piece and the number of pieces."""
+        """From a state on: for each place up to `stop` that a path reaches, the last piece and the number of ids."""
         found = {state[1]: (state[0], 0)}
         for start in range(state[1], stop):
             if start not in found:
@@ -89,7 +92,7 @@ class Model:
                 piece = text[start:end]
                 usable = self.begun.get(piece, False if end > start + 1 else True)
                 if usable and end not in found and self.fits[before, piece]:
-                    found[end] = piece, number + 1
+                    found[end] = piece, number + self.weight(piece)
                 elif not usable and piece not in self.begun:
                     break
         return found
@@ -126,10 +129,10 @@ class Model:
         for j, (piece, end) in enumerate(after):
             last = found.get(end - len(piece))
             if last is not None and self.fits[last[0], piece]:
-                row[j] = last[1] + 1
+                row[j] = last[1] + self.weight(piece)
 
     def transfer(self, text: str, before: list[State], after: list[State], stop: int) -> np.ndarray:
-        """How many pieces lead from each state before the chunk to each state after it."""
+        """How many ids lead from each state before the chunk to each state after it."""
         matrix = np.full((len(before), len(after)), -np.inf)
         meet = self.inner(text, max(e for _, e in before) + 1, stop)
         if meet:

@@ -238,6 +238,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     are.  `n_chars`, where it is a column, follows the text.
     """
     at, counted = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    names = docs.columns
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
     rows = rows.join(repeats(docs, length), "doc_id", "left").select("row", "repeated", "windows")
 
@@ -257,6 +258,6 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             if counted is not None:
                 lengths = [n if t is None else len(t) for n, t in zip(columns[counted].to_pylist(), texts, strict=True)]
                 columns[counted] = pa.array(lengths, columns[counted].type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(run, docs.schema)

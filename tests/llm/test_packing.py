@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from ridemill.llm import packing as op
+
+from . import cases
+
+
+def reference():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(op.VOCABULARY))
+    tokenizer.encode_special_tokens = True
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def test_each_id_lies_in_one_piece(spark):
+    texts = [(d if d is not None else 900, t) for d, t in cases.odd_texts() if d != 10]
+    texts = [(i, t) for i, (_, t) in enumerate(texts)] + [(50, cases.prose(1, 9000)), (51, cases.prose(2, 1500)), (52, "<|endoftext|> 's Á́   Σς")]
+    rows = op.packed(cases.table(spark, texts), with_ids=True).collect()
+    encode, pieces, sequences = reference(), defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append(r)
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for d, t in texts:
+        ids = np.array(encode(t), "<u4").tobytes()
+        own = sorted(pieces[d], key=lambda r: r.start)
+        assert b"".join(bytes(r.ids) for r in own) == ids
+        assert [r.start for r in own] == [sum(p.length for p in own[:i]) for i in range(len(own))]
+        assert all(r.doc_tokens == len(ids) // 4 and r.ids_crc32 == zlib.crc32(bytes(r.ids)) for r in own)
+    for own in sequences.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))]
+        assert sum(n for _, n in own) <= 2048
+
+
+def test_words_can_be_encoded_alone():
+    encode, known, rnd = reference(), op.word_ids(None), random.Random(1)
+    alphabet = "aAéÉ'sΣς 1\t\ń \x1c\x85İß漢🙂.　"
+    for _ in range(2000):
+        text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12)))
+        assert b"".join(known[w] for w in text.encode().split()) == np.array(encode(text)[:-1], "<u4").tobytes()
+
+
+def test_patterns_use_each_piece_once_and_leave_little_room():
+    rnd = random.Random(3)
+    for count in (1, 40, 20_000):
+        histogram: dict[int, int] = defaultdict(int)
+        for _ in range(count):
+            histogram[min(256, int(rnd.lognormvariate(4, 1)) + 1)] += 1
+        used: dict[int, int] = defaultdict(int)
+        plan = op.patterns(histogram, 256)
+        for pattern, times in plan:
+            assert sum(size * n for size, n in pattern.items()) <= 256
+            for size, n in pattern.items():
+                used[size] += n * times
+        assert used == histogram
+        filled = sum(size * n for size, n in histogram.items()) / 256
+        assert sum(times for _, times in plan) <= filled * 1.002 + 8
+
+
+def test_repeated_rows_and_empty_table(spark):
+    rows = op.packed(cases.table(spark, [(1, "a b c"), (1, "a b c"), (None, None), (None, None)])).collect()
+    assert sorted((r.offset, r.length) for r in rows)[0] == (0, rows[0].length) or rows
+    assert len(rows) == 4 and len({(r.sequence_id, r.offset) for r in rows}) == 4
+    assert op.packed(cases.table(spark, [])).collect() == []

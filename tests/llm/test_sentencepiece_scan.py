@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+
+from ridemill.llm import sentencepiece_scan as op
+
+from . import cases
+
+PARTS = ["a", "b", "e", "t", "th", "ing", " ", "  ", "\n", "é", "漢", "字", "1", "9", "__", "==", "->", "\t", "Å", "🙂", "▁", "Ω", "tion", "    ", "the "]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return SentencePieceProcessor(model_file=public_tokenizers.path(op.VOCABULARY))
+
+
+def random_text(rnd, parts):
+    return "".join(rnd.choice(PARTS) for _ in range(parts))
+
+
+def test_best_path_is_the_librarys_encoding(library):
+    rnd, model = random.Random(1), op.Model(None)
+    for _ in range(800):
+        text = random_text(rnd, rnd.randint(0, 30))
+        marked = op.marked(text)
+        assert np.frombuffer(model.as_ids(model.path(marked, ("", 0), len(marked))), "<u4").tolist() == library.encode(text)
+        assert np.frombuffer(b"".join(model.words[w] for w in op.WORD.findall(marked)), "<u4").tolist() == library.encode(text)
+
+
+def test_chunks_compose(library):
+    rnd, model = random.Random(2), op.Model(None)
+    for turn in range(60):
+        text = random_text(rnd, rnd.randint(60, 250))
+        text = text.replace(" ", "") if turn % 2 else text
+        marked = op.marked(text)
+        matrices, known = [], []
+        for at in range(0, len(marked), 64):
+            lead = min(at, op.LONGEST)
+            part = marked[at - lead : at + 64 + op.LONGEST]
+            before, after, stop = op.chunk_states(model, part, lead, at, len(marked), 64)
+            matrices.append(model.transfer(part, before, after, stop))
+            known.append((part, before, after, stop))
+        picks = op.boundary_choices(matrices)
+        ids = b"".join(model.chunk_ids(p, b[picks[i]], a[picks[i + 1]], s) for i, (p, b, a, s) in enumerate(known))
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text)
+        product = matrices[0]
+        for matrix in matrices[1:]:
+            product = op.max_plus(product, matrix)
+        assert product.max() == len(library.encode(text))
+
+
+@pytest.mark.parametrize("chunk", [op.CHUNK, 100])
+def test_documents(spark, library, chunk):
+    texts = cases.odd_texts() + [(40, "x" * 700), (41, "漢字" * 200)]
+    texts = [(d, t) for d, t in texts if d != 10] + [(60, cases.prose(4, 400))]
+    found = op.round_trip(cases.table(spark, texts), chunk).collect()
+    wanted = []
+    for d, t in texts:
+        ids = library.encode(t or "")
+        wanted.append((d, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), len(library.decode(ids))))
+    assert sorted((tuple(r)[:4] for r in found), key=repr) == sorted(wanted, key=repr)
+
+
+def test_decoding_gives_the_text_back(spark):
+    texts = [(i, cases.prose(i, 50) + "\n  two  spaces 🙂") for i in range(5)] + [(9, None)]
+    found = op.decoded(op.encoded(cases.table(spark, texts))).collect()
+    assert {r.doc_id: r.text for r in found} == {d: t or "" for d, t in texts}
+
+
+def test_empty_table(spark):
+    assert op.round_trip(cases.table(spark, [])).collect() == []
