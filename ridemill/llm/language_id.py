@@ -28,7 +28,8 @@ SMOOTHING = 0.1
 COUNTED = 64
 UNDECIDED = "und"
 LETTER = re.compile(r"[^\W\d_]")
-MOST_KNOWN = 400_000
+#: Words whose scores a task keeps.
+MOST_KNOWN = 800_000
 
 
 class Pieces:
@@ -42,29 +43,35 @@ class Pieces:
         own = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         self.size = len(own) + 1
         self.unknown, self.missing = len(own), len(own) + 1
-        self.prefixes: dict[str, int] = {}
-        pieces = [model.id_to_piece(i) for i in own]
-        for piece in pieces:
-            for end in range(1, len(piece)):
-                self.prefixes.setdefault(piece[:end], self.missing)
-        for number, piece in enumerate(pieces):
-            self.prefixes[piece] = number
+        self.numbers = {model.id_to_piece(i): number for number, i in enumerate(own)}
+        # A trie: from a node and a code point to the next node, as sorted keys; and the piece that ends at a node.
+        nodes, steps = {"": 0}, {}
+        for piece in self.numbers:
+            for end in range(1, len(piece) + 1):
+                if piece[:end] not in nodes:
+                    nodes[piece[:end]] = len(nodes)
+                    steps[nodes[piece[: end - 1]] << 21 | ord(piece[end - 1])] = nodes[piece[:end]]
+        self.keys = np.array(sorted(steps), np.int64)
+        self.next = np.array([steps[k] for k in self.keys.tolist()], np.int64)
+        self.ending = np.array([self.numbers.get(prefix, self.missing) for prefix in nodes], np.int32)
 
     def edges(self, words: list[str]) -> np.ndarray:
         """For words of one length: the piece at each start and of each length."""
         length = len(words[0])
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64).reshape(len(words), length)
         found = np.full((len(words), length, min(LONGEST, length)), self.missing, np.int32)
-        flat, row, known = found.reshape(-1), 0, self.prefixes
-        for word in words:
-            for start in range(length):
-                for end in range(start + 1, min(length, start + LONGEST) + 1):
-                    piece = known.get(word[start:end])
-                    if piece is None:
-                        break
-                    flat[row + end - start - 1] = piece
-                if flat[row] == self.missing:
-                    flat[row] = self.unknown
-                row += found.shape[2]
+        row, start = (x.ravel() for x in np.indices(codes.shape))
+        node = np.zeros(len(row), np.int64)
+        for size in range(1, found.shape[2] + 1):
+            key = node << 21 | codes[row, start + size - 1]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            known = self.keys[place] == key
+            row, start, node = row[known], start[known], self.next[place[known]]
+            found[row, start, size - 1] = self.ending[node]
+            inside = start + size < length
+            row, start, node = row[inside], start[inside], node[inside]
+        single = found[:, :, 0]
+        single[single == self.missing] = self.unknown
         return found
 
 
@@ -145,6 +152,13 @@ def expected(words: list[bytes], counts: np.ndarray, chances: np.ndarray, path:
     return found[: known.size]
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, as the words of many texts take several times their size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def is_held_out(parts: int, part: int) -> Column:
     """Whether crc32 of the id as text leaves `part` when divided by `parts`; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).cast("binary")) % parts == part
@@ -220,7 +234,7 @@ def language_id(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS, path
         chances, prior = known.value
         place: dict[bytes, int] = {}
         scores = np.empty((0, len(languages)))
-        for batch in batches:
+        for batch in parts_of(batches):
             rows = [(doc_id, body or b"") for doc_id, body in rows_of(iter([batch]))]
             split = [body.split() for _, body in rows]
             if len(place) > MOST_KNOWN:
