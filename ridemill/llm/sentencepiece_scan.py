@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,9 +34,11 @@ LONGEST = 16
 CHUNK = 32_768
 SPACE = "▁"
 #: No piece goes on into a new word, so words are encoded each for itself.
-WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+WORD_BYTES = re.compile(rb" *[^ ]+| +")
+NEVER = float("-inf")
 BOUNDARY = re.compile(f"(?<=[^{SPACE}]){SPACE}")
-MOST_KNOWN = 1_000_000
+#: Words whose ids a task keeps, and pairs of pieces that it knows to fit or not.
+MOST_KNOWN, MOST_PAIRS = 700_000, 200_000
 State = tuple[str, int]
 
 
@@ -58,25 +61,34 @@ class Model:
             for end in range(1, len(piece)):
                 self.begun.setdefault(piece[:end], end == 1)
             self.begun[piece] = len(piece) == 1 or self.merged(piece) == [piece]
-        self.fits = Memo(lambda pair: not pair[0] or self.merged(pair[0] + pair[1]) == list(pair), MOST_KNOWN)
+        self.fits = Memo(lambda pair: not pair[0] or self.merged(pair[0] + pair[1]) == list(pair), MOST_PAIRS)
         self.words = Memo(self.word_ids, MOST_KNOWN)
 
-    def word_ids(self, word: str) -> bytes:
+    def text_ids(self, body: bytes) -> bytes:
+        """The ids of a whole text.  Words are looked up as bytes, which take less room."""
+        if not body:
+            return b""
+        body = b" " + body.replace(SPACE.encode(), b" ")
+        return b"".join(map(self.words.__getitem__, WORD_BYTES.findall(body)))
+
+    def word_ids(self, body: bytes) -> bytes:
         """Merging takes the square of a word's length, the best path its length: short words are merged."""
+        word = body.decode().replace(" ", SPACE)
         return self.as_ids(self.merged(word) if len(word) <= 2 * LONGEST else self.path(word, ("", 0), len(word)))
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text as its definition says: the best pair is merged first, the leftmost of equals."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = self.scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                return parts
+        parts, score = list(text), self.scores.get
+        scores = [score(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while scores and (best := max(scores)) > NEVER:
+            at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], NEVER)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], NEVER)
+        return parts
 
     def weight(self, piece: str) -> int:
         return 1 if piece in self.ids else len(piece.encode())
@@ -112,7 +124,7 @@ class Model:
         for piece in pieces:
             own = self.ids.get(piece)
             ids += [own] if own is not None else [self.byte_ids[b] for b in piece.encode()]
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def states(self, text: str, boundary: int) -> list[State]:
         """The pieces that begin before a boundary and end at it or behind: all states that it can have."""
@@ -125,6 +137,9 @@ class Model:
         found = [m.start() for m in BOUNDARY.finditer(text, begin, stop)]
         return (found[0], found[-1]) if found else None
 
+    def inner_words(self, text: str) -> list[bytes]:
+        return WORD_BYTES.findall(text.replace(SPACE, " ").encode())
+
     def reach(self, row: np.ndarray, found: dict[int, tuple[str, int]], after: list[State]) -> None:
         for j, (piece, end) in enumerate(after):
             last = found.get(end - len(piece))
@@ -136,7 +151,7 @@ class Model:
         matrix = np.full((len(before), len(after)), -np.inf)
         meet = self.inner(text, max(e for _, e in before) + 1, stop)
         if meet:
-            middle = sum(len(self.words[w]) // 4 for w in WORD.findall(text[meet[0] : meet[1]]))
+            middle = sum(len(self.words[w]) // 4 for w in self.inner_words(text[meet[0] : meet[1]]))
             tail = self.ends(text, ("", meet[1]), stop)
         for i, state in enumerate(before):
             if state[1] >= stop and state in after:  # one piece covers the whole chunk
@@ -160,7 +175,7 @@ class Model:
         meet = self.inner(text, before[1] + 1, target + 1)
         if meet:
             head = self.as_ids(self.path(text, before, meet[0]))
-            middle = b"".join(map(self.words.__getitem__, WORD.findall(text[meet[0] : meet[1]])))
+            middle = b"".join(map(self.words.__getitem__, self.inner_words(text[meet[0] : meet[1]])))
             return head + middle + self.as_ids([*self.path(text, ("", meet[1]), target), piece])
         return self.as_ids([*self.path(text, before, target), piece])
 
@@ -195,19 +210,16 @@ def chunk_states(own: Model, text: str, lead: int, at: int, total: int, chunk: i
     return before, [s for s in after if s[1] == stop] if last else after, stop
 
 
-def marked(text: str) -> str:
-    return SPACE + text.replace(" ", SPACE) if text else ""
-
-
 def encoded_whole(docs: DataFrame, path: str | None) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        words = model(path).words
-        for doc_id, text in rows_of(batches):
-            yield doc_id, b"".join(map(words.__getitem__, WORD.findall(marked(text or ""))))
+        own = model(path)
+        for doc_id, body in rows_of(batches):
+            yield doc_id, own.text_ids(body or b"")
 
-    return docs.mapInArrow(lambda b: in_batches(run(b), schema, 1024), "doc_id long, ids binary")
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("body"))
+    return rows.mapInArrow(lambda b: in_batches(run(b), schema, 1024), "doc_id long, ids binary")
 
 
 def encoded_chunks(docs: DataFrame, chunk: int, path: str | None) -> DataFrame:
