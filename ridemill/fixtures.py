@@ -128,13 +128,16 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.when(F.col("event_type") == "error", broken).otherwise(line).alias("value"))
 
 
-def land_csv(spark: SparkSession, sf_dir: str, folder: str, files: int = 8) -> None:
-    """The CSV lines as that many files, each with a header.
+def land_csv(spark: SparkSession, sf_dir: str, folder: str, files: int = 8, status: str | None = None) -> None:
+    """The CSV lines, or those with one status, as that many files, each with a header.
 
     One unquoted column named like the header makes Spark write both as they are.
     """
     header = ",".join(S.RAW_TRIPS.names)
-    lines = csv_lines(spark, sf_dir).withColumnRenamed("value", header)
+    lines = csv_lines(spark, sf_dir)
+    if status is not None:
+        lines = lines.where(F.split("value", ",")[6] == status)
+    lines = lines.withColumnRenamed("value", header)
     lines.repartition(files).write.options(header="true", sep="\u0001", quote="").csv(folder)
 
 

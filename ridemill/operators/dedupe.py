@@ -33,7 +33,7 @@ def latest_per_trip(clean: DataFrame) -> DataFrame:
 
 
 def _completed_first() -> Column:
-    return F.when(F.col("status") == S.STATUS_COMPLETED, 0).otherwise(1).asc()
+    return F.col("status").eqNullSafe(S.STATUS_COMPLETED).desc()
 
 
 def _first_row(df: DataFrame, key: list[str], order: list[Column], decided: set[str]) -> DataFrame:

@@ -27,11 +27,21 @@ def row_floor_bytes(df: DataFrame) -> int:
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """In-memory size of the rows, counted by one aggregate over them."""
+    """In-memory size of the rows, counted by one aggregate over them.
+
+    A nested value counts 8 bytes for each byte of its JSON text, nulls and names
+    included: more than it can take.
+    """
     per_row = [F.lit(row_floor_bytes(df)).cast("bigint")]
     for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            per_row.append(F.coalesce(F.octet_length(field.name).cast("bigint"), F.lit(0)))
+            per_row.append(F.coalesce(F.octet_length(column).cast("bigint"), F.lit(0)))
+        elif isinstance(field.dataType, T.DecimalType):
+            per_row.append(F.lit(16).cast("bigint"))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.to_json(F.struct(column), {"ignoreNullFields": "false"})
+            per_row.append(F.octet_length(text).cast("bigint") * 8)
     return df.agg(F.coalesce(F.sum(reduce(add, per_row)), F.lit(0))).first()[0]
 
 

@@ -18,8 +18,8 @@ def observe_batch(clean: DataFrame, name: str = "batch") -> tuple[DataFrame, Obs
     observed = clean.observe(
         observation,
         F.count(F.lit(1)).alias("clean_count"),
-        F.date_format(F.min("start_time"), "yyyy-MM-dd").alias("start_date"),
-        F.date_format(F.max("start_time"), "yyyy-MM-dd").alias("end_date"),
+        F.min(F.to_date("start_time")).cast("string").alias("start_date"),
+        F.max(F.to_date("start_time")).cast("string").alias("end_date"),
     )
     return observed, observation
 

@@ -52,9 +52,11 @@ def run_scope(run_id: str, start, end) -> Column:
 def score_trips(trips: DataFrame, scope: Column, duration: str = "exact", stats: DataFrame | None = None) -> DataFrame:
     """Finished trips in scope with their route's statistics and z-score.
 
-    The baseline is all finished trips of `trips`.  Its statistics are one row
-    per route and vehicle type; they are written once, measured, and broadcast
-    if small, so that the judged trips need no shuffle on a hot route.
+    Without `stats` the baseline is all finished trips of `trips`.  Its statistics
+    are one row per route and vehicle type; they are written once, measured, and
+    broadcast if small, so that the judged trips need no shuffle on a hot route.
+    That runs two jobs while the plan is built and leaves a checkpoint; callers that
+    must not, or that judge fewer trips than the baseline has, give `stats`.
     """
     if stats is None:
         stats = sized(checkpointed(route_duration_stats(trips, duration)))

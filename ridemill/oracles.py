@@ -74,6 +74,12 @@ _SUBQUERIES = {
     "accepted_b": """
         SELECT * REPLACE ('run_b' AS sfn_execution_id) FROM redelivered
         WHERE route_id IN (SELECT route_id FROM routes) AND vehicle_id IN (SELECT vehicle_id FROM vehicles)""",
+    "current_b": "{merged}",
+    "enriched_b": """
+        SELECT t.*, v.vehicle_type, v.capacity, CAST(t.start_time AS DATE) AS trip_date,
+               datesub('microsecond', t.start_time, t.end_time) AS us,
+               datesub('minute', t.start_time, t.end_time) AS minutes
+        FROM current_b t JOIN vehicles v USING (vehicle_id)""",
     "lines": f"""
         SELECT 'T' || event_id AS trip_id, 'R' || lpad(CAST(user_id % 27 AS VARCHAR), 3, '0') AS route_id,
                'V' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS vehicle_id, {_STATUS} AS status,
@@ -99,6 +105,8 @@ _NEEDS = {
     "enriched_again": ("redelivered", "vehicles"),
     "accepted_a": ("trips", "routes", "vehicles"),
     "accepted_b": ("redelivered", "routes", "vehicles"),
+    "current_b": ("accepted_a", "accepted_b"),
+    "enriched_b": ("current_b", "vehicles"),
     "judged_lines": ("lines", "routes", "vehicles"),
     "deliveries": ("trips", "redelivered"),
 }
@@ -201,6 +209,7 @@ def _merged(ends_later: str, target: str = "trips", source: str = "redelivered")
 
 
 _STRICT = "s.end_time >= t.end_time"
+_SUBQUERIES["current_b"] = _merged(_STRICT, "accepted_a", "accepted_b")
 _OPEN = "t.end_time IS NULL OR s.end_time >= t.end_time"
 _LINE_OK = "event_type <> 'error'"
 
@@ -218,6 +227,15 @@ def oracle_sql() -> dict[str, str]:
     rows = "trip_id, route_id, vehicle_id, status, start_time, end_time, distance_km, sfn_execution_id"
     runs = _using("accepted_a", "accepted_b")
     in_week = f"trip_date BETWEEN DATE '{X.AS_OF}' - 6 AND DATE '{X.AS_OF}'"
+    # After the second run all tables describe the merged trips; outliers are those of that run.
+    merged = f"{_using('enriched_b')}, enriched AS (SELECT * FROM enriched_b)"
+    accepted_lines = f"""
+            SELECT trip_id, route_id, vehicle_id, status, start_time, end_time, distance_km,
+                   TIMESTAMP '{X.AS_OF}' AS ingested_at
+            FROM judged_lines WHERE quarantine_reason IS NULL"""
+    calendar = """calendar AS (
+        SELECT CAST(unnest(generate_series(min(trip_date), max(trip_date) + 6, INTERVAL 1 DAY)) AS DATE) AS calculation_date
+        FROM enriched)"""
     again = _daily(_MEAN, "max(us) / 6e7", "enriched_again", "hours_again", in_week)
     return {
         "daily_ridership": f"{enriched}, {_HOURS} {_DAILY}",
@@ -282,7 +300,8 @@ def oracle_sql() -> dict[str, str]:
         "quarantine_roundtrip": f"""{judged}
             SELECT CASE WHEN NOT corrupt THEN trip_id
                         WHEN event_id % 97 = 0 THEN '  ' ELSE ' T' || event_id || ' ' END AS trip_id,
-                   note, quarantine_reason, CASE WHEN corrupt THEN event_id || ';' || note END AS _corrupt_record
+                   note, quarantine_reason, CASE WHEN corrupt THEN event_id || ';' || note END AS _corrupt_record,
+                   TIMESTAMP '{X.AS_OF}' AS quarantined_at
             FROM judged WHERE quarantine_reason IS NOT NULL""",
         "run_metadata": f"""{judged} SELECT '{X.BATCH_ID}' AS sfn_execution_id,
             strftime(min(start_time), '%Y-%m-%d') AS start_date, strftime(max(start_time), '%Y-%m-%d') AS end_date
@@ -297,5 +316,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT trip_id, route_id, vehicle_id, status, start_time, end_time, distance_km,
                    TIMESTAMP '{X.AS_OF}' AS ingested_at
             FROM judged_lines WHERE quarantine_reason IS NULL""",
+        "stream_late_files": f"{_using('judged_lines')} {accepted_lines}",
+        "stream_replay": f"""{_using('judged_lines')}
+            SELECT kept_in, trip_id, CAST(start_time AS DATE) AS start_date, 0 AS batch
+            FROM judged_lines, (VALUES ('active'), ('history')) AS t(kept_in) WHERE quarantine_reason IS NULL""",
+        "run_gold_daily": f"{merged}, {_hours(dates='TRUE')} {_daily(_MEAN, 'max(us) / 6e7', dates='TRUE')}",
+        "run_gold_weekly": f"{merged}, {calendar}, {_ROLLING}, {_RANKED} {_WEEKLY}",
+        "run_gold_outliers": f"""{merged}, {_STATS}, {_scored("sfn_execution_id = 'run_b'")} {_outliers(repr(S.OUTLIER_NONE))}""",
+        "gold_skipped": f"""SELECT '{S.REASON_ROUTE}' AS quarantine_reason, count(*) AS bad_rows,
+            0 AS gold_entries, CAST(0 AS BIGINT) AS clean_rows FROM events""",
+        "csv_lineage": f"SELECT 'T' || event_id AS trip_id, {_STATUS} AS folder FROM events",
+        "discovered_scan": f"""{_using('lines')} SELECT trip_id, 'r' || CAST(substr(route_id, 2) AS INTEGER) AS route_id,
+            distance_km, 'double' AS distance_type FROM lines WHERE NOT is_corrupt""",
+        "dimension_scan": f"{_using('vehicles')} SELECT * FROM vehicles",
         "from_csv_corrupt": f"""SELECT 'T' || event_id AS trip_id, NOT ({_LINE_OK}) AS is_corrupt FROM events""",
     }

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ridemill import schema as S
-from ridemill.functions import shift_day
+from ridemill.functions import as_day, shift_day
 from ridemill.operators.dedupe import dedupe_batch, latest_per_trip
 from ridemill.operators.lookup import BROADCAST_LIMIT_BYTES, enrich_trips, fits_broadcast, row_floor_bytes, sized
 from ridemill.operators.metrics import observe_reasons
@@ -18,7 +18,7 @@ from ridemill.operators.rankings import weekly_top_routes
 from ridemill.operators.ridership import daily_ridership, load_window
 from ridemill.operators.validate import classify_trips, quarantine_rows, split_clean_bad
 from ridemill.plans.parquet_store import ACTIVE, MAIN, distinct_days
-from ridemill.session import checkpointed, delete_path
+from ridemill.session import checkpointed, delete_path, require_utc
 from ridemill.sinks.gold_files import GoldWrite
 from ridemill.sinks.quarantine import write_quarantine
 from ridemill.sinks.run_metadata import write_run_metadata
@@ -58,6 +58,7 @@ def run_silver(
     staged history.  With run id `main` the result is published at once.
     """
     spark = raw.sparkSession
+    require_utc(spark)
     classified = classify_trips(raw, routes, vehicles, run_id, as_of)
     bad_counts = _quarantine(classified, quarantine_root, run_id)
     clean, _ = split_clean_bad(classified)
@@ -110,10 +111,12 @@ def run_gold(
     """Recompute the business tables for the touched dates, then publish the branch.
 
     The three results read different columns and days, so each scans what it
-    needs; `persist` keeps the joined trips instead, for small windows.  The
+    needs: the padded window only for the statistics and the rankings, the dates
+    alone for what is judged.  `persist` keeps the joined trips instead, for small windows.  The
     branch is published only after the sink has taken all three tables.
     """
-    active = store.read(ACTIVE, run_id)
+    require_utc(vehicles.sparkSession)
+    active = store.read(ACTIVE, run_id, _days(shift_day(start_date, -WINDOW_PAD_DAYS), shift_day(end_date, WINDOW_PAD_DAYS)))
     trips = _enriched_window(active, vehicles, start_date, end_date, WINDOW_PAD_DAYS)
     of_the_dates = _enriched_window(active, vehicles, start_date, end_date, 0)
     if persist:
@@ -131,7 +134,7 @@ def run_gold(
                     start_date,
                     last_calculation,
                 ),
-                GoldWrite(S.GOLD_OUTLIERS, trip_outliers(trips, scope, stats=stats), start_date, end_date),
+                GoldWrite(S.GOLD_OUTLIERS, trip_outliers(of_the_dates, scope, stats=stats), start_date, end_date),
             ]
         )
     finally:
@@ -141,6 +144,11 @@ def run_gold(
         store.publish(run_id)
 
 
+def _days(first: dt.date | str, last: dt.date | str) -> list[dt.date]:
+    first, last = as_day(first), as_day(last)
+    return [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+
+
 def _enriched_window(active: DataFrame, vehicles: DataFrame, start_date: str, end_date: str, pad_days: int) -> DataFrame:
     window = load_window(active, start_date, end_date, pad_days)
     return enrich_trips(window, vehicles).select(*S.ENRICHED_COLUMNS)

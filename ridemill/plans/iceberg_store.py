@@ -7,6 +7,7 @@ made here are tested, against a recording session.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ class IcebergTripStore:
         self.catalog = catalog
         self.database = database
         self.prefix = prefix
+        self.staged_days: dict[str, tuple[str | None, str | None]] = {}
 
     def init_tables(self, like: DataFrame) -> None:
         for name in (ACTIVE, HISTORY):
@@ -36,20 +38,36 @@ class IcebergTripStore:
             empty.tableProperty("format-version", "2").partitionedBy(partitioning.days("start_time")).create()
             self.spark.sql(f"ALTER TABLE {self.table(name)} WRITE ORDERED BY {', '.join(SORT[name])}")
 
-    def read(self, name: str, branch: str = MAIN) -> DataFrame:
+    def read(self, name: str, branch: str = MAIN, days: Iterable[dt.date] | None = None) -> DataFrame:
+        """The table as a branch sees it; `days` become a condition that prunes its partitions."""
         reader = self.spark.read.format("iceberg")
         if branch != MAIN:
             reader = reader.option("branch", branch)
-        return reader.load(self.table(name))
+        rows = reader.load(self.table(name))
+        days = sorted(days or ())
+        return rows.where(_in_days(F.col("start_time"), days[0], days[-1])) if days else rows
 
     def append_history(self, branch: str, rows: DataFrame) -> dict:
+        """Stage the batch in place of the run's own rows.
+
+        A branch made from a main that has the run already, as after a publish that was
+        not acknowledged, would hold its rows twice if they were appended.
+        """
+        _refuse_main(branch)
         self._stage_branch(HISTORY, branch)
         observed, metrics = observe_batch(rows)
-        observed.writeTo(self._at(HISTORY, branch)).append()
-        return metrics.get
+        observed.writeTo(self._at(HISTORY, branch)).overwrite(F.col(S.RUN_COLUMN) == branch)
+        found = metrics.get
+        self.staged_days[branch] = (found["start_date"], found["end_date"])
+        return found
 
     def batch_rows(self, branch: str) -> DataFrame:
+        """The run's rows of history; the days seen while staging prune the table."""
+        _refuse_main(branch)
         own = self.read(HISTORY, branch).where(F.col(S.RUN_COLUMN) == branch)
+        first, last = self.staged_days.get(branch, (None, None))
+        if first is not None and last is not None:
+            own = own.where(_in_days(F.col("start_time"), dt.date.fromisoformat(first), dt.date.fromisoformat(last)))
         return own.withColumn(S.DAY_COLUMN, F.to_date("start_time"))
 
     def merge_active(
@@ -96,13 +114,19 @@ class IcebergTripStore:
 
 def _same_trip(target: str, first: dt.date, last: dt.date) -> Column:
     start = F.col(f"{target}.start_time")
+    same = (F.col(f"{target}.trip_id") == F.col("source.trip_id")) & (start == F.col("source.start_time"))
+    return same & _in_days(start, first, last)
+
+
+def _in_days(start: Column, first: dt.date, last: dt.date) -> Column:
     after = last + dt.timedelta(days=1)
-    return (
-        (F.col(f"{target}.trip_id") == F.col("source.trip_id"))
-        & (start == F.col("source.start_time"))
-        & (start >= F.lit(first.isoformat()).cast("date"))
-        & (start < F.lit(after.isoformat()).cast("date"))
-    )
+    return (start >= F.lit(first.isoformat()).cast("date")) & (start < F.lit(after.isoformat()).cast("date"))
+
+
+def _refuse_main(branch: str) -> None:
+    """Rows of `main` are those of all such runs: a batch cannot be told from earlier ones."""
+    if branch == MAIN:
+        raise ValueError(f"the Iceberg store stages runs on branches; {MAIN} is not one")
 
 
 def _replaces(target: str, null_end: str) -> Column:

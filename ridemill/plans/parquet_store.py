@@ -8,12 +8,20 @@
 A branch holds the rewritten days of `active` and the new rows of `history`.
 Publishing copies its partitions over those of main: whole days of `active`,
 and the run's own partitions of `history`, so a repeated publish changes
-nothing and history is never rewritten.  A publish is not atomic over days.
+nothing and history is never rewritten.  A publish is not atomic over days: a
+note in <root>/publishing stands from before its first day to after its last.
+While it stands, the branch may hold the only whole copy of a day; whoever stages
+or publishes next first finishes what the note names.
+
+<root>/published holds a note for each published branch; branches that were
+published more than RETAIN_DAYS ago are removed, others never.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +30,13 @@ from pyspark.sql import types as T
 from ridemill import schema as S
 from ridemill.operators.merge import merge_trips
 from ridemill.operators.metrics import observe_batch
-from ridemill.session import path_exists
+from ridemill.session import delete_path, names_in, path_exists, read_note, write_note
 
 MAIN = "main"
 ACTIVE = "active"
 HISTORY = "history"
 PARTITIONS = {ACTIVE: [S.DAY_COLUMN], HISTORY: [S.DAY_COLUMN, S.RUN_COLUMN]}
+RETAIN_DAYS = 5
 SORT = {ACTIVE: ["trip_id"], HISTORY: ["route_id", "start_time"]}
 
 
@@ -43,15 +52,23 @@ class ParquetTripStore:
             empty.write.mode("ignore").parquet(self._layout(name))
             empty.write.mode("ignore").partitionBy(*PARTITIONS[name]).parquet(self._path(name, MAIN))
 
-    def read(self, name: str, branch: str = MAIN) -> DataFrame:
-        """The table as a branch sees it; `start_date` is kept for pruning."""
-        main = self._rows(name, self._path(name, MAIN))
+    def read(self, name: str, branch: str = MAIN, days: Iterable[dt.date] | None = None) -> DataFrame:
+        """The table as a branch sees it; `start_date` is kept for pruning.
+
+        With `days` only their folders are listed and read.
+        """
+        wanted = None if days is None else {f"{S.DAY_COLUMN}={day.isoformat()}" for day in days}
         if branch == MAIN:
-            return main
-        own = self._rows(name, self._path(name, branch))
+            return self._rows(name, self._path(name, MAIN), wanted)
+        path = self._path(name, branch)
+        own = self._rows(name, path, wanted)
         if name == HISTORY:
-            return main.where(F.col(S.RUN_COLUMN) != branch).unionByName(own)
-        days = distinct_days(own)
+            return self._rows(name, self._path(name, MAIN), wanted).where(F.col(S.RUN_COLUMN) != branch).unionByName(own)
+        rewritten = {n for n in names_in(self.spark, path) if n.startswith(f"{S.DAY_COLUMN}=")}
+        if wanted is not None:
+            return self._rows(name, self._path(name, MAIN), wanted - rewritten).unionByName(own)
+        days = [dt.date.fromisoformat(n.split("=", 1)[1]) for n in sorted(rewritten)]
+        main = self._rows(name, self._path(name, MAIN))
         return main.where(~F.col(S.DAY_COLUMN).isin(days)).unionByName(own) if days else main
 
     def append_history(self, branch: str, rows: DataFrame) -> dict:
@@ -60,6 +77,7 @@ class ParquetTripStore:
         The batch must have the columns of the table.  The metrics are observed above the last shuffle, in the tasks that write,
         where a lost executor cannot make rows count twice.
         """
+        self.finish_publishes()
         dated, layout = _with_day(rows), self._columns(HISTORY)
         if set(dated.columns) != set(layout.names):
             raise ValueError(f"columns differ: {sorted(dated.columns)} and {sorted(layout.names)}")
@@ -86,7 +104,8 @@ class ParquetTripStore:
         small source leaves the target rows in the tasks that read them, already
         apart by day, so they are only sorted; else the join has mixed the days.
         """
-        target = self.read(ACTIVE).where(F.col(S.DAY_COLUMN).isin(days))
+        self.finish_publishes()
+        target = self.read(ACTIVE, days=days)
         merged = merge_trips(target, source.select(*target.columns), null_end, source_fits_broadcast)
         shaped = _sorted(merged, ACTIVE) if source_fits_broadcast else _shaped(merged, ACTIVE)
         self._write(shaped, ACTIVE, self._path(ACTIVE, branch, staged=True), "static")
@@ -95,19 +114,56 @@ class ParquetTripStore:
         """Copy the branch's partitions to main, file by file and without a shuffle.
 
         Rows staged directly for `main` have no run of their own to replace, so
-        their history is appended.
+        their history is appended; a note of how many there were before tells a
+        repeated publish whether that has been done.
         """
+        self.finish_publishes(but=branch)
+        note = f"{self.root}/publishing/{branch}"
+        if not path_exists(self.spark, note):
+            write_note(self.spark, note, str(self._main_history_rows()) if branch == MAIN else "")
         active = self._rows(ACTIVE, self._path(ACTIVE, branch, staged=True))
         self._write(_sorted(active, ACTIVE), ACTIVE, self._path(ACTIVE, MAIN), "dynamic")
-        mode = "append" if branch == MAIN else "dynamic"
-        self._write(_sorted(self.batch_rows(branch), HISTORY), HISTORY, self._path(HISTORY, MAIN), mode)
-
-    def _rows(self, name: str, path: str) -> DataFrame:
+        if branch != MAIN or self._history_is_open(int(read_note(self.spark, note))):
+            mode = "append" if branch == MAIN else "dynamic"
+            self._write(_sorted(self.batch_rows(branch), HISTORY), HISTORY, self._path(HISTORY, MAIN), mode)
+        write_note(self.spark, f"{self.root}/published/{branch}", "")
+        delete_path(self.spark, note)
+        self.expire_branches()
+
+    def finish_publishes(self, but: str | None = None) -> None:
+        """Repeat each publish that was begun and not ended."""
+        for branch in sorted(names_in(self.spark, f"{self.root}/publishing")):
+            if branch != but:
+                self.publish(branch)
+
+    def expire_branches(self, now: float | None = None) -> list[str]:
+        """Remove branches published more than RETAIN_DAYS ago, unless their publish is begun again; returns them."""
+        limit = ((time.time() if now is None else now) - RETAIN_DAYS * 86_400) * 1000
+        open_notes = names_in(self.spark, f"{self.root}/publishing")
+        published = names_in(self.spark, f"{self.root}/published")
+        gone = sorted(b for b, changed in published.items() if changed < limit and b not in open_notes)
+        for branch in gone:
+            delete_path(self.spark, f"{self.root}/branches/{branch}")
+            delete_path(self.spark, f"{self.root}/published/{branch}")
+        return gone
+
+    def _main_history_rows(self) -> int:
+        return self.read(HISTORY).where(F.col(S.RUN_COLUMN) == MAIN).count()
+
+    def _history_is_open(self, before: int) -> bool:
+        now, staged = self._main_history_rows(), self.batch_rows(MAIN).count()
+        if now not in (before, before + staged):
+            raise RuntimeError(f"history of {MAIN} has {now} rows; a publish was cut off between {before} and {before + staged}")
+        return now == before and staged > 0
+
+    def _rows(self, name: str, path: str, folders: set[str] | None = None) -> DataFrame:
+        """The rows under `path`; with `folders`, only those of its folders that are named and exist."""
         layout = self._columns(name)
-        if not path_exists(self.spark, path):
+        paths = [path] if folders is None else [f"{path}/{f}" for f in sorted(folders & names_in(self.spark, path).keys())]
+        if not paths or not path_exists(self.spark, path):
             return self.spark.createDataFrame([], layout)
         # Partition values take the layout's types, not inferred ones.
-        return self.spark.read.schema(layout).parquet(path).select(*layout.names)
+        return self.spark.read.schema(layout).option("basePath", path).parquet(*paths).select(*layout.names)
 
     def _columns(self, name: str) -> T.StructType:
         return self.spark.read.parquet(self._layout(name)).schema

@@ -21,6 +21,7 @@ SESSION_SETTINGS = {
 }
 SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
 FEWEST_SHUFFLE_PARTITIONS = 200
+UNKNOWN_SIZE_PARTITIONS = 4000
 
 
 def shuffle_partitions_for(shuffled_bytes: int) -> int:
@@ -38,6 +39,9 @@ def build_session(app_name: str = "ridemill", shuffled_bytes: int | None = None,
     settings = {**SESSION_SETTINGS, **extra}
     if shuffled_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(shuffled_bytes))
+    elif "spark.sql.shuffle.partitions" not in settings:
+        # Of a size that is not known: begin with many, AQE joins those that turn out small.
+        settings.setdefault("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(UNKNOWN_SIZE_PARTITIONS))
     builder = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -72,6 +76,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def names_in(spark: SparkSession, path: str) -> dict[str, int]:
+    """The entries of a folder, one level deep, with their times of change in milliseconds."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(location):
+        return {}
+    return {entry.getPath().getName(): entry.getModificationTime() for entry in system.listStatus(location)}
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written anew."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = location.getFileSystem(spark._jsc.hadoopConfiguration()).create(location, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = location.getFileSystem(spark._jsc.hadoopConfiguration()).open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Days and bounds are those of UTC; in another zone they would shift unseen."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
+        raise ValueError(f"the session's time zone must be UTC, not {zone}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

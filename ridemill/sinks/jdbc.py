@@ -69,9 +69,14 @@ class JdbcGoldSink:
         self.publish(writes)
 
     def stage(self, write: GoldWrite) -> None:
-        """Write to the staging table with at most `max_connections` open at once."""
+        """Write to the staging table with at most `max_connections` open at once.
+
+        The rows are shuffled into that many tasks: without it Spark would run the whole
+        query behind them in so few.
+        """
         (
             write.rows.select(*write.table.column_names)
+            .repartition(self.max_connections)
             .write.option("numPartitions", self.max_connections)
             .jdbc(self.url, write.table.stage_name, mode="overwrite", properties=self.properties)
         )

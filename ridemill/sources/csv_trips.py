@@ -22,6 +22,8 @@ CSV_OPTIONS = {
     "columnNameOfCorruptRecord": S.CORRUPT_COLUMN,
     "columnPruning": "false",
 }
+#: Spark skips files that are older than the newest one by more than this; here none is.
+ANY_AGE = "36500d"
 LANDING_OPTIONS = {"pathGlobFilter": "*.csv", "recursiveFileLookup": "true"}
 
 
@@ -37,10 +39,19 @@ def stream_trips_csv(
     landing: str,
     schema: T.StructType = S.RAW_TRIPS,
     max_files: int = 50,
+    archive: str | None = None,
 ) -> DataFrame:
-    """The landing folder as a stream, at most `max_files` new files per batch."""
+    """The landing folder as a stream, at most `max_files` new files per batch.
+
+    A file is read however old its time stamp is.  With `archive`, files that are done
+    are moved there, so that neither the folder nor the list of known files grows
+    without end; it must not lie inside `landing`.
+    """
     reader = spark.readStream.schema(with_corrupt_column(schema)).options(**CSV_OPTIONS, **LANDING_OPTIONS)
-    return _with_lineage(reader.option("maxFilesPerTrigger", max_files).csv(landing), schema)
+    reader = reader.options(maxFilesPerTrigger=max_files, maxFileAge=ANY_AGE)
+    if archive is not None:
+        reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
+    return _with_lineage(reader.csv(landing), schema)
 
 
 def parse_trip_lines(lines: DataFrame, column: str = "value", schema: T.StructType = S.RAW_TRIPS) -> DataFrame:

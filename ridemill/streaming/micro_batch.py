@@ -14,8 +14,9 @@ from ridemill.sinks.run_metadata import first_attempt_time
 from ridemill.sources.csv_trips import stream_trips_csv
 
 
-def batch_run_id(name: str, batch_id: int) -> str:
-    return f"wap_{name}_{batch_id}".replace("-", "_")
+def batch_run_id(name: str, stream_id: str, batch_id: int) -> str:
+    """`stream_id` is kept in the checkpoint: the same after a restart, another with a new checkpoint."""
+    return f"wap_{name}_{stream_id}_{batch_id}".replace("-", "_")
 
 
 def stream_silver(
@@ -31,6 +32,7 @@ def stream_silver(
     name: str = "trips",
     as_of: dt.datetime | str | None = None,
     max_files: int = 50,
+    archive: str | None = None,
     schema=S.RAW_TRIPS,
     null_end: str = "strict",
     on_batch: Callable[[SilverResult], None] | None = None,
@@ -44,7 +46,7 @@ def stream_silver(
     """
 
     def handle(rows: DataFrame, batch_id: int) -> None:
-        run_id = batch_run_id(name, batch_id)
+        run_id = batch_run_id(name, spark.sparkContext.getLocalProperty("sql.streaming.queryId"), batch_id)
         result = run_batch(
             rows,
             routes,
@@ -61,7 +63,7 @@ def stream_silver(
             on_batch(result)
 
     return (
-        stream_trips_csv(spark, landing, schema, max_files)
+        stream_trips_csv(spark, landing, schema, max_files, archive)
         .writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridemill import fixtures as X
 from ridemill import operators as op
 from ridemill import schema as S
-from ridemill.functions import between_days, date_spine
+from ridemill.functions import between_days
 from ridemill.operators.outliers import run_scope
-from ridemill.plans import ParquetTripStore, run_silver
+from ridemill.plans import ParquetTripStore, run_batch, run_silver
 from ridemill.plans.parquet_store import ACTIVE, HISTORY
-from ridemill.session import checkpointed, scratch_path
+from ridemill.session import names_in, scratch_path
 from ridemill.sinks import (
     GoldWrite,
     ParquetGoldSink,
@@ -23,7 +24,7 @@ from ridemill.sinks import (
     write_quarantine,
     write_run_metadata,
 )
-from ridemill.sources import distinct_paths, parse_trip_lines, read_trips_csv
+from ridemill.sources import discover_csv_schema, distinct_paths, parse_trip_lines, read_dimension, read_trips_csv
 from ridemill.streaming import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,8 +68,8 @@ def top_routes_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("ts")
-    first, last = X.table(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first()
-    return date_spine(spark, first, last)
+    ends = X.table(spark, sf_dir, "events").agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    return ends.select(F.explode(F.sequence("first", "last")).alias("calculation_date"))
 
 
 def _rounded(outliers: DataFrame) -> DataFrame:
@@ -191,7 +192,7 @@ def worst_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the observation reports once the observed rows have been written."""
     observed, metrics = op.observe_batch(clean_trips(spark, sf_dir))
-    checkpointed(observed)
+    observed.write.format("noop").mode("overwrite").save()
     found = metrics.get
     return spark.range(1).select(
         F.lit(found["clean_count"]).cast("bigint").alias("clean_count"),
@@ -223,7 +224,7 @@ def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "quarantine")
     write_quarantine(bad, root, X.BATCH_ID)
     return read_quarantine(spark, root, X.BATCH_ID, bad.schema).select(
-        "trip_id", "note", S.REASON_COLUMN, S.CORRUPT_COLUMN
+        "trip_id", "note", S.REASON_COLUMN, S.CORRUPT_COLUMN, F.col("quarantined_at").cast("timestamp_ntz").alias("quarantined_at")
     )
 
 
@@ -289,6 +290,129 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(store.read(ACTIVE).drop(S.DAY_COLUMN, S.RUN_COLUMN))
 
 
+def _stream(spark: SparkSession, sf_dir: str, root: str, on_batch=None, max_files: int = 6):
+    """Work off what lies in the landing folder; True if all batches went through."""
+    store = ParquetTripStore(spark, f"{root}/tables")
+    query = stream_silver(
+        spark,
+        f"{root}/landing",
+        f"{root}/checkpoint",
+        X.dim_routes(spark, sf_dir),
+        X.dim_vehicles(spark, sf_dir),
+        store,
+        ParquetGoldSink(spark, f"{root}/gold"),
+        f"{root}/bad",
+        f"{root}/runs",
+        as_of=X.AS_OF,
+        max_files=max_files,
+        on_batch=on_batch,
+    )
+    query.awaitTermination()
+    return store
+
+
+def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the files arrive after a first run, dated three weeks before the others."""
+    root = scratch_path(spark, "late")
+    X.land_csv(spark, sf_dir, f"{root}/sent", files=6)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(f"{root}/landing"))
+    files = sorted((n, t) for n, t in names_in(spark, f"{root}/sent").items() if n.endswith(".csv"))
+    for late in (False, True):
+        for place, (name, changed) in enumerate(files):
+            if (place % 2 == 1) == late:
+                if late:
+                    system.setTimes(path(f"{root}/sent/{name}"), changed - 21 * 86_400_000, -1)
+                system.rename(path(f"{root}/sent/{name}"), path(f"{root}/landing/{name}"))
+        store = _stream(spark, sf_dir, root)
+    return _naive(store.read(ACTIVE).drop(S.DAY_COLUMN, S.RUN_COLUMN))
+
+
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that is given again after its publish: rows of both tables with their day and batch."""
+    root = scratch_path(spark, "replay")
+    X.land_csv(spark, sf_dir, f"{root}/landing", files=4)
+    done = []
+
+    def fail_once(result):
+        done.append(result)
+        if len(done) == 1:
+            raise RuntimeError("lost after the publish")
+
+    try:
+        _stream(spark, sf_dir, root, fail_once)
+    except StreamingQueryException:
+        pass
+    store = _stream(spark, sf_dir, root, fail_once)
+    if len(done) != 2 or done[0].run_id != done[1].run_id:
+        raise RuntimeError("the batch was not given again")
+    batch = F.regexp_extract(S.RUN_COLUMN, "_([0-9]+)$", 1).cast("int").alias("batch")
+    both = [store.read(name).select(F.lit(name).alias("kept_in"), "trip_id", S.DAY_COLUMN, batch) for name in (ACTIVE, HISTORY)]
+    return both[0].unionByName(both[1])
+
+
+def _gold_of_two_runs(spark: SparkSession, sf_dir: str, table: S.GoldTable) -> DataFrame:
+    """A business table after all trips, and then their redelivery, have gone through silver and gold."""
+    root = scratch_path(spark, "two-runs")
+    store, sink = ParquetTripStore(spark, f"{root}/tables"), ParquetGoldSink(spark, f"{root}/gold")
+    dims = X.dim_routes(spark, sf_dir), X.dim_vehicles(spark, sf_dir)
+    for run_id, rows in (("run_a", X.trips(spark, sf_dir)), ("run_b", X.redelivered_trips(spark, sf_dir))):
+        run_batch(rows.drop(S.RUN_COLUMN), *dims, store, sink, run_id, X.AFTER_LAST, f"{root}/bad", f"{root}/runs")
+    return sink.read(table)
+
+
+def run_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_of_two_runs(spark, sf_dir, S.GOLD_DAILY)
+
+
+def run_gold_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_of_two_runs(spark, sf_dir, S.GOLD_WEEKLY)
+
+
+def run_gold_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _naive(_rounded(_gold_of_two_runs(spark, sf_dir, S.GOLD_OUTLIERS)))
+
+
+def gold_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch in which no row is accepted: silver ends it, no business table is made."""
+    root = scratch_path(spark, "skipped")
+    store, sink = ParquetTripStore(spark, f"{root}/tables"), ParquetGoldSink(spark, f"{root}/gold")
+    rows = X.trips(spark, sf_dir).drop(S.RUN_COLUMN).withColumn("route_id", F.lit("R999"))
+    dims = X.dim_routes(spark, sf_dir), X.dim_vehicles(spark, sf_dir)
+    result = run_batch(rows, *dims, store, sink, "run_a", X.AFTER_LAST, f"{root}/bad", f"{root}/runs")
+    made = len(names_in(spark, f"{root}/gold"))
+    bad = spark.createDataFrame(list(result.bad_counts.items()), f"{S.REASON_COLUMN} string, bad_rows long")
+    return bad.select("*", F.lit(made).alias("gold_entries"), F.lit(result.clean_count).cast("long").alias("clean_rows"))
+
+
+def csv_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in a folder for each status; each row names the folder that it was read from."""
+    root = scratch_path(spark, "lineage")
+    for status in (S.STATUS_COMPLETED, S.STATUS_IN_PROGRESS, "cancelled"):
+        X.land_csv(spark, sf_dir, f"{root}/{status}", 2, status)
+    rows = read_trips_csv(spark, root)
+    return rows.select("trip_id", F.element_at(F.split(S.LINEAGE_COLUMN, "/"), -2).alias("folder"))
+
+
+def discovered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files read with the columns and types that were found in them."""
+    folder = scratch_path(spark, "discovered")
+    X.land_csv(spark, sf_dir, folder)
+    rows = read_trips_csv(spark, folder, discover_csv_schema(spark, folder))
+    rows = rows.where(F.col(S.CORRUPT_COLUMN).isNull())
+    return rows.select("trip_id", "route_id", "distance_km", F.typeof("distance_km").alias("distance_type"))
+
+
+def dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vehicles written as CSV, some twice, and read as a lookup."""
+    folder = scratch_path(spark, "vehicles")
+    vehicles = X.dim_vehicles(spark, sf_dir)
+    again = vehicles.where(F.substring("vehicle_id", -1, 1) == "7").withColumn("capacity", F.col("capacity") + 500)
+    vehicles.unionByName(again).write.option("header", "true").csv(folder)
+    return read_dimension(spark, folder, vehicles.schema, "vehicle_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "daily_ridership": daily_ridership,
@@ -332,4 +456,13 @@ def queries() -> dict[str, Query]:
         "branch_publish": branch_publish,
         "gold_replace": gold_replace,
         "stream_batches": stream_batches,
+        "stream_late_files": stream_late_files,
+        "stream_replay": stream_replay,
+        "run_gold_daily": run_gold_daily,
+        "run_gold_weekly": run_gold_weekly,
+        "run_gold_outliers": run_gold_outliers,
+        "gold_skipped": gold_skipped,
+        "csv_lineage": csv_lineage,
+        "discovered_scan": discovered_scan,
+        "dimension_scan": dimension_scan,
     }

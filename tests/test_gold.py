@@ -37,19 +37,19 @@ def test_daily_ridership(spark):
     trips = frame(
         spark,
         [
-            ride("T1", "R1", f"{DAY} 08:00:00", 30),
-            ride("T2", "R1", f"{DAY} 08:15:00", 30, vehicle="v2", seats=40),
-            ride("T3", "R1", f"{DAY} 09:00:00", 20),
-            ride("T4", "R2", f"{DAY} 12:00:00", vehicle="v3", status="in_progress", kind="train", seats=300),
-            ride("T5", "R1", "2025-01-13 10:00:00", 30),
+            ride("A7", "R1", f"{DAY} 17:05:00", 14, vehicle="v8", seats=62),
+            ride("A8", "R1", f"{DAY} 17:48:00", 41, vehicle="v9", seats=38),
+            ride("A9", "R1", f"{DAY} 06:31:00", 26, vehicle="v8", seats=62),
+            ride("B1", "R2", f"{DAY} 22:40:00", vehicle="v5", status="in_progress", kind="train", seats=410),
+            ride("B2", "R1", "2025-01-13 00:00:00", 19),
         ],
     )
     rows = {r["route_id"]: r for r in daily_ridership(trips, DAY, DAY).collect()}
     assert set(rows) == {"R1", "R2"}
     bus = rows["R1"]
-    assert (bus["total_trips"], bus["unique_vehicles"], bus["peak_hour"]) == (3, 2, 8)
-    assert bus["avg_duration_minutes"] == pytest.approx(80 / 3)
-    assert bus["max_duration_minutes"] == 30.0 and bus["avg_capacity"] == pytest.approx(140 / 3)
+    assert (bus["total_trips"], bus["unique_vehicles"], bus["peak_hour"]) == (3, 2, 17)
+    assert bus["avg_duration_minutes"] == pytest.approx(81 / 3)
+    assert bus["max_duration_minutes"] == 41.0 and bus["avg_capacity"] == pytest.approx(162 / 3)
     assert (bus["trips_completed"], bus["trips_in_progress"]) == (3, 0)
     train = rows["R2"]
     assert (train["trips_completed"], train["trips_in_progress"]) == (0, 1)
@@ -146,11 +146,11 @@ def test_weekly_window_bounds(spark):
     trips = frame(
         spark,
         [
-            ride("T1", "R1", "2025-01-05 12:00:00", 30),
-            ride("T2", "R1", "2025-01-06 08:00:00", 30),
-            ride("T3", "R2", "2025-01-06 09:00:00", 30),
-            ride("T4", "R2", f"{DAY} 10:00:00", 30),
-            ride("T5", "R2", f"{DAY} 23:59:59", None, status="in_progress"),
+            ride("C1", "R1", "2025-01-05 23:59:59", 12),
+            ride("C2", "R1", "2025-01-06 00:00:00", 47),
+            ride("C3", "R2", "2025-01-09 13:20:00", 18),
+            ride("C4", "R2", "2025-01-11 05:45:00", 22),
+            ride("C5", "R2", f"{DAY} 23:59:59", None, status="in_progress"),
         ],
     )
     rows = weekly_top_routes(trips, DAY, DAY).orderBy("route_rank").collect()
@@ -158,7 +158,7 @@ def test_weekly_window_bounds(spark):
         (1, "R2", 3, 2),
         (2, "R1", 1, 1),
     ]
-    assert rows[0]["avg_trip_duration_minutes"] == 30.0
+    assert rows[0]["avg_trip_duration_minutes"] == 20.0
 
 
 def test_weekly_equals_the_range_join(spark):

@@ -60,3 +60,23 @@ def test_merge_goes_to_the_branch_with_day_bounds(spark, store, session):
     assert target == "lake.silver.silver_trips_active.branch_wap_1"
     text = str(condition)
     assert "2025-01-01" in text and "2025-01-04" in text and "trip_id" in text
+
+
+def test_history_replaces_the_rows_of_its_own_run(spark, store, session, monkeypatch):
+    rows = MagicMock()
+    metrics = MagicMock(get={"clean_count": 2, "start_date": "2025-01-03", "end_date": "2025-01-05"})
+    monkeypatch.setattr("ridemill.plans.iceberg_store.observe_batch", lambda r: (r, metrics))
+    assert store.append_history("wap_1", rows)["clean_count"] == 2
+    rows.writeTo.assert_called_with("lake.silver.silver_trips_history.branch_wap_1")
+    rows.writeTo().append.assert_not_called()
+    assert "'wap_1'" in str(rows.writeTo().overwrite.call_args.args[0])
+    own = session.read.format().option().load().where
+    store.batch_rows("wap_1")
+    days = str(own().where.call_args.args[0])
+    assert "2025-01-03" in days and "2025-01-06" in days
+
+
+def test_main_is_no_branch(spark, store):
+    for call in (lambda: store.append_history("main", MagicMock()), lambda: store.batch_rows("main")):
+        with pytest.raises(ValueError):
+            call()

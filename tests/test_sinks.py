@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from ridemill import schema as S
 from ridemill.sinks import GoldWrite, JdbcGoldSink, ParquetGoldSink
@@ -101,3 +102,10 @@ def test_rows_are_staged_before_the_transaction():
 
     Recording(None, "jdbc:x", {}).replace(writes())
     assert order == [t.stage_name for t in S.GOLD_TABLES] + ["publish"]
+
+
+def test_staging_runs_the_query_in_its_own_tasks_and_writes_in_few(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, *a, **b: plans.append(self._df._jdf.queryExecution().optimizedPlan().toString()))
+    JdbcGoldSink(spark, "jdbc:x", {}, max_connections=3).stage(GoldWrite(S.GOLD_WEEKLY, weekly(spark, ("2025-01-01", "R1")), "2025-01-01", "2025-01-01"))
+    assert "Repartition 3, true" in plans[0]

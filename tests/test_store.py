@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import datetime as dt
 import glob
+import shutil
 import time
 
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from ridemill import schema as S
 from ridemill.plans import ParquetTripStore, run_batch, run_gold, run_silver
 from ridemill.plans.parquet_store import ACTIVE, HISTORY
+from ridemill.session import write_note
 from ridemill.sinks import ParquetGoldSink, first_attempt_time, read_quarantine, read_run_metadata
 from tests.helpers import AS_OF, RAW, raw_row
 
@@ -182,3 +185,74 @@ def test_a_hot_day_is_written_by_many_tasks(spark, tmp_path):
     cold = glob.glob(f"{tmp_path}/branches/run_a/history/start_date=2025-01-12/*/*.parquet")
     assert len(hot) >= 4 and len(cold) <= 2
     assert store.batch_rows("run_a").count() == 200_000
+
+
+def test_a_publish_that_was_cut_off_is_finished_first(spark, place, routes, vehicles):
+    """A driver that dies between deleting a day and renaming it in leaves it on the branch alone."""
+    silver(spark, place, routes, vehicles, "run_a", FIRST)
+    place.store.publish("run_a")
+    again = [raw_row("T4", start="2025-01-19 10:00:00", end="2025-01-19 10:30:00")]
+    silver(spark, place, routes, vehicles, "run_b", again)
+    write_note(spark, f"{place.root}/tables/publishing/run_b", "")
+    shutil.rmtree(f"{place.root}/tables/main/active/start_date=2025-01-19")
+    silver(spark, place, routes, vehicles, "run_b", again)
+    place.store.publish("run_b")
+    assert [t[0] for t in trips_of(place.store.read(ACTIVE))] == ["T1", "T2", "T4"]
+    assert [t[0] for t in trips_of(place.store.read(HISTORY))] == ["T1", "T2", "T4"]
+    assert glob.glob(f"{place.root}/tables/publishing/*") == []
+
+
+def test_a_publish_of_main_that_was_cut_off_does_not_append_twice(spark, place, routes, vehicles):
+    silver(spark, place, routes, vehicles, "main", FIRST)
+    write_note(spark, f"{place.root}/tables/publishing/main", "0")
+    place.store.finish_publishes()
+    assert place.store.read(HISTORY).count() == 2
+    write_note(spark, f"{place.root}/tables/publishing/main", "1")
+    with pytest.raises(RuntimeError):
+        place.store.finish_publishes()
+
+
+def test_only_branches_published_long_ago_are_removed(spark, place, routes, vehicles):
+    for run_id in ("run_a", "run_b", "run_c"):
+        silver(spark, place, routes, vehicles, run_id, SECOND)
+    place.store.publish("run_a")
+    place.store.publish("run_b")
+    write_note(spark, f"{place.root}/tables/publishing/run_b", "")
+    assert place.store.expire_branches() == []
+    assert place.store.expire_branches(time.time() + 6 * 86_400) == ["run_a"]
+    left = {p.rsplit("/", 1)[1] for p in glob.glob(f"{place.root}/tables/branches/*")}
+    assert left == {"run_b", "run_c"}
+    assert place.store.read(ACTIVE).count() == 2
+
+
+def test_a_read_lists_only_the_days_it_wants(spark, place, routes, vehicles):
+    silver(spark, place, routes, vehicles, "run_a", FIRST)
+    place.store.publish("run_a")
+    silver(spark, place, routes, vehicles, "run_b", SECOND)
+    wanted = [dt.date(2025, 1, 19), dt.date(2025, 1, 20), dt.date(2025, 1, 21)]
+    for branch, days in (("main", {"2025-01-19"}), ("run_b", {"2025-01-19", "2025-01-20"})):
+        rows = place.store.read(ACTIVE, branch, wanted)
+        assert {f.split("start_date=")[1][:10] for f in rows.inputFiles()} == days
+    assert place.store.read(ACTIVE, "main", []).count() == 0
+
+
+def test_another_time_zone_is_refused(spark, place, routes, vehicles):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        with pytest.raises(ValueError):
+            silver(spark, place, routes, vehicles, "run_a", FIRST)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_only_the_days_of_the_run_are_judged(spark, place, routes, vehicles):
+    """Statistics read the padded window, the judged trips their own days."""
+    plans = []
+
+    class Looking:
+        def replace(self, writes):
+            plans.extend(w.rows._jdf.queryExecution().optimizedPlan().toString() for w in writes if w.table is S.GOLD_OUTLIERS)
+
+    result = silver(spark, place, routes, vehicles, "run_a", SECOND[1:])
+    run_gold(vehicles, place.store, Looking(), "run_a", result.start_date, result.end_date)
+    assert "2025-01-20" in plans[0] and "2025-01-14" not in plans[0]

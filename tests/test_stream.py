@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
 from pyspark.errors import StreamingQueryException
 
@@ -32,7 +35,73 @@ def line(trip, end="2025-01-20 08:30:00", status="completed"):
 
 
 def test_run_ids_have_no_dashes():
-    assert batch_run_id("line-7", 3) == "wap_line_7_3"
+    assert batch_run_id("line-7", "ab-1", 3) == "wap_line_7_ab_1_3"
+
+
+def stream(spark, place, checkpoint, store, routes, vehicles, **more):
+    done = []
+    query = stream_silver(
+        spark,
+        str(place / "landing"),
+        f"{place}/{checkpoint}",
+        routes,
+        vehicles,
+        store,
+        ParquetGoldSink(spark, f"{place}/gold"),
+        f"{place}/bad",
+        f"{place}/runs",
+        **({"as_of": AS_OF, "on_batch": done.append} | more),
+    )
+    query.awaitTermination()
+    return done
+
+
+def test_files_older_than_the_newest_are_read(spark, tmp_path, routes, vehicles):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    store = ParquetTripStore(spark, f"{tmp_path}/tables")
+    land(landing, "1.csv", line("T1"))
+    stream(spark, tmp_path, "checkpoint", store, routes, vehicles)
+    land(landing, "2.csv", line("T2"))
+    old = time.time() - 20 * 86_400
+    os.utime(landing / "2.csv", (old, old))
+    land(landing, "3.csv", line("T3"))
+    stream(spark, tmp_path, "checkpoint", store, routes, vehicles)
+    assert {r["trip_id"] for r in store.read(ACTIVE).collect()} == {"T1", "T2", "T3"}
+
+
+def test_a_new_checkpoint_has_run_ids_of_its_own(spark, tmp_path, routes, vehicles):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    store = ParquetTripStore(spark, f"{tmp_path}/tables")
+    land(landing, "1.csv", line("T1"))
+    first = stream(spark, tmp_path, "one", store, routes, vehicles)
+    (landing / "1.csv").unlink()
+    land(landing, "2.csv", line("T2"))
+    second = stream(spark, tmp_path, "two", store, routes, vehicles)
+    assert first[0].run_id != second[0].run_id
+    assert {r["trip_id"] for r in store.read(HISTORY).collect()} == {"T1", "T2"}
+
+
+def test_a_batch_that_is_given_again_after_its_publish_changes_nothing(spark, tmp_path, routes, vehicles):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    store = ParquetTripStore(spark, f"{tmp_path}/tables")
+    land(landing, "1.csv", line("T1"), line("T2"))
+    calls = []
+
+    def fail_once(result):
+        calls.append(result.run_id)
+        if len(calls) == 1:
+            raise RuntimeError("lost after the publish")
+
+    with pytest.raises(StreamingQueryException):
+        stream(spark, tmp_path, "checkpoint", store, routes, vehicles, on_batch=fail_once)
+    before = sorted(map(tuple, store.read(HISTORY).collect()))
+    stream(spark, tmp_path, "checkpoint", store, routes, vehicles, on_batch=fail_once)
+    assert len(calls) == 2 and calls[0] == calls[1]
+    assert sorted(map(tuple, store.read(HISTORY).collect())) == before and len(before) == 2
+    assert store.read(ACTIVE).count() == 2
 
 
 def test_stream_in_batches_with_a_failed_gold_step(spark, tmp_path, routes, vehicles):
@@ -66,14 +135,15 @@ def test_stream_in_batches_with_a_failed_gold_step(spark, tmp_path, routes, vehi
     assert done == [] and store.read(ACTIVE).count() == 0
 
     run()
-    assert [(r.run_id, r.clean_count, r.bad_counts) for r in done] == [("wap_trips_0", 2, {S.REASON_CORRUPT: 1})]
+    assert [(r.run_id, r.clean_count, r.bad_counts) for r in done] == [(done[0].run_id, 2, {S.REASON_CORRUPT: 1})]
     assert store.read(ACTIVE).count() == 2 and store.read(HISTORY).count() == 2
 
     land(landing, "3.csv", line("T3"))
     land(landing, "4.csv", line("T1", end="2025-01-20 09:00:00"))
     land(landing, "5.csv", line("T5"))
     run()
-    assert [r.run_id for r in done] == ["wap_trips_0", "wap_trips_1", "wap_trips_2"]
+    assert [r.run_id.rsplit("_", 1)[1] for r in done] == ["0", "1", "2"]
+    assert len({r.run_id.rsplit("_", 1)[0] for r in done}) == 1
     assert sum(r.clean_count for r in done) == 5
     ends = {r["trip_id"]: str(r["end_time"]) for r in store.read(ACTIVE).collect()}
     assert ends == {
