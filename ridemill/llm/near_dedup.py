@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import bodies, in_batches, rows_of, written
+from .frames import Memo, bodies, in_batches, rows_of, written
 from .simhash import MIX_PART, MOST_BITS, close_pairs, shingle_hashes, simhash
 
 WORDS_EACH = 5
@@ -61,18 +61,18 @@ def sketched(docs: DataFrame) -> DataFrame:
     return bodies(docs).mapInArrow(lambda b: in_batches(sketches(b), schema), "doc_id long, fingerprint long, parts array<long>")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those `pairs` (a, b: doc_ids) whose shingle sets have a similarity of SIMILARITY or more."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        sets = Memo(lambda body: np.unique(shingle_hashes(body, WORDS_EACH)), most=64)  # one text often has many pairs in a row
         for a, b, one, other in rows_of(batches):
-            left, right = (np.unique(shingle_hashes(x, WORDS_EACH)) for x in (one, other))
+            left, right = sets[one], sets[other]
             both = len(np.intersect1d(left, right, assume_unique=True))
             if both >= SIMILARITY * (len(left) + len(right) - both):
                 yield a, b
 
-    texts = bodies(docs)
     pairs = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("body").alias("one")), "a")
     pairs = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("body").alias("other")), "b")
     columns = pairs.select("a", "b", "one", "other")
@@ -84,39 +84,45 @@ def near_links(docs: DataFrame) -> DataFrame:
 
     In each pass the documents of a bucket (equal part fingerprint, or linked whole
     fingerprints) that are not connected yet are compared with one of them, another
-    one in each pass; passes go on until one finds nothing new.  So a bucket is never
-    gathered, and its pairs are never all made.
+    one in each pass; passes go on until one finds nothing new.  Of connected documents
+    one stays in a bucket, and a bucket in which all are connected is done.  So a
+    bucket is never gathered, and its pairs are never all made.
     """
     rows = written(sketched(docs), "sketches")
     codes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     whole = components(close_pairs(codes, MOST_BITS))
     whole = rows.join(whole, rows.fingerprint == whole.node, "left").select("doc_id", F.xxhash64(F.lit(0), F.coalesce("root", "fingerprint")).alias("bucket"))
     buckets = rows.select("doc_id", F.explode("parts").alias("bucket")).unionByName(whole)
-    shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    buckets = written(buckets.join(shared.select("bucket"), "bucket").distinct(), "near-buckets")
-    links = tried = None
+    now = unfinished(buckets.withColumn("group", F.col("doc_id")))
+    # Only texts that have a candidate are compared; they are gathered once.
+    texts = written(bodies(docs).join(now.select("doc_id").distinct(), "doc_id", "left_semi"), "near-texts")
+    links = tried = docs.sparkSession.createDataFrame([], "a long, b long")
     turn = 0
     while True:
-        now = buckets
-        if links is not None:  # one document stands for those it is connected with
-            roots = components(links)
-            now = now.join(roots, now.doc_id == roots.node, "left")
-            now = now.withColumn("root", F.coalesce("root", "doc_id")).groupBy("bucket", "root").agg(F.min("doc_id").alias("doc_id"))
         draw = F.xxhash64(F.lit(turn), "bucket", "doc_id")
-        chosen = now.groupBy("bucket").agg(F.min_by("doc_id", draw).alias("with"))
-        pairs = now.join(chosen, "bucket").where("doc_id != with")
-        pairs = pairs.select(F.least("doc_id", "with").alias("a"), F.greatest("doc_id", "with").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "near-pairs")
-        new = written(confirmed(docs, pairs), "near-links")
+        chosen = now.groupBy("bucket").agg(F.min_by(F.struct("doc_id", "group"), draw).alias("one"))
+        pairs = now.join(chosen, "bucket").where("group != one.group")
+        ends = (F.least(F.struct("doc_id", "group"), "one").alias("low"), F.greatest(F.struct("doc_id", "group"), "one").alias("high"))
+        pairs = pairs.select(*ends).select(F.col("low.doc_id").alias("a"), F.col("high.doc_id").alias("b"), F.col("low.group").alias("ga"), F.col("high.group").alias("gb"))
+        pairs = written(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        new = written(confirmed(texts, pairs.select("a", "b")), "near-links")
         if new.isEmpty():
-            return new if links is None else links
-        links = new if links is None else links.unionByName(new)
-        tried = pairs if tried is None else tried.unionByName(pairs)
+            return links
+        links, tried = links.unionByName(new), tried.unionByName(pairs.select("a", "b"))
+        joined = pairs.join(new, ["a", "b"], "left_semi").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+        roots = components(joined)
+        now = now.join(roots, now["group"] == roots.node, "left")
+        now = unfinished(now.select("bucket", "doc_id", F.coalesce("root", "group").alias("group")))
         turn += 1
 
 
+def unfinished(buckets: DataFrame) -> DataFrame:
+    """bucket, group, doc_id: one document of each group in each bucket that has more groups than one."""
+    rows = written(buckets.groupBy("bucket", "group").agg(F.min("doc_id").alias("doc_id")), "near-buckets")
+    several = rows.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
+    return written(rows.join(several.select("bucket"), "bucket"), "near-buckets")
+
+
 def near_dedup(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all their columns, that stay: of each group of similar documents the one with the least id.
 
