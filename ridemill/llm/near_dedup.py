@@ -8,6 +8,12 @@ first PARTS groups gets a SimHash of its own.  Similar documents have equal grou
 among these: a group of g shingles stays whole with probability 0.8 ** g.
 Documents that share a part's fingerprint, or whose whole fingerprints are linked,
 are candidates; candidates are compared exactly.
+
+Groups may all differ, and not every pair of a bucket is compared.  So what these
+leave unconnected goes by an exact rule: of n shingles a similar document has all but
+a fifth, so two similar documents share one of the first n / 5 + 1 in any order
+common to all documents.  The order puts shingles of hot passages last; every pair
+that shares such a shingle, can reach the similarity and is not connected is compared.
 """
 
 from __future__ import annotations
@@ -28,6 +34,8 @@ SIMILARITY = 0.8
 PARTS = 24
 #: Shingles of a group: from this number to twice it.
 GROUP_SHINGLES = 3
+#: Counters that order the shingles: four megabytes for any input.  Equal counters cost candidates, never links.
+COUNTERS = 1 << 20
 
 
 def part_fingerprints(hashes: np.ndarray, similarity: float) -> np.ndarray:
@@ -79,20 +87,77 @@ def confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return columns.mapInArrow(lambda batches: in_batches(similar(batches), schema), "a long, b long")
 
 
+def counters(docs: DataFrame) -> np.ndarray:
+    """How often shingles fall on each of COUNTERS places."""
+    schema = pa.schema([("place", pa.int32()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(COUNTERS, np.int64)
+        for (body,) in rows_of(batches):
+            np.add.at(found, np.unique(shingle_hashes(body, WORDS_EACH)) & np.uint64(COUNTERS - 1), 1)
+        places = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(found[places])], schema=schema)
+
+    counts = bodies(docs).select("body").mapInArrow(count, "place int, n long")
+    counts = counts.groupBy("place").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
+    found = np.zeros(COUNTERS, np.int32)
+    found[counts["place"].to_numpy()] = counts["n"].to_numpy()
+    return found
+
+
+def first_shingles(docs: DataFrame) -> DataFrame:
+    """bucket, doc_id, size, left: the shingles of which a similar document must have one.
+
+    `size` are the document's distinct shingles, `left` those from this one on.
+    """
+    schema = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("left", pa.int32())])
+    known = docs.sparkSession.sparkContext.broadcast(counters(docs))
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, body in rows_of(iter([batch])):
+                hashes = np.unique(shingle_hashes(body, WORDS_EACH))
+                if doc_id is None or not len(hashes):
+                    continue
+                size = len(hashes)
+                most = size - int(np.ceil(SIMILARITY * size - 1e-6)) + 1
+                order = np.lexsort((hashes, known.value[hashes & np.uint64(COUNTERS - 1)]))[:most]
+                columns = (hashes[order].view(np.int64), np.full(most, doc_id), np.full(most, size), size - np.arange(most))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+    return bodies(docs).mapInArrow(firsts, "bucket long, doc_id long, size int, left int")
+
+
+def open_pairs(firsts: DataFrame, links: DataFrame) -> DataFrame:
+    """a, b: all pairs that `links` do not connect and that may be similar by their first shingles."""
+    roots = components(links)
+    rows = firsts.join(roots, firsts.doc_id == roots.node, "left").select("bucket", "doc_id", "size", "left", F.coalesce("root", "doc_id").alias("group"))
+    rows = written(rows, "near-firsts")
+    several = rows.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
+    rows = written(rows.join(several.select("bucket"), "bucket"), "near-firsts")
+    others = rows.select("bucket", *(F.col(c).alias(f"other_{c}") for c in ("doc_id", "size", "left", "group")))
+    # At the first shingle that two documents share, no more than what is left of both can be equal.
+    enough = F.least("left", "other_left") >= SIMILARITY / (1 + SIMILARITY) * (F.col("size") + F.col("other_size")) - 1e-6
+    pairs = rows.join(others, (rows.bucket == others.bucket) & (F.col("doc_id") < F.col("other_doc_id")) & (F.col("group") != F.col("other_group")) & enough)
+    return pairs.select(F.col("doc_id").alias("a"), F.col("other_doc_id").alias("b")).distinct()
+
+
 def near_links(docs: DataFrame) -> DataFrame:
     """a, b: pairs of similar documents that connect each group of near-duplicates.
 
-    In each pass the documents of a bucket (equal part fingerprint, or linked whole
-    fingerprints) that are not connected yet are compared with one of them, another
-    one in each pass; passes go on until one finds nothing new.  Of connected documents
-    one stays in a bucket, and a bucket in which all are connected is done.  So a
-    bucket is never gathered, and its pairs are never all made.
+    In each pass the documents of a bucket (equal part fingerprint, linked whole
+    fingerprints, or an equal first shingle) that are not connected yet are compared
+    with one of them, another one in each pass; passes go on until one finds nothing
+    new.  So large groups are connected without all their pairs.  What is left then is
+    settled pair by pair, all members of each group with those of the others.
     """
     rows = written(sketched(docs), "sketches")
     codes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     whole = components(close_pairs(codes, MOST_BITS))
     whole = rows.join(whole, rows.fingerprint == whole.node, "left").select("doc_id", F.xxhash64(F.lit(0), F.coalesce("root", "fingerprint")).alias("bucket"))
-    buckets = rows.select("doc_id", F.explode("parts").alias("bucket")).unionByName(whole)
+    firsts = written(first_shingles(docs), "near-firsts")
+    firsts = written(firsts.join(firsts.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("bucket"), "bucket"), "near-firsts")
+    buckets = rows.select("doc_id", F.explode("parts").alias("bucket")).unionByName(whole).unionByName(firsts.select("doc_id", "bucket"))
     now = unfinished(buckets.withColumn("group", F.col("doc_id")))
     # Only texts that have a candidate are compared; they are gathered once.
     texts = written(bodies(docs).join(now.select("doc_id").distinct(), "doc_id", "left_semi"), "near-texts")
@@ -106,14 +171,17 @@ def near_links(docs: DataFrame) -> DataFrame:
         pairs = pairs.select(*ends).select(F.col("low.doc_id").alias("a"), F.col("high.doc_id").alias("b"), F.col("low.group").alias("ga"), F.col("high.group").alias("gb"))
         pairs = written(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
         new = written(confirmed(texts, pairs.select("a", "b")), "near-links")
+        tried = tried.unionByName(pairs.select("a", "b"))
         if new.isEmpty():
-            return links
-        links, tried = links.unionByName(new), tried.unionByName(pairs.select("a", "b"))
+            break
+        links = links.unionByName(new)
         joined = pairs.join(new, ["a", "b"], "left_semi").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
         roots = components(joined)
         now = now.join(roots, now["group"] == roots.node, "left")
         now = unfinished(now.select("bucket", "doc_id", F.coalesce("root", "group").alias("group")))
         turn += 1
+    pairs = written(open_pairs(firsts, links).join(tried, ["a", "b"], "left_anti"), "near-pairs")
+    return links.unionByName(written(confirmed(texts, pairs), "near-links"))
 
 
 def unfinished(buckets: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
+import numpy as np
 import xxhash
 
 from ridemill.llm import near_dedup, simhash as op
@@ -93,3 +95,29 @@ def test_near_dedup_equals_brute_force(spark):
 def test_empty_table(spark):
     assert op.simhash_components(cases.table(spark, [])).collect() == []
     assert near_dedup.near_dedup(cases.table(spark, [])).collect() == []
+
+
+def near_brute(texts):
+    sets = {d: set(op.shingle_hashes(t.encode(), 5).tolist()) for d, t in texts}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    return sorted(d for d, root in roots(list(sets), links).items() if d == root)
+
+
+def test_near_dedup_settles_hot_buckets(spark):
+    """Similar documents whose equal groups of shingles all lie in a passage that others have too."""
+    passage = [f"hot{i}" for i in range(24)]
+
+    def parts(text):
+        return set(near_dedup.part_fingerprints(np.unique(op.shingle_hashes(text.encode(), 5)), near_dedup.SIMILARITY).tolist())
+
+    pairs = []
+    for i in range(2500):
+        own = [f"own{i}x{k}" for k in range(10)]
+        pairs.append((" ".join(passage + own), " ".join([*passage, *own[:-3], *(f"end{i}x{k}" for k in range(3))])))
+    seen = Counter(p for one, _ in pairs for p in parts(one))
+    alone = [(one, other) for one, other in pairs if all(seen[p] > 50 for p in parts(one) & parts(other))][:40]
+    texts = list(enumerate(text for pair in alone for text in pair))
+    left = near_dedup.near_dedup(cases.table(spark, texts)).collect()
+    wanted = near_brute(texts)
+    assert len(wanted) == 40
+    assert sorted(r.doc_id for r in left) == wanted
