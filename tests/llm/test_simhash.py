@@ -121,3 +121,17 @@ def test_near_dedup_settles_hot_buckets(spark):
     wanted = near_brute(texts)
     assert len(wanted) == 40
     assert sorted(r.doc_id for r in left) == wanted
+
+
+def test_near_dedup_of_short_documents(spark):
+    """One or two words changed at the end: often no group of shingles stays equal."""
+    texts = []
+    for i in range(60):
+        for k, (words, changed) in enumerate(((13, 1), (22, 2), (23, 2))):
+            own = [f"s{i}x{k}x{w}" for w in range(words)]
+            texts.append((10 * i + 2 * k, " ".join(own)))
+            texts.append((10 * i + 2 * k + 1, " ".join([*own[:-changed], *(f"end{w}" for w in range(changed))])))
+    left = near_dedup.near_dedup(cases.table(spark, texts)).collect()
+    wanted = near_brute(texts)
+    assert len(wanted) == 180
+    assert sorted(r.doc_id for r in left) == wanted
