@@ -26,6 +26,8 @@ MOST_LOST_PERCENT = 50
 # Wording of page furniture and of placeholder text.
 BOILERPLATE = (
     "lorem ipsum",
+    "dolor sit amet",
+    "consectetur adipiscing elit",
     "javascript",
     "cookie",
     "terms of use",
@@ -44,7 +46,8 @@ BOILERPLATE = (
     "back to top",
     "share on",
 )
-BOILERPLATE_LINE = re.compile("|".join(map(re.escape, BOILERPLATE)).encode())
+#: Whole words; a byte beyond ASCII belongs to a word.
+BOILERPLATE_WORDING = re.compile(rb"(?<![\w\x80-\xff])(?:%s)s?(?![\w\x80-\xff])" % "|".join(map(re.escape, BOILERPLATE)).encode())
 SENTENCE_END = re.compile("[.!?…。！？:;,][\"'”’»)\\]]*$")
 SEPARATORS = frozenset((b"|", b">", b"/", "»".encode(), "·".encode(), "•".encode()))
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -57,16 +60,18 @@ def line_fault(line: bytes, words: list[bytes]) -> str | None:
     """Why a line fails, or None.  `words` are those of the line, one at least.
 
     navigation: a separator stands for every three words or more.
-    boilerplate: wording of page furniture makes up a short line.
+    boilerplate: wording of page furniture makes up half of a short line or more.
     punctuation: symbols make up a tenth of it, or it has no letter and no digit,
     or it is long and has no sentence mark at all.
     """
     separators = sum(w in SEPARATORS for w in words)
     if separators and 4 * separators >= len(words):
         return "navigation"
-    if len(words) <= 20 and BOILERPLATE_LINE.search(line.lower()):
-        return "boilerplate"
     written = sum(map(len, words))
+    if len(words) <= 20:
+        wording = b"".join(BOILERPLATE_WORDING.findall(line.lower())).translate(None, WHITE_SPACE)
+        if wording and 2 * len(wording) >= written:
+            return "boilerplate"
     if 10 * (len(line) - len(line.translate(None, SYMBOLS))) >= written:
         return "punctuation"
     if not any(c.isalnum() for c in line.decode("utf-8", "replace")):

@@ -55,3 +55,23 @@ def test_rejects_documents_that_lose_too_much(spark):
 def test_empty_table(spark):
     assert op.quality_rules(cases.table(spark, [])).collect() == []
     assert op.quality_filter(cases.table(spark, [])).collect() == []
+
+
+def test_boilerplate_is_whole_words_and_most_of_the_line(spark):
+    def fault(line):
+        return op.line_fault(line.encode(), line.encode().split())
+
+    clean = (
+        "She wrote the catalog in two months.",
+        "They had a dialog in French.",
+        "He taught design in Rome.",
+        "And is erer. Ereaes oftheshare onstor.",
+        "The baker put one more cookie on each plate and smiled.",
+        "Read more books by candlelight, said the old teacher to us.",
+        "Le prélog in extenso, dit-il.",
+    )
+    assert [fault(x) for x in clean] == [None] * len(clean)
+    furniture = ("Sign in", "LOG IN | Sign up", "Accept cookies", "Subscribe to our newsletter", "Click here to read more", "Lorem ipsum dolor sit amet, consectetur adipiscing elit.")
+    assert [fault(x) for x in furniture] == ["boilerplate"] * len(furniture)
+    texts = [(1, clean[4]), (2, "\n".join(clean))]
+    assert {r.doc_id: r.text for r in op.quality_filter(cases.table(spark, texts)).collect()} == dict(texts)
