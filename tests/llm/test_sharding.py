@@ -54,3 +54,14 @@ def test_runs_without_python(spark):
     with redirect_stdout(shown):
         op.balanced_shards(cases.table(spark, [(1, "a"), (2, "a")])).explain()
     assert "Python" not in shown.getvalue() and "Arrow" not in shown.getvalue()
+
+
+def test_copies_only_keep_together(spark):
+    for n in (4000, 4003):
+        texts = [(i, f"copy {i // 4}") for i in range(n)]
+        rows = op.balanced_shards(cases.table(spark, texts)).collect()
+        check(texts, rows)
+        shards = defaultdict(set)
+        for r in rows:
+            shards[texts[r.doc_id][1]].add(r.shard)
+        assert sum(len(s) > 1 for s in shards.values()) <= 24
