@@ -9,15 +9,12 @@ after any set of others, and with that all 120 orders of five filters.
 
 from __future__ import annotations
 
-import uuid
 from itertools import permutations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridemill.session import delete_path, scratch_path
-
-from .frames import written
+from .frames import Buckets, written
 
 WORDS_LEAST = 200
 DISTINCT_PERCENT = 50
@@ -79,24 +76,6 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-class IdTables:
-    """Relations stored in buckets of their key, in the shared folder, under names of their own until closed."""
-
-    def __init__(self, spark: SparkSession, buckets: int):
-        self.spark, self.buckets, self.stored = spark, buckets, {}
-
-    def store(self, rows: DataFrame) -> DataFrame:
-        name, place = f"audit_{uuid.uuid4().hex}", scratch_path(self.spark, "audit-ids")
-        self.stored[name] = place
-        rows.write.option("path", place).bucketBy(self.buckets, "key").sortBy("key").saveAsTable(name)
-        return self.spark.table(name)
-
-    def close(self) -> None:
-        for name, place in self.stored.items():
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            delete_path(self.spark, place)
-
-
 def overlaps(failing: dict[str, DataFrame], buckets: int) -> DataFrame:
     """part, filter, others, n, good, toxic: how many rows fail a filter and just the others with a bit in `others`.
 
@@ -105,7 +84,7 @@ def overlaps(failing: dict[str, DataFrame], buckets: int) -> DataFrame:
     joined with it are the rows that it fails too, left-anti joined those that it does not.
     """
     names = list(failing)
-    ids = IdTables(next(iter(failing.values())).sparkSession, buckets)
+    ids = Buckets(next(iter(failing.values())).sparkSession, "key", buckets)
     try:
         stored = {n: ids.store(rows.select("key", "part", "good", "toxic").repartition(buckets, "key")) for n, rows in failing.items()}
         every = None

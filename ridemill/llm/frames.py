@@ -6,13 +6,14 @@ whatever they are called, never meet its own.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridemill.session import scratch_path
+from ridemill.session import delete_path, scratch_path
 
 #: Python's `bytes.split()` cuts at exactly these bytes, which the contracts call white space.
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
@@ -37,6 +38,27 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Buckets:
+    """Tables stored in buckets of a key in the shared folder, under names of their own until closed.
+
+    What groups by the key, or joins two of them by it, needs no shuffle.
+    """
+
+    def __init__(self, spark: SparkSession, key: str, count: int):
+        self.spark, self.key, self.count, self.stored = spark, key, count, {}
+
+    def store(self, rows: DataFrame) -> DataFrame:
+        name, place = f"buckets_{uuid.uuid4().hex}", scratch_path(self.spark, "buckets")
+        self.stored[name] = place
+        rows.write.option("path", place).bucketBy(self.count, self.key).sortBy(self.key).saveAsTable(name)
+        return self.spark.table(name)
+
+    def close(self) -> None:
+        for name, place in self.stored.items():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete_path(self.spark, place)
+
+
 def ranked(rows: DataFrame, by: list[str], order: list[str], bucket: Column, name: str) -> DataFrame:
     """`rows` with their rank `name`, from 0, among those with equal `by`: by bucket, then by `order` inside it.
 

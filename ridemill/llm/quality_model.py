@@ -1,7 +1,7 @@
 """Quality of texts by a logistic regression over hashed word n-grams.
 
 A text's features are its words and pairs of neighbouring words, hashed to places of one
-weight each; their counts are scaled to a vector of length one.  The weights are learned by
+weight each; the roots of their counts are scaled to a vector of length one.  The weights are learned by
 follow-the-regularised-leader updates (per-coordinate rates, l1 and l2), in blocks of
 the training rows: each block goes on from the common state, and each coordinate takes the
 mean of what the blocks that met it changed.
@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import Memo, bodies, in_batches, rows_of, written
+from .frames import Buckets, Memo, bodies, in_batches, rows_of, written
 
 #: Words, and runs of other signs: signs that stand at a word make a pair with it.
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x09-\x0d\x20]+")
@@ -44,14 +44,18 @@ def token_hashes() -> Memo:
 
 
 def features(body: bytes, hashes: Memo) -> tuple[np.ndarray, np.ndarray]:
-    """The places of a text's n-grams, each once, and their values; a vector of length one, or empty."""
+    """The places of a text's n-grams, each once, and how often each stands in it."""
     tokens = TOKEN.findall(body)
     single = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
     pairs = np.where(single[:-1] == single[1:], TWICE, (single[:-1] * PAIR) ^ (single[1:] + PAIR))
     grams = np.concatenate((single, pairs))
     places, counts = np.unique((grams * SPREAD) >> np.uint64(64 - BITS), return_counts=True)
-    values = np.sqrt(counts)
-    return places.astype(np.int32), (values / np.sqrt(max(1, counts.sum()))).astype(np.float32)
+    return places.astype(np.int32), counts.astype(np.int32)
+
+
+def scaled(counts: np.ndarray) -> np.ndarray:
+    """Roots of the counts, over their length: a vector of length one, or empty."""
+    return np.sqrt(counts / max(1, counts.sum())).astype(np.float32)
 
 
 def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -75,7 +79,7 @@ def follow(z: np.ndarray, n: np.ndarray, rows: Iterator[tuple[np.ndarray, np.nda
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """block, turn, label, places and vals of the rows to learn from, written once.
+    """block, turn, label, places and counts of the rows to learn from.
 
     A label is 0 or 1; ids whose labels differ teach nothing.  Of repeated ids one text, the one
     with the least hash, is learned.
@@ -88,7 +92,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     known = written(known.where(drawn < int((1 << 30) * min(1.0, sample / max(1, rows)))), "quality-labels")
     texts = bodies(docs).where("body IS NOT NULL").join(F.broadcast(known), F.col("doc_id") == F.col("labelled"))
     texts = texts.groupBy("doc_id", "label").agg(F.min_by("body", F.struct(F.xxhash64("body"), "body")).alias("body"))
-    schema = pa.schema([("block", pa.int32()), ("turn", pa.int64()), ("label", pa.int32()), ("places", pa.list_(pa.int32())), ("vals", pa.list_(pa.float32()))])
+    schema = pa.schema([("block", pa.int32()), ("turn", pa.int64()), ("label", pa.int32()), ("places", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         hashes = token_hashes()
@@ -96,8 +100,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
             turn = xxhash.xxh64_intdigest(str(doc_id).encode(), 1) >> 1
             yield turn % BLOCKS, turn, label, *features(body, hashes)
 
-    found = texts.mapInArrow(lambda b: in_batches(run(b), schema, 256), "block int, turn long, label int, places array<int>, vals array<float>")
-    return written(found, "quality-rows")
+    return texts.mapInArrow(lambda b: in_batches(run(b), schema, 256), "block int, turn long, label int, places array<int>, counts array<int>")
 
 
 def block_update(state: Broadcast) -> Callable[[pa.Table], pa.Table]:
@@ -107,8 +110,8 @@ def block_update(state: Broadcast) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         before_z, before_n = state.value
         z, n = before_z.copy(), before_n.copy()
-        rows = table.sort_by([("turn", "ascending")]).select(["places", "vals", "label"]).to_batches(256)
-        follow(z, n, ((np.array(p, np.int64), np.array(v, np.float32), label) for p, v, label in rows_of(iter(rows))))
+        rows = table.sort_by([("turn", "ascending")]).select(["places", "counts", "label"]).to_batches(256)
+        follow(z, n, ((np.array(p, np.int64), scaled(np.array(c)), label) for p, c, label in rows_of(iter(rows))))
         met = np.flatnonzero((n != before_n) | (z != before_z))
         changes = (np.rint((after[met] - before[met]) * STEPS).astype(np.int64) for after, before in ((z, before_z), (n, before_n)))
         return pa.Table.from_arrays([pa.array(met, pa.int32()), *map(pa.array, changes)], schema=schema)
@@ -118,16 +121,23 @@ def block_update(state: Broadcast) -> Callable[[pa.Table], pa.Table]:
 
 def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> np.ndarray:
     """The weights, the bias last; all are 0 where nothing can be learned."""
-    rows = training_rows(docs, labels, sample)
+    spark = docs.sparkSession
     z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
-    for _ in range(rounds):
-        now = docs.sparkSession.sparkContext.broadcast((z, n))
-        # A block holds a share of the bounded sample; the state has one entry for each place.
-        changed = rows.groupBy("block").applyInArrow(block_update(now), "place int, dz long, dn long")
-        sums = changed.groupBy("place").agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn"), F.count(F.lit(1)).alias("blocks")).toArrow()
-        places, blocks = sums["place"].to_numpy(), sums["blocks"].to_numpy()
-        z[places] += sums["dz"].to_numpy() / STEPS / blocks
-        n[places] = np.maximum(0, n[places] + sums["dn"].to_numpy() / STEPS / blocks)
+    stored = Buckets(spark, "block", BLOCKS)
+    try:
+        # All rounds read the blocks from where they are stored; none shuffles them again.
+        rows = stored.store(training_rows(docs, labels, sample).repartition(BLOCKS, "block"))
+        for _ in range(rounds):
+            now = spark.sparkContext.broadcast((z, n))
+            # A block holds a share of the bounded sample; the state has one entry for each place.
+            changed = rows.groupBy("block").applyInArrow(block_update(now), "place int, dz long, dn long")
+            sums = changed.groupBy("place").agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn"), F.count(F.lit(1)).alias("blocks")).toArrow()
+            places, blocks = sums["place"].to_numpy(), sums["blocks"].to_numpy()
+            z[places] += sums["dz"].to_numpy() / STEPS / blocks
+            n[places] = np.maximum(0, n[places] + sums["dn"].to_numpy() / STEPS / blocks)
+            now.unpersist()
+    finally:
+        stored.close()
     return weights(z, n)
 
 
@@ -144,8 +154,8 @@ def quality_scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         own, hashes = known.value, token_hashes()
         for doc_id, body in rows_of(batches):
-            places, values = features(body or b"", hashes)
-            score = chance(float(own[places] @ values) + float(own[BIAS]))
+            places, counts = features(body or b"", hashes)
+            score = chance(float(own[places] @ scaled(counts)) + float(own[BIAS]))
             yield doc_id, score, int(score >= GOOD_FROM)
 
     return bodies(docs).mapInArrow(lambda batches: in_batches(run(batches), schema), "doc_id long, score double, predicted int")

@@ -75,7 +75,7 @@ def test_no_id_table_stays(spark):
 
 
 def test_the_id_tables_meet_without_a_shuffle(spark):
-    ids = op.IdTables(spark, 4)
+    ids = op.Buckets(spark, "key", 4)
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         stored = [ids.store(spark.range(1000 * (i + 1)).selectExpr("cast(id as string) AS key").repartition(4, "key")) for i in range(2)]
