@@ -23,10 +23,11 @@ from .frames import Buckets, Memo, bodies, in_batches, rows_of, written
 
 #: Words, and runs of other signs: signs that stand at a word make a pair with it.
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x09-\x0d\x20]+")
-BITS = 20
+BITS = 18
 BIAS = 1 << BITS
 ALPHA, BETA, L1, L2 = 5.0, 1.0, 0.02, 0.0
-ROUNDS = 6
+#: Rounds of all blocks, and passes of a block over its rows in each.
+ROUNDS, PASSES = 3, 2
 #: Labelled rows that are learned from, about: the labels with the least hashes of their ids, from all of the table.
 SAMPLE = 20_000
 BLOCKS = 8
@@ -111,7 +112,8 @@ def block_update(state: Broadcast) -> Callable[[pa.Table], pa.Table]:
         before_z, before_n = state.value
         z, n = before_z.copy(), before_n.copy()
         rows = table.sort_by([("turn", "ascending")]).select(["places", "counts", "label"]).to_batches(256)
-        follow(z, n, ((np.array(p, np.int64), scaled(np.array(c)), label) for p, c, label in rows_of(iter(rows))))
+        for _ in range(PASSES):
+            follow(z, n, ((np.array(p, np.int64), scaled(np.array(c)), label) for p, c, label in rows_of(iter(rows))))
         met = np.flatnonzero((n != before_n) | (z != before_z))
         changes = (np.rint((after[met] - before[met]) * STEPS).astype(np.int64) for after, before in ((z, before_z), (n, before_n)))
         return pa.Table.from_arrays([pa.array(met, pa.int32()), *map(pa.array, changes)], schema=schema)
