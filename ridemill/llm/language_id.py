@@ -9,6 +9,7 @@ expectation maximisation from counts of the words of all training documents.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import bodies, in_batches, rows_of, written
+from .frames import bodies, in_batches, parts_of, rows_of, written
 
 VOCABULARY = "piece_bpe_32k.model"
 LONGEST = 16
@@ -27,7 +28,7 @@ SMOOTHING = 0.1
 #: Bytes of a part that a longer word is cut into when expected counts are taken.
 COUNTED = 64
 UNDECIDED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+ASCII_LETTER = re.compile(rb"[A-Za-z]")
 #: Words whose scores a task keeps.
 MOST_KNOWN = 800_000
 
@@ -80,6 +81,11 @@ def pieces(path: str | None) -> Pieces:
     return Pieces(path)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter by its Unicode category; other numerals and signs are not."""
+    return any(unicodedata.category(c)[0] == "L" for c in set(text))
+
+
 def by_length(words: list[bytes], most: int = 2048) -> Iterator[tuple[list[int], list[str]]]:
     """Places and marked texts of words of one length, at most `most` at once and fewer if long."""
     groups: dict[int, list[int]] = {}
@@ -152,13 +158,6 @@ def expected(words: list[bytes], counts: np.ndarray, chances: np.ndarray, path:
     return found[: known.size]
 
 
-def parts_of(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Batches of fewer rows, as the words of many texts take several times their size."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def is_held_out(parts: int, part: int) -> Column:
     """Whether crc32 of the id as text leaves `part` when divided by `parts`; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).cast("binary")) % parts == part
@@ -244,7 +243,7 @@ def language_id(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS, path
                 place.update(zip(new, range(len(scores), len(scores) + len(new)), strict=True))
                 scores = np.concatenate((scores, word_scores(new, chances, path)))
             for (doc_id, body), words in zip(rows, split, strict=True):
-                if not languages or not LETTER.search(body.decode("utf-8", "replace")):
+                if not languages or not (ASCII_LETTER.search(body) or has_letter(body.decode("utf-8", "replace"))):
                     yield doc_id, UNDECIDED, 0.0
                     continue
                 logs = scores[np.fromiter(map(place.__getitem__, words), np.int64, len(words))].sum(axis=0) + prior

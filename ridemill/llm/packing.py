@@ -11,8 +11,10 @@ the rank says which pattern, sequence and place a piece gets.
 
 from __future__ import annotations
 
+import os
 import zlib
-from collections.abc import Iterator, Mapping
+from array import array
+from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import BUCKET_ROWS, Memo, bodies, in_batches, ranked, rows_of, written
+from .frames import BUCKET_ROWS, bodies, in_batches, parts_of, ranked, rows_of, written
 
 CAPACITY = 2048
 #: Tokens that a class of lengths spans; a piece of the class counts as its longest.
@@ -30,23 +32,40 @@ VOCABULARY = "word_bpe_49k.json"
 #: Part of the sequences by which the program may miss its optimum.
 GAP = 1e-3
 #: The program stops there at the latest; any basis packs all pieces.
-MOST_KNOWN = 1_500_000
 MOST_PIVOTS = 5_000
+#: Words whose ids a task keeps.
+MOST_KNOWN = 1_500_000
 
 
-@lru_cache(maxsize=1)
-def word_ids(path: str | None) -> Memo:
-    """Token ids of a word, as little-endian unsigned 32-bit bytes.
+class WordIds(dict):
+    """Token ids of words, as little-endian unsigned 32-bit bytes; `meet` adds those of new words.
 
-    The vocabulary drops white space and never joins over it, so words can be
-    tokenized each for itself.
+    The vocabulary drops white space and never joins over it, and no added token holds any, so
+    words can be tokenized each for itself.
     """
-    import public_tokenizers
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
-    tokenizer.encode_special_tokens = True
-    return Memo(lambda word: np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes(), most=MOST_KNOWN)
+    def __init__(self, path: str | None):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
+
+    def meet(self, words: Iterable[bytes]) -> None:
+        new = set(words) - self.keys()
+        if len(self) + len(new) > MOST_KNOWN:
+            self.clear()
+            new = set(words)
+        texts = list(new)
+        found = self.tokenizer.encode_batch_fast([word.decode() for word in texts], add_special_tokens=False)
+        self.update((word, array("I", own.ids).tobytes()) for word, own in zip(texts, found, strict=True))
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str | None) -> WordIds:
+    # The tasks are the parallelism; the library's own threads would add to it.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordIds(path)
 
 
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
@@ -60,12 +79,15 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = N
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         known = word_ids(path)
-        for doc_id, body in rows_of(batches):
-            ids = b"".join(map(known.__getitem__, (body or b"").split())) + end
-            total = len(ids) // 4
-            for start in range(0, total, capacity):
-                own = ids[4 * start : 4 * (start + capacity)]
-                yield doc_id, start, len(own) // 4, zlib.crc32(own), total, own
+        for batch in parts_of(batches):
+            rows = [(doc_id, (body or b"").split()) for doc_id, body in rows_of(iter([batch]))]
+            known.meet(set().union(*(words for _, words in rows)))
+            for doc_id, words in rows:
+                ids = b"".join(map(known.__getitem__, words)) + end
+                total = len(ids) // 4
+                for start in range(0, total, capacity):
+                    own = ids[4 * start : 4 * (start + capacity)]
+                    yield doc_id, start, len(own) // 4, zlib.crc32(own), total, own
 
     columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
     return bodies(docs).mapInArrow(lambda batches: in_batches(pieces(batches), schema, 1024), columns)

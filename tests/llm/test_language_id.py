@@ -56,11 +56,12 @@ def test_expected_counts_cover_each_text():
 
 
 def test_predictions(spark):
-    texts = cases.odd_texts() + [(30, "Through the many houses"), (31, "zwischen schönen Bäumen"), (32, "1234 ... 99"), (33, "the " * 3000 + "x" * 3000)]
+    texts = cases.odd_texts() + [(30, "Through the many houses"), (31, "zwischen schönen Bäumen"), (32, "1234 ... 99"), (33, "the " * 3000 + "x" * 3000), (34, "½ ²"), (35, "Ⅷ 7"), (36, "½ é")]
     found = op.language_id(cases.table(spark, texts), training(spark)).collect()
     assert len(found) == len(texts)
     own = {r.doc_id: r.lang_pred for r in found}
     assert (own[30], own[31], own[33]) == ("en", "de", "en")
+    assert own[34] == own[35] == op.UNDECIDED and own[36] != op.UNDECIDED
     assert own[1] == own[2] == own[3] == own[32] == op.UNDECIDED
     assert all(0 <= r.score <= 1 for r in found)
 
