@@ -141,6 +141,22 @@ def land_csv(spark: SparkSession, sf_dir: str, folder: str, files: int = 8, stat
     lines.repartition(files).write.options(header="true", sep="\u0001", quote="").csv(folder)
 
 
+def land_mixed_csv(spark: SparkSession, sf_dir: str, folder: str, files: int = 3) -> None:
+    """The CSV lines in files of three headers: as they are, with the first two columns exchanged, and with one column more."""
+    names, value = S.RAW_TRIPS.names, F.split("value", ",", 2)
+    rest = F.split(value[1], ",", 2)
+    shapes = [
+        (names, F.col("value")),
+        ([names[1], names[0], *names[2:]], F.concat_ws(",", rest[0], value[0], rest[1])),
+        ([*names, "depot"], F.concat_ws(",", "value", F.lit("D1"))),
+    ]
+    lines = csv_lines(spark, sf_dir)
+    turn = F.substring(value[0], 2, 20).cast("bigint") % len(shapes)
+    for place, (header, line) in enumerate(shapes):
+        own = lines.where(turn == place).select(line.alias(",".join(header)))
+        own.repartition(files).write.options(header="true", sep="\u0001", quote="").csv(f"{folder}/{place}")
+
+
 def _silver(events: DataFrame) -> DataFrame:
     return events.select(
         F.concat(F.lit("T"), F.col("event_id").cast("string")).alias("trip_id"),

@@ -10,10 +10,10 @@ from ridemill.operators.lookup import (
 )
 from ridemill.operators.merge import merge_trips, replace_date_range
 from ridemill.operators.metrics import observe_batch, observe_reasons
-from ridemill.operators.outliers import route_duration_stats, score_trips, trip_outliers, trip_outliers_on
-from ridemill.operators.rankings import top_routes_last_week, weekly_rolling_counts, weekly_top_routes
+from ridemill.operators.outliers import fold_duration_stats, route_duration_stats, score_trips, trip_outliers, trip_outliers_on
+from ridemill.operators.rankings import fold_weekly, top_routes_last_week, weekly_rolling_counts, weekly_top_routes
 from ridemill.operators.reports import latest_daily, latest_top_routes, worst_outliers
-from ridemill.operators.ridership import daily_ridership, hourly_counts, load_window, peak_hours
+from ridemill.operators.ridership import daily_ridership, day_sums, fold_daily, hourly_counts, load_window, peak_hours
 from ridemill.operators.validate import (
     classify_trips,
     normalize_trips,
@@ -25,9 +25,13 @@ from ridemill.operators.validate import (
 __all__ = [
     "classify_trips",
     "daily_ridership",
+    "day_sums",
     "dedupe_batch",
     "enrich_trips",
     "fits_broadcast",
+    "fold_daily",
+    "fold_duration_stats",
+    "fold_weekly",
     "hourly_counts",
     "known_keys",
     "latest_daily",

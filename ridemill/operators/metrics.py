@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ridemill import schema as S
@@ -24,6 +24,27 @@ def observe_batch(clean: DataFrame, name: str = "batch") -> tuple[DataFrame, Obs
     return observed, observation
 
 
+def fingerprint(columns: list[str], where: Column | None = None) -> list[Column]:
+    """Number of rows, sum and xor of their hashes: the same for the same rows in any order and any number of files."""
+    row = F.xxhash64(*sorted(columns))
+    row = row if where is None else F.when(where, row)
+    return [F.count(row), F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0)).cast("string"), F.coalesce(F.bit_xor(row), F.lit(0))]
+
+
+PRINT = ("rows", "total", "xor")
+
+
+def observe_fingerprints(rows: DataFrame, parts: dict[str, Column | None], name: str = "fingerprints") -> tuple[DataFrame, Observation]:
+    """The rows to write, and `<part>_rows`, `_total` and `_xor` for each of a bounded number of parts."""
+    observation = Observation(name)
+    columns = [c.alias(f"{part}_{kind}") for part, where in parts.items() for kind, c in zip(PRINT, fingerprint(rows.columns, where), strict=True)]
+    return rows.observe(observation, *columns), observation
+
+
+def noted_fingerprint(observation: Observation, part: str) -> list:
+    return [observation.get[f"{part}_{kind}"] for kind in PRINT]
+
+
 def observe_reasons(bad: DataFrame, name: str = "reasons") -> tuple[DataFrame, Observation]:
     """The rejected rows to write, and how many have each reason."""
     observation = Observation(name)

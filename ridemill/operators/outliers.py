@@ -16,6 +16,7 @@ from ridemill.functions import (
     whole_minutes,
     zscore,
 )
+from ridemill.functions.columns import MICROS_PER_MINUTE
 from ridemill.operators.lookup import enrich_trips, sized
 from ridemill.session import checkpointed
 
@@ -42,6 +43,28 @@ def route_duration_stats(trips: DataFrame, duration: str = "exact") -> DataFrame
     )
 
 
+def fold_duration_stats(sums: DataFrame) -> DataFrame:
+    """The same statistics from kept moments (`day_sums`), added up over the days.
+
+    The moments are whole numbers, so the deviation is the same however the trips were dealt to
+    days.  Squares are taken from the whole part of the mean, in 38 digits: nothing cancels out.
+    """
+    total, n = F.col("finished_sum"), F.col("finished_n")
+    sums = sums.where("finished_n > 0").groupBy(*STATS_KEY)
+    sums = sums.agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in ("finished_n", "finished_sum", "finished_squares")])
+    whole = F.call_function("div", total, n)
+    sums = sums.withColumn("whole", whole.cast("decimal(19,0)")).withColumn("rest", (total - F.col("whole") * n).cast("double"))
+    around = F.col("finished_squares") - F.col("whole") * (total + total) + F.col("whole") * F.col("whole") * n
+    count = n.cast("double")
+    variance = (around.cast("double") - F.col("rest") * F.col("rest") / count) / (count - 1)
+    seconds, micros = split_seconds(total)
+    return sums.select(
+        *STATS_KEY,
+        mean_minutes(seconds.cast("long"), micros.cast("long"), n.cast("long")).alias("avg_duration_minutes"),
+        F.when(n > 1, F.sqrt(variance) / F.lit(float(MICROS_PER_MINUTE))).alias("stddev_duration_minutes"),
+    )
+
+
 def run_scope(run_id: str, start, end) -> Column:
     """The trips to judge: those of one run, or for `main` those of the dates."""
     if run_id == "main":

@@ -36,6 +36,10 @@ def weekly_rolling_counts(trips: DataFrame, calc_start, calc_end, days: int = 7)
         F.sum(micros).alias("length_micros"),
         F.count(length).alias("length_n"),
     )
+    return _rolled(per_day, calc_start, calc_end, days)
+
+
+def _rolled(per_day: DataFrame, calc_start, calc_end, days: int) -> DataFrame:
     windows = rolling_window_expand(per_day, "day", days, calc_start, calc_end)
     mean = mean_minutes(F.sum("length_seconds"), F.sum("length_micros"), F.sum("length_n"))
     return windows.groupBy("calculation_date", "route_id").agg(
@@ -47,7 +51,17 @@ def weekly_rolling_counts(trips: DataFrame, calc_start, calc_end, days: int = 7)
 
 def weekly_top_routes(trips: DataFrame, calc_start, calc_end, days: int = 7, k: int = 10) -> DataFrame:
     """The `k` busiest routes of each calculation date's trailing window."""
-    totals = weekly_rolling_counts(trips, calc_start, calc_end, days)
+    return _ranked(weekly_rolling_counts(trips, calc_start, calc_end, days), k)
+
+
+def fold_weekly(sums: DataFrame, calc_start, calc_end, days: int = 7, k: int = 10) -> DataFrame:
+    """The same ranking from kept sums (`day_sums`) instead of trips."""
+    per_day = sums.where("per_vehicle = 0").groupBy(F.col("trip_date").alias("day"), "route_id")
+    per_day = per_day.agg(*[F.sum(c).alias(c) for c in ("trips", "completed", "length_seconds", "length_micros", "length_n")])
+    return _ranked(_rolled(per_day, calc_start, calc_end, days), k)
+
+
+def _ranked(totals: DataFrame, k: int) -> DataFrame:
     busiest = Window.partitionBy("calculation_date").orderBy(*_by_volume())
     ranked = totals.withColumn("route_rank", F.dense_rank().over(busiest)).where(F.col("route_rank") <= k)
     return ranked.select(*S.GOLD_WEEKLY.column_names)

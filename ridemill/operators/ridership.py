@@ -79,8 +79,13 @@ def daily_ridership(trips: DataFrame, start, end, duration: str = "exact") -> Da
         "capacity",
         length.alias("length"),
     )
+    return fold_daily(_partial(facts, duration, []), duration)
+
+
+def _partial(facts: DataFrame, duration: str, more: list[Column]) -> DataFrame:
+    """Sums by hour, and by vehicle where `per_vehicle` is 1, in one scan; `more` sums are for the hours."""
     by_hour, by_vehicle = [*GROUP, "trip_hour"], [*GROUP, "vehicle_id"]
-    partial = facts.groupingSets([by_hour, by_vehicle], *GROUP, "trip_hour", "vehicle_id").agg(
+    return facts.groupingSets([by_hour, by_vehicle], *GROUP, "trip_hour", "vehicle_id").agg(
         F.grouping("trip_hour").alias("per_vehicle"),
         F.count("trip_id").alias("trips"),
         F.sum("capacity").alias("capacity_sum"),
@@ -90,7 +95,42 @@ def daily_ridership(trips: DataFrame, start, end, duration: str = "exact") -> Da
         F.max("length").alias("length_max"),
         status_count(S.STATUS_COMPLETED).alias("completed"),
         status_count(S.STATUS_IN_PROGRESS).alias("in_progress"),
+        *more,
+    )
+
+
+def day_sums(trips: DataFrame) -> DataFrame:
+    """What the business tables need of whole days, to be kept: sums by day, route, vehicle type and hour.
+
+    Rows with `per_vehicle` 1 name the vehicles of a day, route and type.  All sums are of whole
+    numbers and all rows of one day, so days can be added up in any way with the same result;
+    `finished_*` are the moments of finished trips in microseconds: their number, sum and sum of squares.
+    Groups with a null key are kept; `fold_daily` leaves them out.
+    """
+    length = duration_us()
+    facts = trips.select(
+        F.to_date("start_time").alias("trip_date"),
+        "route_id",
+        "vehicle_type",
+        F.hour("start_time").alias("trip_hour"),
+        "vehicle_id",
+        "trip_id",
+        "status",
+        "capacity",
+        length.alias("length"),
+        F.when((F.col("status") == S.STATUS_COMPLETED) & F.col("end_time").isNotNull(), length).alias("finished"),
     )
+    us = F.col("finished").cast("decimal(19,0)")
+    moments = [F.count("finished").alias("finished_n"), F.sum(us).cast("decimal(38,0)").alias("finished_sum"), F.sum(us * us).alias("finished_squares")]
+    sums = _partial(facts, "exact", moments)
+    keys = {*GROUP, "trip_hour", "vehicle_id", "per_vehicle"}
+    # A vehicle's row only says that it was there.
+    return sums.select(*[c if c in keys else F.when(F.col("per_vehicle") == 0, F.col(c)).alias(c) for c in sums.columns])
+
+
+def fold_daily(partial: DataFrame, duration: str = "exact") -> DataFrame:
+    """The ten measures from sums by hour and rows by vehicle (`day_sums`)."""
+    keyed = partial.where(F.col("route_id").isNotNull() & F.col("vehicle_type").isNotNull())
 
     def hourly(name: str) -> Column:
         return F.when(F.col("per_vehicle") == 0, F.col(name))
@@ -103,7 +143,7 @@ def daily_ridership(trips: DataFrame, start, end, duration: str = "exact") -> Da
     else:
         mean = F.when(n > 0, F.sum(hourly("length_minutes")) / n)
         longest = F.max("length_max").cast("double")
-    return partial.groupBy(*GROUP).agg(
+    return keyed.groupBy(*GROUP).agg(
         F.sum(hourly("trips")).alias("total_trips"),
         F.count(vehicle_seen).alias("unique_vehicles"),
         (F.sum(hourly("capacity_sum")) / F.sum(hourly("capacity_n"))).alias("avg_capacity"),

@@ -308,6 +308,12 @@ def oracle_sql() -> dict[str, str]:
             FROM judged WHERE quarantine_reason IS NULL""",
         "branch_read": f"{runs} {_merged(_STRICT, 'accepted_a', 'accepted_b')}",
         "branch_publish": f"{runs} SELECT * FROM accepted_a UNION ALL BY NAME SELECT * FROM accepted_b",
+        "two_staged_runs": f"{runs} {_merged(_STRICT, 'accepted_a', 'accepted_b')}",
+        "branch_audit": f"""{runs}, merged AS ({_merged(_STRICT, 'accepted_a', 'accepted_b')})
+            SELECT 'active' AS table, CAST(start_time AS DATE) AS start_date, count(*) AS found_rows, TRUE AS intact
+            FROM merged WHERE start_date IN (SELECT CAST(start_time AS DATE) FROM accepted_b) GROUP BY ALL
+            UNION ALL SELECT 'history', NULL, count(*), TRUE FROM accepted_b""",
+        "restaged_branch": f"{runs} SELECT * REPLACE ('run_a' AS sfn_execution_id) FROM ({_merged(_STRICT, 'accepted_a', 'accepted_b')})",
         "gold_replace": f"""{_using('enriched', 'enriched_again')}, {_HOURS},
             {_hours('enriched_again', 'hours_again', in_week)},
             daily AS ({_DAILY}), daily_again AS ({again})
@@ -328,6 +334,9 @@ def oracle_sql() -> dict[str, str]:
         "csv_lineage": f"SELECT 'T' || event_id AS trip_id, {_STATUS} AS folder FROM events",
         "discovered_scan": f"""{_using('lines')} SELECT trip_id, 'r' || CAST(substr(route_id, 2) AS INTEGER) AS route_id,
             distance_km, 'double' AS distance_type FROM lines WHERE NOT is_corrupt""",
+        "mixed_headers_scan": f"""SELECT {', '.join(f'CASE WHEN {_LINE_OK} THEN {value} END AS {name}' for name, value in {
+            'trip_id': "'T' || event_id", 'vehicle_id': "'v' || user_id", 'route_id': "'r' || (user_id % 27)", 'distance_km': 'value / 4',
+            'status': _STATUS, 'vehicle_id_raw': "'V' || user_id"}.items())}, NOT ({_LINE_OK}) AS is_corrupt FROM events""",
         "dimension_scan": f"{_using('vehicles')} SELECT * FROM vehicles",
         "from_csv_corrupt": f"""SELECT 'T' || event_id AS trip_id, NOT ({_LINE_OK}) AS is_corrupt FROM events""",
     }

@@ -7,16 +7,18 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ridemill import schema as S
-from ridemill.functions import as_day, shift_day
+from ridemill.functions import as_day, day_literal, shift_day
 from ridemill.operators.dedupe import dedupe_batch, latest_per_trip
 from ridemill.operators.lookup import BROADCAST_LIMIT_BYTES, enrich_trips, fits_broadcast, row_floor_bytes, sized
 from ridemill.operators.metrics import observe_reasons
-from ridemill.operators.outliers import route_duration_stats, run_scope, trip_outliers
-from ridemill.operators.rankings import weekly_top_routes
-from ridemill.operators.ridership import daily_ridership, load_window
+from ridemill.operators.outliers import fold_duration_stats, run_scope, trip_outliers
+from ridemill.operators.rankings import fold_weekly
+from ridemill.operators.ridership import fold_daily, load_window
 from ridemill.operators.validate import classify_trips, quarantine_rows, split_clean_bad
+from ridemill.plans.kept_sums import kept_day_sums
 from ridemill.plans.parquet_store import ACTIVE, MAIN, distinct_days
 from ridemill.session import checkpointed, delete_path, require_utc
 from ridemill.sinks.gold_files import GoldWrite
@@ -110,38 +112,50 @@ def run_gold(
 ) -> None:
     """Recompute the business tables for the touched dates, then publish the branch.
 
-    The three results read different columns and days, so each scans what it
-    needs: the padded window only for the statistics and the rankings, the dates
-    alone for what is judged.  `persist` keeps the joined trips instead, for small windows.  The
-    branch is published only after the sink has taken all three tables.
+    Daily ridership, the weekly ranking and the outliers' baseline are folded from sums by day
+    that are kept from run to run (`kept_day_sums`): of trips, only those of days that have
+    changed are read, and those that are judged.  `persist` keeps the joined trips of the dates for
+    both.  The branch is published only after the sink has taken all three tables, and they
+    are made anew if another run has published one of its days meanwhile.
     """
     require_utc(vehicles.sparkSession)
-    active = store.read(ACTIVE, run_id, _days(shift_day(start_date, -WINDOW_PAD_DAYS), shift_day(end_date, WINDOW_PAD_DAYS)))
-    trips = _enriched_window(active, vehicles, start_date, end_date, WINDOW_PAD_DAYS)
-    of_the_dates = _enriched_window(active, vehicles, start_date, end_date, 0)
-    if persist:
-        trips = of_the_dates = trips.persist(StorageLevel.MEMORY_AND_DISK)
+    if run_id == MAIN:
+        _write_gold(vehicles, store, sink, run_id, start_date, end_date, persist)
+        return
+    while True:
+        store.rebase(run_id)
+        _write_gold(vehicles, store, sink, run_id, start_date, end_date, persist)
+        if store.is_current(run_id):
+            break
+    store.publish(run_id)
+
+
+def _write_gold(vehicles: DataFrame, store, sink, run_id: str, start_date: str, end_date: str, persist: bool) -> None:
     last_calculation = shift_day(end_date, WINDOW_PAD_DAYS)
-    stats = sized(checkpointed(route_duration_stats(trips)))
-    scope = run_scope(run_id, start_date, end_date)
+    dates, padded = _days(start_date, end_date), _days(shift_day(start_date, -WINDOW_PAD_DAYS), last_calculation)
+    of_the_dates = _enriched(store, run_id, vehicles, dates)
+    if persist:
+        of_the_dates = of_the_dates.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def trips_of(days: list[dt.date]) -> DataFrame:
+        return of_the_dates.where(F.to_date("start_time").isin(days)) if persist and set(days) <= set(dates) else _enriched(store, run_id, vehicles, days)
+
     try:
+        sums = kept_day_sums(store, run_id, padded, vehicles, trips_of)
+        daily = fold_daily(sums.where(F.col("trip_date").between(day_literal(start_date), day_literal(end_date))))
+        weekly = fold_weekly(sums, start_date, last_calculation)
+        stats = sized(checkpointed(fold_duration_stats(sums)))
+        outliers = trip_outliers(of_the_dates, run_scope(run_id, start_date, end_date), stats=stats)
         sink.replace(
             [
-                GoldWrite(S.GOLD_DAILY, daily_ridership(of_the_dates, start_date, end_date), start_date, end_date),
-                GoldWrite(
-                    S.GOLD_WEEKLY,
-                    weekly_top_routes(trips, start_date, last_calculation),
-                    start_date,
-                    last_calculation,
-                ),
-                GoldWrite(S.GOLD_OUTLIERS, trip_outliers(of_the_dates, scope, stats=stats), start_date, end_date),
+                GoldWrite(S.GOLD_DAILY, daily, start_date, end_date),
+                GoldWrite(S.GOLD_WEEKLY, weekly, start_date, last_calculation),
+                GoldWrite(S.GOLD_OUTLIERS, outliers, start_date, end_date),
             ]
         )
     finally:
         if persist:
-            trips.unpersist()
-    if run_id != MAIN:
-        store.publish(run_id)
+            of_the_dates.unpersist()
 
 
 def _days(first: dt.date | str, last: dt.date | str) -> list[dt.date]:
@@ -149,8 +163,9 @@ def _days(first: dt.date | str, last: dt.date | str) -> list[dt.date]:
     return [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
 
 
-def _enriched_window(active: DataFrame, vehicles: DataFrame, start_date: str, end_date: str, pad_days: int) -> DataFrame:
-    window = load_window(active, start_date, end_date, pad_days)
+def _enriched(store, branch: str, vehicles: DataFrame, days: list[dt.date]) -> DataFrame:
+    """Trips of the days, joined with their vehicles."""
+    window = load_window(store.read(ACTIVE, branch, days), min(days), max(days), 0)
     return enrich_trips(window, vehicles).select(*S.ENRICHED_COLUMNS)
 
 

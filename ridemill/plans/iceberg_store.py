@@ -99,6 +99,17 @@ class IcebergTripStore:
                 f"table => '{self.database}.{self.prefix}{name}', branch => '{MAIN}', to => '{branch}')"
             )
 
+    def rebase(self, branch: str) -> list[dt.date]:
+        """Nothing: a branch whose main has moved on is refused by `fast_forward`."""
+        return []
+
+    def is_current(self, branch: str) -> bool:
+        return True
+
+    def versions(self, branch: str, days: Iterable[dt.date]) -> None:
+        """Days have no version of their own here."""
+        return None
+
     def table(self, name: str) -> str:
         return f"{self.catalog}.{self.database}.{self.prefix}{name}"
 

@@ -104,6 +104,14 @@ def read_note(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def rename_path(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file to a name in another folder; False if the name is taken."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(target).getParent())
+    return not system.exists(path(target)) and system.rename(path(source), path(target))
+
+
 def require_utc(spark: SparkSession) -> None:
     """Days and bounds are those of UTC; in another zone they would shift unseen."""
     zone = spark.conf.get("spark.sql.session.timeZone")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from ridemill import fixtures as X
 from ridemill import operators as op
 from ridemill import schema as S
-from ridemill.functions import between_days
+from ridemill.functions import between_days, date_spine
 from ridemill.operators.outliers import run_scope
 from ridemill.plans import ParquetTripStore, run_batch, run_silver
-from ridemill.plans.parquet_store import ACTIVE, HISTORY
+from ridemill.plans.parquet_store import ACTIVE, HISTORY, RETAIN_DAYS
 from ridemill.session import names_in, scratch_path
 from ridemill.sinks import (
     GoldWrite,
@@ -24,7 +25,7 @@ from ridemill.sinks import (
     write_quarantine,
     write_run_metadata,
 )
-from ridemill.sources import discover_csv_schema, distinct_paths, parse_trip_lines, read_dimension, read_trips_csv
+from ridemill.sources import discover_csv_schema, distinct_paths, parse_trip_lines, read_dimension, read_trips_by_name, read_trips_csv
 from ridemill.streaming import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,9 +68,10 @@ def top_routes_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day from the first event to the last."""
     day = F.to_date("ts")
-    ends = X.table(spark, sf_dir, "events").agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    return ends.select(F.explode(F.sequence("first", "last")).alias("calculation_date"))
+    ends = X.table(spark, sf_dir, "events").agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return date_spine(spark, ends["first"], ends["last"])
 
 
 def _rounded(outliers: DataFrame) -> DataFrame:
@@ -235,19 +237,44 @@ def run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_run_metadata(spark, root, X.BATCH_ID)
 
 
-def _two_runs(spark: SparkSession, sf_dir: str) -> ParquetTripStore:
-    """All trips as one published run, and their redelivery as a staged one."""
+def _staged(spark: SparkSession, sf_dir: str, steps: tuple[str, ...]) -> ParquetTripStore:
+    """A store after the steps: `a` and `b` stage all trips and their redelivery, `+a` and `+b` publish them, `a=b` stages the redelivery as run a."""
     root = scratch_path(spark, "store")
     store = ParquetTripStore(spark, f"{root}/tables")
     dims = X.dim_routes(spark, sf_dir), X.dim_vehicles(spark, sf_dir)
-    batches = {"run_a": X.trips(spark, sf_dir), "run_b": X.redelivered_trips(spark, sf_dir)}
-    for run_id, rows in batches.items():
-        run_silver(rows.drop(S.RUN_COLUMN), *dims, store, run_id, X.AFTER_LAST, f"{root}/bad", f"{root}/runs")
-        if run_id == "run_a":
-            store.publish(run_id)
+    batches = {"a": X.trips(spark, sf_dir), "b": X.redelivered_trips(spark, sf_dir)}
+    for step in steps:
+        if step.startswith("+"):
+            store.publish(f"run_{step[1:]}")
+            continue
+        rows = batches[step[-1]].drop(S.RUN_COLUMN)
+        run_silver(rows, *dims, store, f"run_{step[0]}", X.AFTER_LAST, f"{root}/bad", f"{root}/runs")
     return store
 
 
+def _two_runs(spark: SparkSession, sf_dir: str) -> ParquetTripStore:
+    """All trips as one published run, and their redelivery as a staged one."""
+    return _staged(spark, sf_dir, ("a", "+a", "b"))
+
+
+def two_staged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current trips after two runs on the same days were staged side by side and then published."""
+    return _staged(spark, sf_dir, ("a", "b", "+a", "+b")).read(ACTIVE).drop(S.DAY_COLUMN, "ingested_at")
+
+
+def branch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a staged run holds, read back and compared with what was noted while it was written."""
+    return _two_runs(spark, sf_dir).audit("run_b").select("table", S.DAY_COLUMN, "found_rows", "intact")
+
+
+def restaged_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current trips after a published run was staged again and old branches were removed before its second publish."""
+    store = _staged(spark, sf_dir, ("a", "+a", "a=b"))
+    store.expire_branches(time.time() + 2 * RETAIN_DAYS * 86_400)
+    store.publish("run_a")
+    return store.read(ACTIVE).drop(S.DAY_COLUMN, "ingested_at")
+
+
 def branch_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The current trips as the staged run sees them."""
     return _two_runs(spark, sf_dir).read(ACTIVE, "run_b").drop(S.DAY_COLUMN, "ingested_at")
@@ -404,6 +431,16 @@ def discovered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("trip_id", "route_id", "distance_km", F.typeof("distance_km").alias("distance_type"))
 
 
+def mixed_headers_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three headers, each column found by its name."""
+    folder = scratch_path(spark, "mixed")
+    X.land_mixed_csv(spark, sf_dir, folder)
+    rows = read_trips_by_name(spark, folder)
+    whole = F.col(S.CORRUPT_COLUMN).isNull()
+    names = ("vehicle_id", "route_id", "distance_km", "status", "vehicle_id_raw")
+    return rows.select(*(F.when(whole, F.col(c)).alias(c) for c in ("trip_id", *names)), (~whole).alias("is_corrupt"))
+
+
 def dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vehicles written as CSV, some twice, and read as a lookup."""
     folder = scratch_path(spark, "vehicles")
@@ -454,6 +491,9 @@ def queries() -> dict[str, Query]:
         "run_metadata": run_metadata,
         "branch_read": branch_read,
         "branch_publish": branch_publish,
+        "two_staged_runs": two_staged_runs,
+        "restaged_branch": restaged_branch,
+        "branch_audit": branch_audit,
         "gold_replace": gold_replace,
         "stream_batches": stream_batches,
         "stream_late_files": stream_late_files,
@@ -464,5 +504,6 @@ def queries() -> dict[str, Query]:
         "gold_skipped": gold_skipped,
         "csv_lineage": csv_lineage,
         "discovered_scan": discovered_scan,
+        "mixed_headers_scan": mixed_headers_scan,
         "dimension_scan": dimension_scan,
     }

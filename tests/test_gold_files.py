@@ -1,0 +1,103 @@
+"""The business tables change together: readers see all old or all new."""
+
+from __future__ import annotations
+
+import datetime as dt
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+import ridemill.sinks.gold_files as gold_files
+from ridemill import schema as S
+from ridemill.sinks import GoldWrite, ParquetGoldSink
+from tests.test_sinks import weekly
+
+OUTLIERS = "trip_id string, route_id string, vehicle_id string, start_time timestamp, end_time timestamp, duration_minutes double, avg_duration_minutes double, stddev_duration_minutes double, z_score double, outlier_reason string"
+
+
+def outliers(spark, *days):
+    rows = [(f"T{d}", "R1", "V1", dt.datetime.fromisoformat(f"{d}T08:00:00+00:00"), None, 1.0, 1.0, 1.0, 4.0, mark) for d, mark in days]
+    return spark.createDataFrame(rows, OUTLIERS)
+
+
+def writes(spark, mark, *days):
+    first, last = min(days), max(days)
+    return [
+        GoldWrite(S.GOLD_WEEKLY, weekly(spark, *((d, mark) for d in days)), first, last),
+        GoldWrite(S.GOLD_OUTLIERS, outliers(spark, *((d, mark) for d in days)), first, last),
+    ]
+
+
+def seen(sink):
+    week, out = sink.read_all([S.GOLD_WEEKLY, S.GOLD_OUTLIERS])
+    return sorted((str(r["calculation_date"]), r["route_id"]) for r in week.collect()), sorted((str(r["start_time"])[:10], r["outlier_reason"]) for r in out.collect())
+
+
+@pytest.mark.parametrize("step", ["first table", "second table", "list", "rename", "cleaning"])
+def test_a_failure_after_each_step_leaves_all_old_or_all_new(spark, tmp_path, monkeypatch, step):
+    sink = ParquetGoldSink(spark, str(tmp_path))
+    sink.replace(writes(spark, "old", "2025-01-01", "2025-01-02", "2025-01-03"))
+    before = seen(sink)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    replaced, done = sink._replaced, []
+
+    def counted(*args):
+        found = replaced(*args)
+        done.append(found)
+        if len(done) == (1 if step == "first table" else 2):
+            fail()
+        return found
+
+    if step in ("first table", "second table"):
+        monkeypatch.setattr(sink, "_replaced", counted)
+    elif step == "list":
+        monkeypatch.setattr(gold_files, "write_note", fail)
+    elif step == "rename":
+        monkeypatch.setattr(gold_files, "rename_path", fail)
+    else:
+        monkeypatch.setattr(sink, "_clean", fail)
+    with pytest.raises(OSError):
+        sink.replace(writes(spark, "new", "2025-01-02", "2025-01-03"))
+    monkeypatch.undo()
+    after = [("2025-01-01", "old"), ("2025-01-02", "new"), ("2025-01-03", "new")]
+    assert seen(sink) == ((after, after) if step == "cleaning" else before)
+    sink.replace(writes(spark, "new", "2025-01-02", "2025-01-03"))
+    assert seen(sink) == (after, after)
+
+
+def test_who_has_resolved_the_list_reads_it_to_the_end(spark, tmp_path):
+    sink = ParquetGoldSink(spark, str(tmp_path))
+    sink.replace(writes(spark, "old", "2025-01-01"))
+    week, out = sink.read_all([S.GOLD_WEEKLY, S.GOLD_OUTLIERS])
+    for turn in range(gold_files.KEEP_GENERATIONS - 1):
+        sink.replace(writes(spark, f"new{turn}", "2025-01-01"))
+    assert week.first()["route_id"] == "old" and out.first()["outlier_reason"] == "old"
+    for turn in range(3):
+        sink.replace(writes(spark, f"newer{turn}", "2025-01-01"))
+    assert len(glob.glob(f"{tmp_path}/generations/0*")) == gold_files.KEEP_GENERATIONS
+    assert len(glob.glob(f"{tmp_path}/data/{S.GOLD_WEEKLY.name}/generation=*")) == gold_files.KEEP_GENERATIONS
+
+
+def test_the_second_of_two_writers_is_refused(spark, tmp_path, monkeypatch):
+    one, other = ParquetGoldSink(spark, str(tmp_path)), ParquetGoldSink(spark, str(tmp_path))
+    one.replace(writes(spark, "old", "2025-01-01"))
+    valid = other._valid()
+    one.replace(writes(spark, "one", "2025-01-01"))
+    monkeypatch.setattr(other, "_valid", lambda: valid)
+    with pytest.raises(RuntimeError):
+        other.replace(writes(spark, "other", "2025-01-01"))
+    assert seen(one)[0] == [("2025-01-01", "one")]
+
+
+def test_days_without_new_rows_are_emptied_and_unwritten_tables_are_an_error(spark, tmp_path):
+    sink = ParquetGoldSink(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        sink.read(S.GOLD_DAILY)
+    sink.replace(writes(spark, "old", "2025-01-01", "2025-01-02"))
+    none = weekly(spark, ("2025-01-01", "x")).where(F.lit(False))
+    sink.replace([GoldWrite(S.GOLD_WEEKLY, none, "2025-01-02", "2025-01-02")])
+    assert seen(sink) == ([("2025-01-01", "old")], [("2025-01-01", "old"), ("2025-01-02", "old")])

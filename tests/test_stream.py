@@ -4,13 +4,14 @@ import os
 import time
 
 import pytest
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import PySparkException, StreamingQueryException
 
 from ridemill import schema as S
 from ridemill.plans import ParquetTripStore
 from ridemill.plans.parquet_store import ACTIVE, HISTORY
 from ridemill.sinks import ParquetGoldSink
 from ridemill.streaming import batch_run_id, stream_silver
+from ridemill.streaming.poison import MOST_ATTEMPTS, failing_files, read_ledger
 from tests.helpers import AS_OF
 
 HEADER = ",".join(S.RAW_TRIPS.names)
@@ -157,3 +158,62 @@ def test_stream_in_batches_with_a_failed_gold_step(spark, tmp_path, routes, vehi
     assert [(r["total_trips"], r["trips_in_progress"]) for r in daily] == [(4, 1)]
     run()
     assert len(done) == 3
+
+
+def spoil(folder, name):
+    """A file whose blocks do not have the checksums noted for them: reading it fails."""
+    (folder / f".{name}.crc").write_bytes(b"crc\x00\x00\x00\x02\x00" + b"\x00" * 4)
+
+
+def test_a_file_that_cannot_be_read_is_set_aside_after_three_attempts(spark, tmp_path, routes, vehicles):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    store = ParquetTripStore(spark, f"{tmp_path}/tables")
+    for i in range(4):
+        land(landing, f"{i}.csv", line(f"T{i}"))
+    spoil(landing, "2.csv")
+    for _ in range(MOST_ATTEMPTS):
+        with pytest.raises(StreamingQueryException):
+            stream(spark, tmp_path, "checkpoint", store, routes, vehicles)
+        # Readers see nothing of a batch that failed.
+        assert not (tmp_path / "tables" / "main").exists() or store.read(ACTIVE).count() == 0
+    done = stream(spark, tmp_path, "checkpoint", store, routes, vehicles)
+    assert [d.clean_count for d in done] == [3]
+    assert {r["trip_id"] for r in store.read(ACTIVE).collect()} == {"T0", "T1", "T3"}
+    ledger = read_ledger(spark, f"{tmp_path}/runs", done[0].run_id)
+    assert ledger["attempts"] == MOST_ATTEMPTS + 1 and [f.rsplit("/", 1)[1] for f in ledger["set_aside"]] == ["2.csv"]
+    assert not (landing / "2.csv").exists()
+    assert [n for n in os.listdir(f"{tmp_path}/bad/set_aside/{done[0].run_id}") if n.endswith(".csv") and not n.startswith(".")] == ["000-2.csv"]
+    land(landing, "5.csv", line("T5"))
+    stream(spark, tmp_path, "checkpoint", store, routes, vehicles)
+    assert store.read(ACTIVE).count() == 4
+
+
+def test_a_fault_that_is_not_in_the_files_sets_none_aside(spark, tmp_path, routes, vehicles, monkeypatch):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    store = ParquetTripStore(spark, f"{tmp_path}/tables")
+    land(landing, "1.csv", line("T1"))
+
+    def refuse(result):
+        raise RuntimeError("gold is down")
+
+    monkeypatch.setattr("ridemill.streaming.micro_batch.MOST_ATTEMPTS", 1)
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            stream(spark, tmp_path, "checkpoint", store, routes, vehicles, on_batch=refuse)
+    assert (landing / "1.csv").exists()
+    assert [d.clean_count for d in stream(spark, tmp_path, "checkpoint", store, routes, vehicles)] == [1]
+
+
+def test_halving_finds_each_bad_file():
+    asked = []
+
+    def probe(files):
+        asked.append(len(files))
+        if {"c", "h"} & set(files):
+            raise PySparkException("unreadable")
+
+    assert failing_files(list("abcdefgh"), probe) == ["c", "h"]
+    assert len(asked) <= 1 + 2 * 2 * 3
+    assert failing_files(list("abd"), probe) == [] and failing_files([], probe) == []

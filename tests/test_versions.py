@@ -1,0 +1,344 @@
+"""Days have versions: runs staged side by side, branches staged again, and sums kept from run to run."""
+
+from __future__ import annotations
+
+import datetime as dt
+import itertools
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from ridemill import schema as S
+from ridemill.operators import daily_ridership, day_sums, fold_daily, fold_duration_stats, fold_weekly, route_duration_stats, weekly_top_routes
+from ridemill.plans import ParquetTripStore, parquet_store, run_gold, run_silver
+from ridemill.plans.kept_sums import vehicles_mark
+from ridemill.plans.parquet_store import ACTIVE, HISTORY
+from ridemill.session import delete_path, write_note
+from ridemill.sinks import ParquetGoldSink
+from tests.helpers import AS_OF, ENRICHED, RAW, raw_row, ride
+
+AS_DAY = dt.date(2025, 1, 18)
+RUNS = {
+    "run_a": [
+        raw_row("T1", status="in_progress", start="2025-01-18 08:00:00", end="2025-01-18 08:05:00"),
+        raw_row("T2", start="2025-01-19 08:00:00", end="2025-01-19 08:30:00"),
+    ],
+    "run_b": [
+        raw_row("T1", start="2025-01-18 08:00:00", end="2025-01-18 08:40:00"),
+        raw_row("T3", start="2025-01-18 09:00:00", end="2025-01-18 09:30:00"),
+    ],
+    "run_c": [
+        raw_row("T2", start="2025-01-19 08:00:00", end="2025-01-19 08:45:00"),
+        raw_row("T4", start="2025-01-18 10:00:00", end="2025-01-18 10:30:00"),
+    ],
+}
+
+
+@pytest.fixture()
+def place(spark, tmp_path):
+    class Place:
+        root = str(tmp_path)
+        store = ParquetTripStore(spark, f"{tmp_path}/tables")
+        sink = ParquetGoldSink(spark, f"{tmp_path}/gold")
+
+    return Place
+
+
+def stage(spark, place, routes, vehicles, run_id, rows=None):
+    raw = spark.createDataFrame(rows or RUNS[run_id], RAW)
+    return run_silver(raw, routes, vehicles, place.store, run_id, AS_OF, f"{place.root}/bad", f"{place.root}/runs")
+
+
+def current(store, branch="main"):
+    return sorted((r["trip_id"], r["status"], str(r["end_time"])[11:16]) for r in store.read(ACTIVE, branch).collect())
+
+
+ALL_FOUR = [("T1", "completed", "08:40"), ("T2", "completed", "08:45"), ("T3", "completed", "09:30"), ("T4", "completed", "10:30")]
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations(RUNS)), ids="".join)
+def test_three_staged_runs_are_all_there_in_any_order(spark, place, routes, vehicles, order):
+    for run_id in RUNS:
+        stage(spark, place, routes, vehicles, run_id)
+    for run_id in order:
+        place.store.publish(run_id)
+    assert current(place.store) == ALL_FOUR
+    assert place.store.read(HISTORY).count() == 6
+
+
+def test_a_second_publish_of_a_generation_does_not_take_back_later_runs(spark, place, routes, vehicles):
+    stage(spark, place, routes, vehicles, "run_c")
+    place.store.publish("run_c")
+    again = [raw_row("T2", start="2025-01-19 08:00:00", end="2025-01-19 08:45:00", km=9.0)]
+    stage(spark, place, routes, vehicles, "run_d", again)
+    place.store.publish("run_d")
+    place.store.publish("run_c")
+    assert [r["distance_km"] for r in place.store.read(ACTIVE).where("trip_id = 'T2'").collect()] == [9.0]
+
+
+def test_a_rebase_that_was_cut_off_is_done_again(spark, place, routes, vehicles, monkeypatch):
+    for run_id in RUNS:
+        stage(spark, place, routes, vehicles, run_id)
+    place.store.publish("run_a")
+    monkeypatch.setattr(place.store, "_note_staged", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        place.store.publish("run_b")
+    monkeypatch.undo()
+    assert current(place.store) == [("T1", "in_progress", "08:05"), ("T2", "completed", "08:30")]
+    assert [d.isoformat() for d in place.store.rebase("run_b")] == ["2025-01-18"]
+    assert place.store.rebase("run_b") == [] and place.store.is_current("run_b")
+    place.store.publish("run_b")
+    place.store.publish("run_c")
+    assert current(place.store) == ALL_FOUR
+
+
+def test_a_publish_cut_off_between_its_tables_is_finished(spark, place, routes, vehicles, monkeypatch):
+    for run_id in ("run_a", "run_b"):
+        stage(spark, place, routes, vehicles, run_id)
+    write = place.store._write
+
+    def failing(shaped, name, path, mode):
+        if name == HISTORY:
+            raise OSError("lost")
+        write(shaped, name, path, mode)
+
+    monkeypatch.setattr(place.store, "_write", failing)
+    with pytest.raises(OSError):
+        place.store.publish("run_a")
+    monkeypatch.undo()
+    stage(spark, place, routes, vehicles, "run_c")
+    place.store.publish("run_b")
+    place.store.publish("run_c")
+    assert current(place.store) == ALL_FOUR
+    assert place.store.read(HISTORY).count() == 6
+
+
+def test_a_branch_staged_again_does_not_expire(spark, place, routes, vehicles):
+    stage(spark, place, routes, vehicles, "run_a")
+    place.store.publish("run_a")
+    stage(spark, place, routes, vehicles, "run_a", RUNS["run_a"] + [raw_row("T5", start="2025-01-19 12:00:00", end="2025-01-19 12:30:00")])
+    assert place.store.expire_branches(time.time() + 6 * 86_400) == []
+    # Even if the note of the first publish came back, it names another generation.
+    write_note(spark, f"{place.root}/tables/published/run_a", "an older one")
+    assert place.store.expire_branches(time.time() + 6 * 86_400) == []
+    place.store.publish("run_a")
+    assert [t[0] for t in current(place.store)] == ["T1", "T2", "T5"]
+    assert place.store.expire_branches(time.time() + 6 * 86_400) == ["run_a"]
+
+
+def test_a_branch_without_data_is_not_published(spark, place, routes, vehicles):
+    with pytest.raises(ValueError):
+        place.store.publish("run_x")
+    assert not stage(spark, place, routes, vehicles, "run_x", [raw_row("T9", route="r77")]).has_clean_rows
+    with pytest.raises(ValueError):
+        place.store.publish("run_x")
+    stage(spark, place, routes, vehicles, "run_a")
+    place.store.publish("run_a")
+    place.store.expire_branches(time.time() + 6 * 86_400)
+    with pytest.raises(ValueError):
+        place.store.publish("run_a")
+    assert len(current(place.store)) == 2
+
+
+def test_gold_is_made_from_what_other_runs_published_meanwhile(spark, place, routes, vehicles):
+    """Run b is published after run a was staged, and again while a's tables are being replaced."""
+    found = stage(spark, place, routes, vehicles, "run_a")
+    stage(spark, place, routes, vehicles, "run_b")
+    place.store.publish("run_b")
+    replace, calls = place.sink.replace, []
+
+    class Meanwhile:
+        def replace(self, writes):
+            replace(writes)
+            calls.append(1)
+            if len(calls) == 1:
+                stage(spark, place, routes, vehicles, "run_c")
+                place.store.publish("run_c")
+
+    run_gold(vehicles, place.store, Meanwhile(), "run_a", found.start_date, found.end_date)
+    assert len(calls) == 2
+    assert current(place.store) == ALL_FOUR
+    assert place.sink.read(S.GOLD_DAILY).agg(F.sum("total_trips")).first()[0] == 4
+
+
+def rides():
+    rows = []
+    for i in range(400):
+        minutes = None if i % 11 == 0 else (i * 7919) % 97 + (i % 13) / 7
+        status = ("completed", "in_progress", "cancelled")[i % 3 if i % 5 else 0]
+        rows.append(ride(f"T{i}", f"R{i % 4}" if i % 17 else None, f"2025-01-{10 + i % 6} {i % 24:02d}:00:00", minutes, vehicle=f"v{i % 9}", status=status, kind=("bus", "tram", None)[i % 3], seats=None if i % 7 == 0 else i % 60))
+    return rows
+
+
+def rows_of(df):
+    def plain(value):
+        return f"{value:.9e}" if isinstance(value, float) else str(value)
+
+    return sorted(tuple(plain(v) for v in row) for row in df.collect())
+
+
+def test_folded_tables_equal_those_of_the_trips(spark):
+    trips = spark.createDataFrame(rides(), ENRICHED)
+    sums = day_sums(trips)
+    assert rows_of(fold_daily(sums)) == rows_of(daily_ridership(trips, "2025-01-10", "2025-01-15"))
+    week = ("2025-01-10", "2025-01-21")
+    assert rows_of(fold_weekly(sums, *week)) == rows_of(weekly_top_routes(trips, *week))
+    assert rows_of(fold_duration_stats(sums)) == rows_of(route_duration_stats(trips))
+
+
+def test_any_split_gives_the_same_deviation(spark):
+    """Bit for bit, and close to zero where a plain sum of squares would cancel out."""
+    base = [ride(f"T{i}", "R9", f"2025-01-{10 + i % 5} 08:00:00", 9_000_000 + (i % 2) / 60_000_000) for i in range(200)]
+    whole = spark.createDataFrame(base + rides(), ENRICHED)
+    expected = sorted(map(tuple, fold_duration_stats(day_sums(whole)).collect()), key=repr)
+    for parts in (2, 3, 7):
+        split = [day_sums(whole.where(F.pmod(F.xxhash64("trip_id"), F.lit(parts)) == p)) for p in range(parts)]
+        together = split[0]
+        for one in split[1:]:
+            together = together.unionByName(one)
+        assert sorted(map(tuple, fold_duration_stats(together).collect()), key=repr) == expected
+    deviation = next(r[3] for r in expected if r[0] == "R9")
+    assert 0 < deviation < 1e-7
+
+
+def test_only_days_that_changed_are_read_for_gold(spark, place, routes, vehicles):
+    asked = []
+
+    class Noting(ParquetTripStore):
+        def read(self, name, branch="main", days=None):
+            asked.append((branch, sorted(d.isoformat() for d in days or ())))
+            return super().read(name, branch, days)
+
+    place.store = Noting(spark, f"{place.root}/tables")
+    found = stage(spark, place, routes, vehicles, "run_a")
+    run_gold(vehicles, place.store, place.sink, "run_a", found.start_date, found.end_date)
+    later = [raw_row("T6", start="2025-01-20 08:00:00", end="2025-01-20 08:20:00")]
+    found = stage(spark, place, routes, vehicles, "run_b", later)
+    asked.clear()
+    run_gold(vehicles, place.store, place.sink, "run_b", found.start_date, found.end_date)
+    # The days of run_a lie in the padding: their sums are kept, their trips are not read.
+    assert {day for branch, days in asked for day in days if branch == "run_b"} == {"2025-01-20"}
+    weekly = place.sink.read(S.GOLD_WEEKLY).where("calculation_date = '2025-01-20'").first()
+    assert weekly["total_trips"] == 3
+
+
+def test_sums_follow_the_days_and_the_vehicles(spark, place, routes, vehicles):
+    def folders():
+        return set(os.listdir(f"{place.root}/tables/day_sums")) - {"_SUCCESS", "._SUCCESS.crc"}
+
+    found = stage(spark, place, routes, vehicles, "run_a")
+    run_gold(vehicles, place.store, place.sink, "run_a", found.start_date, found.end_date)
+    first = folders()
+    assert len(first) == 2
+    found = stage(spark, place, routes, vehicles, "run_b")
+    run_gold(vehicles, place.store, place.sink, "run_b", found.start_date, found.end_date)
+    # The sums of the replaced day are gone, those of the other day stay.
+    assert len(folders()) == 2 and len(folders() & first) == 1
+    other = spark.createDataFrame([("V0001", "Tram", 80)], "vehicle_id string, vehicle_type string, capacity int")
+    assert vehicles_mark(other) != vehicles_mark(vehicles)
+    run_gold(other, place.store, place.sink, "main", "2025-01-18", "2025-01-19")
+    assert {r["vehicle_type"] for r in place.sink.read(S.GOLD_DAILY).collect()} == {"Tram"}
+
+
+def history(store):
+    return sorted(map(tuple, store.read(HISTORY).select("trip_id", "route_id", "start_time", "end_time", "distance_km", S.DAY_COLUMN, S.RUN_COLUMN).collect()))
+
+
+def partitions(place, day):
+    return sorted(n.split("=")[1] for n in os.listdir(f"{place.root}/tables/main/history/start_date={day}") if n.startswith(S.RUN_COLUMN))
+
+
+def closed_runs(spark, place, routes, vehicles, count=4):
+    for i in range(count):
+        rows = [raw_row(f"T{i}", start="2025-01-18 08:00:00"), raw_row(f"U{i}", start=f"2025-01-{19 + i % 2} 08:00:00")]
+        stage(spark, place, routes, vehicles, f"run_{i}", rows)
+        place.store.publish(f"run_{i}")
+    stage(spark, place, routes, vehicles, "run_open", [raw_row("T1", start="2025-01-18 08:00:00", km=7.0)])
+    place.store.publish("run_open")
+    for i in range(count):
+        # As after five days, for these runs only.
+        for kind in ("branches", "staged", "published"):
+            delete_path(spark, f"{place.root}/tables/{kind}/run_{i}")
+
+
+def test_folded_history_has_the_same_rows(spark, place, routes, vehicles):
+    closed_runs(spark, place, routes, vehicles)
+    before = history(place.store)
+    assert [d.isoformat() for d in place.store.fold_history()] == ["2025-01-18", "2025-01-19", "2025-01-20"]
+    assert history(place.store) == before
+    # A run that may still be given again keeps its partition.
+    assert partitions(place, "2025-01-18") == ["run_open"] and partitions(place, "2025-01-19") == []
+    assert place.store.fold_history(least=1) == []
+    assert place.store.read(HISTORY, days=[AS_DAY]).count() == 5
+    # It closes too, and is added to what is folded.
+    for kind in ("branches", "staged", "published"):
+        delete_path(spark, f"{place.root}/tables/{kind}/run_open")
+    assert place.store.fold_history(least=1) == [AS_DAY]
+    assert history(place.store) == before and partitions(place, "2025-01-18") == []
+    assert len([n for n in os.listdir(f"{place.root}/tables/folded") if n.startswith("2025")]) == 3
+
+
+@pytest.mark.parametrize("step", ["written", "noted", "committed", "half removed"])
+def test_a_fold_that_was_cut_off_changes_nothing(spark, place, routes, vehicles, monkeypatch, step):
+    closed_runs(spark, place, routes, vehicles)
+    before, calls = history(place.store), []
+
+    def write(spark, path, text):
+        calls.append(path)
+        if step == "written" or (step == "noted" and "/folded/" in path):
+            raise OSError("lost")
+        write_note(spark, path, text)
+
+    def remove(spark, path):
+        if step == "committed" or len([c for c in calls if c == "removed"]) > 1:
+            raise OSError("lost")
+        calls.append("removed")
+        delete_path(spark, path)
+
+    monkeypatch.setattr(parquet_store, "write_note", write)
+    monkeypatch.setattr(parquet_store, "delete_path", remove)
+    with pytest.raises(OSError):
+        place.store.fold_history()
+    monkeypatch.undo()
+    assert history(place.store) == before
+    place.store.fold_history()
+    assert history(place.store) == before
+    assert partitions(place, "2025-01-18") == ["run_open"]
+
+
+def test_a_folded_run_that_is_given_again_replaces_its_rows(spark, place, routes, vehicles):
+    closed_runs(spark, place, routes, vehicles)
+    place.store.fold_history()
+    count = place.store.read(HISTORY).count()
+    stage(spark, place, routes, vehicles, "run_2", [raw_row("T2", start="2025-01-18 08:00:00", km=9.0)])
+    # While it is only staged, another fold must not drop its old rows.
+    place.store.fold_history(least=1)
+    assert place.store.read(HISTORY).count() == count
+    place.store.publish("run_2")
+    rows = place.store.read(HISTORY)
+    assert rows.count() == count
+    assert [r["distance_km"] for r in rows.where("trip_id = 'T2'").collect()] == [9.0]
+
+
+def test_a_staged_file_that_is_lost_or_changed_is_not_published(spark, place, routes, vehicles):
+    stage(spark, place, routes, vehicles, "run_a")
+    stage(spark, place, routes, vehicles, "run_b")
+    assert {tuple(r) for r in place.store.audit("run_a").select("table", "found_rows", "intact").collect()} == {("active", 1, True), ("history", 2, True)}
+    for table, day in (("active", "2025-01-18"), ("history", "2025-01-19")):
+        stage(spark, place, routes, vehicles, "run_a")
+        folder = next(d for d, _, names in os.walk(f"{place.root}/tables/branches/run_a/{table}/start_date={day}") if any(n.endswith(".parquet") for n in names))
+        for name in os.listdir(folder):
+            os.remove(f"{folder}/{name}")
+        with pytest.raises(RuntimeError, match=table):
+            place.store.publish("run_a")
+    stage(spark, place, routes, vehicles, "run_b")
+    path = place.store._path(ACTIVE, "run_b", staged=True)
+    place.store.read(ACTIVE, "run_b").write.mode("append").partitionBy(S.DAY_COLUMN).parquet(path)
+    with pytest.raises(RuntimeError, match="4 of 2 rows"):
+        place.store.publish("run_b")
+    assert current(place.store) == [] and place.store.read(HISTORY).count() == 0
+    stage(spark, place, routes, vehicles, "run_b")
+    place.store.publish("run_b")
+    assert len(current(place.store)) == 2
