@@ -110,7 +110,7 @@ def exact_groups(docs: DataFrame, primes: Sequence[int] = PRIMES) -> DataFrame:
 
     Texts are equal when their bytes are; a null text counts as empty.  Of equal
     texts the row with the largest doc_id stays.  A repeated row gets a row of its
-    own, counts in group_size, and stays or goes with its doc_id.  A null doc_id is
+    own, counts in group_size, and stays or goes with its doc_id and text.  A null doc_id is
     less than any other; a group with null ids only keeps its rows and has a null
     keep_id.  An empty table gives an empty result.
     """
@@ -126,6 +126,15 @@ def exact_groups(docs: DataFrame, primes: Sequence[int] = PRIMES) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, all their columns, whose doc_id stays in its group of equal texts."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    """The rows of `docs`, all their columns, that stay in their group of equal texts: those with its largest doc_id.
+
+    A null text counts as empty, a null doc_id is less than any other.  Rows that repeat a doc_id
+    are judged each by its own text; repeated rows stay or go together.  An empty table gives an
+    empty result.
+    """
+    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_text")).distinct()
+    # Inside a struct, columns of `docs` cannot clash with those of the join.
+    text = F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"), text.alias("row_text"))
+    same = F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_text") == F.col("kept_text"))
+    return rows.join(kept, same, "left_semi").select("row.*")

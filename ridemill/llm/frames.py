@@ -38,6 +38,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one operator that are removed once others have replaced them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[found] = path
+        return found
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove tables that nothing reads any more."""
+        for table in tables:
+            delete_path(self.spark, self.paths.pop(table))
+
+
 class Buckets:
     """Tables stored in buckets of a key in the shared folder, under names of their own until closed.
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import Memo, bodies, in_batches, rows_of, written
+from .frames import Memo, Scratch, bodies, in_batches, rows_of, written
 from .simhash import MIX_PART, MOST_BITS, close_pairs, shingle_hashes, simhash
 
 WORDS_EACH = 5
@@ -128,18 +128,18 @@ def first_shingles(docs: DataFrame) -> DataFrame:
     return bodies(docs).mapInArrow(firsts, "bucket long, doc_id long, size int, left int")
 
 
-def open_pairs(firsts: DataFrame, links: DataFrame) -> DataFrame:
-    """a, b: all pairs that `links` do not connect and that may be similar by their first shingles."""
+def open_pairs(firsts: DataFrame, links: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """a, b: all pairs that `links` do not connect and that may be similar by their first shingles; and the table they are read from."""
     roots = components(links)
     rows = firsts.join(roots, firsts.doc_id == roots.node, "left").select("bucket", "doc_id", "size", "left", F.coalesce("root", "doc_id").alias("group"))
-    rows = written(rows, "near-firsts")
-    several = rows.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
-    rows = written(rows.join(several.select("bucket"), "bucket"), "near-firsts")
+    every = scratch.written(rows, "near-firsts")
+    rows = scratch.written(every.join(in_several(every, "group"), "bucket"), "near-firsts")
+    scratch.drop(every)
     others = rows.select("bucket", *(F.col(c).alias(f"other_{c}") for c in ("doc_id", "size", "left", "group")))
     # At the first shingle that two documents share, no more than what is left of both can be equal.
     enough = F.least("left", "other_left") >= SIMILARITY / (1 + SIMILARITY) * (F.col("size") + F.col("other_size")) - 1e-6
     pairs = rows.join(others, (rows.bucket == others.bucket) & (F.col("doc_id") < F.col("other_doc_id")) & (F.col("group") != F.col("other_group")) & enough)
-    return pairs.select(F.col("doc_id").alias("a"), F.col("other_doc_id").alias("b")).distinct()
+    return pairs.select(F.col("doc_id").alias("a"), F.col("other_doc_id").alias("b")).distinct(), rows
 
 
 def near_links(docs: DataFrame) -> DataFrame:
@@ -151,16 +151,19 @@ def near_links(docs: DataFrame) -> DataFrame:
     new.  So large groups are connected without all their pairs.  What is left then is
     settled pair by pair, all members of each group with those of the others.
     """
-    rows = written(sketched(docs), "sketches")
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.written(sketched(docs), "sketches")
     codes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     whole = components(close_pairs(codes, MOST_BITS))
     whole = rows.join(whole, rows.fingerprint == whole.node, "left").select("doc_id", F.xxhash64(F.lit(0), F.coalesce("root", "fingerprint")).alias("bucket"))
-    firsts = written(first_shingles(docs), "near-firsts")
-    firsts = written(firsts.join(firsts.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("bucket"), "bucket"), "near-firsts")
+    every = scratch.written(first_shingles(docs), "near-firsts")
+    firsts = scratch.written(every.join(in_several(every, "doc_id"), "bucket"), "near-firsts")
+    scratch.drop(every)
     buckets = rows.select("doc_id", F.explode("parts").alias("bucket")).unionByName(whole).unionByName(firsts.select("doc_id", "bucket"))
-    now = unfinished(buckets.withColumn("group", F.col("doc_id")))
+    now = unfinished(buckets.withColumn("group", F.col("doc_id")), scratch)
+    scratch.drop(rows)
     # Only texts that have a candidate are compared; they are gathered once.
-    texts = written(bodies(docs).join(now.select("doc_id").distinct(), "doc_id", "left_semi"), "near-texts")
+    texts = scratch.written(bodies(docs).join(now.select("doc_id").distinct(), "doc_id", "left_semi"), "near-texts")
     links = tried = docs.sparkSession.createDataFrame([], "a long, b long")
     turn = 0
     while True:
@@ -169,7 +172,7 @@ def near_links(docs: DataFrame) -> DataFrame:
         pairs = now.join(chosen, "bucket").where("group != one.group")
         ends = (F.least(F.struct("doc_id", "group"), "one").alias("low"), F.greatest(F.struct("doc_id", "group"), "one").alias("high"))
         pairs = pairs.select(*ends).select(F.col("low.doc_id").alias("a"), F.col("high.doc_id").alias("b"), F.col("low.group").alias("ga"), F.col("high.group").alias("gb"))
-        pairs = written(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        pairs = scratch.written(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
         new = written(confirmed(texts, pairs.select("a", "b")), "near-links")
         tried = tried.unionByName(pairs.select("a", "b"))
         if new.isEmpty():
@@ -177,18 +180,32 @@ def near_links(docs: DataFrame) -> DataFrame:
         links = links.unionByName(new)
         joined = pairs.join(new, ["a", "b"], "left_semi").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
         roots = components(joined)
-        now = now.join(roots, now["group"] == roots.node, "left")
-        now = unfinished(now.select("bucket", "doc_id", F.coalesce("root", "group").alias("group")))
+        moved = now.join(roots, now["group"] == roots.node, "left")
+        before, now = now, unfinished(moved.select("bucket", "doc_id", F.coalesce("root", "group").alias("group")), scratch)
+        scratch.drop(before)
         turn += 1
-    pairs = written(open_pairs(firsts, links).join(tried, ["a", "b"], "left_anti"), "near-pairs")
-    return links.unionByName(written(confirmed(texts, pairs), "near-links"))
+    scratch.drop(now)
+    pairs, read = open_pairs(firsts, links, scratch)
+    scratch.drop(firsts)
+    rest = scratch.written(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+    scratch.drop(read)
+    links = links.unionByName(written(confirmed(texts, rest), "near-links"))
+    # What is left of the scratch are the texts and the pairs; the links are tables of their own.
+    scratch.drop(*scratch.paths)
+    return links
 
 
-def unfinished(buckets: DataFrame) -> DataFrame:
+def in_several(rows: DataFrame, by: str) -> DataFrame:
+    """The buckets that have more than one value of `by`."""
+    return rows.groupBy("bucket").agg(F.min(by).alias("low"), F.max(by).alias("high")).where("low < high").select("bucket")
+
+
+def unfinished(buckets: DataFrame, scratch: Scratch) -> DataFrame:
     """bucket, group, doc_id: one document of each group in each bucket that has more groups than one."""
-    rows = written(buckets.groupBy("bucket", "group").agg(F.min("doc_id").alias("doc_id")), "near-buckets")
-    several = rows.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
-    return written(rows.join(several.select("bucket"), "bucket"), "near-buckets")
+    every = scratch.written(buckets.groupBy("bucket", "group").agg(F.min("doc_id").alias("doc_id")), "near-buckets")
+    rows = scratch.written(every.join(in_several(every, "group"), "bucket"), "near-buckets")
+    scratch.drop(every)
+    return rows
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -198,4 +215,6 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     Rows that repeat a doc_id stay or go together.  An empty table gives an empty result.
     """
     gone = components(near_links(docs)).where("node != root").select(F.col("node").alias("gone_id"))
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    # Inside a struct, columns of `docs` cannot clash with those of the join.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"))
+    return rows.join(gone, F.col("row_id") == F.col("gone_id"), "left_anti").select("row.*")

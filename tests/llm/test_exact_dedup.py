@@ -53,3 +53,9 @@ def test_dedup_keeps_all_columns_of_the_rows_that_stay(spark):
 def test_empty_table(spark):
     assert op.exact_groups(cases.table(spark, [])).collect() == []
     assert op.exact_dedup(cases.table(spark, [])).collect() == []
+
+
+def test_repeated_ids_go_by_their_own_text_and_names_may_clash(spark):
+    rows = [(5, "a", 1, "x"), (5, "b", 2, "x"), (7, "b", 3, "x"), (7, "b", 3, "x"), (None, None, 4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id int, kept_text string")
+    assert sorted(op.exact_dedup(docs).collect(), key=repr) == sorted(docs.where("kept_id != 2").collect(), key=repr)

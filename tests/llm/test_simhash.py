@@ -135,3 +135,10 @@ def test_near_dedup_of_short_documents(spark):
     wanted = near_brute(texts)
     assert len(wanted) == 180
     assert sorted(r.doc_id for r in left) == wanted
+
+
+def test_near_dedup_with_clashing_names_and_repeated_ids(spark):
+    base = cases.prose(7, 200)
+    rows = [(1, base, 1, "x"), (2, base + " more", 2, "x"), (2, base + " more", 2, "x"), (3, None, 3, None), (None, base, 4, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_id int, row string")
+    assert sorted(r.gone_id for r in near_dedup.near_dedup(docs).collect()) == [1, 3, 4]
