@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -24,25 +26,30 @@ def observe_batch(clean: DataFrame, name: str = "batch") -> tuple[DataFrame, Obs
     return observed, observation
 
 
-def fingerprint(columns: list[str], where: Column | None = None) -> list[Column]:
-    """Number of rows, sum and xor of their hashes: the same for the same rows in any order and any number of files."""
-    row = F.xxhash64(*sorted(columns))
-    row = row if where is None else F.when(where, row)
-    return [F.count(row), F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0)).cast("string"), F.coalesce(F.bit_xor(row), F.lit(0))]
+PRINT = ("rows", "total", "xor")
 
 
-PRINT = ("rows", "total", "xor")
+def fingerprint(columns: list[str], prefix: str = "", where: str = "true") -> list[Column]:
+    """`rows`, `total` and `xor`: number of rows, sum and xor of their hashes, the same for the same rows in any order and number of files."""
+    row = f"CASE WHEN {where} THEN xxhash64({', '.join(f'`{c}`' for c in sorted(columns))}) END"
+    return [
+        F.expr(f"count({row}) AS `{prefix}rows`"),
+        F.expr(f"cast(coalesce(sum(cast({row} AS decimal(38,0))), 0) AS string) AS `{prefix}total`"),
+        F.expr(f"coalesce(bit_xor({row}), 0) AS `{prefix}xor`"),
+    ]
 
 
-def observe_fingerprints(rows: DataFrame, parts: dict[str, Column | None], name: str = "fingerprints") -> tuple[DataFrame, Observation]:
-    """The rows to write, and `<part>_rows`, `_total` and `_xor` for each of a bounded number of parts."""
+def observe_fingerprints(rows: DataFrame, parts: dict[str, str], name: str = "fingerprints") -> tuple[DataFrame, Observation]:
+    """The rows to write, and an observation of the fingerprint of each of a bounded number of parts, given by conditions."""
     observation = Observation(name)
-    columns = [c.alias(f"{part}_{kind}") for part, where in parts.items() for kind, c in zip(PRINT, fingerprint(rows.columns, where), strict=True)]
+    columns = [c for part, where in parts.items() for c in fingerprint(rows.columns, f"{part}_", where)]
     return rows.observe(observation, *columns), observation
 
 
-def noted_fingerprint(observation: Observation, part: str) -> list:
-    return [observation.get[f"{part}_{kind}"] for kind in PRINT]
+def noted_fingerprints(observation: Observation, parts: Iterable[str]) -> dict[str, list]:
+    """What was observed of each part, once the rows have been written."""
+    found = observation.get
+    return {part: [found[f"{part}_{kind}"] for kind in PRINT] for part in parts}
 
 
 def observe_reasons(bad: DataFrame, name: str = "reasons") -> tuple[DataFrame, Observation]:

@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 from ridemill import schema as S
 from ridemill.operators.dedupe import latest_per_trip
 from ridemill.operators.merge import MERGE_KEY, merge_trips
-from ridemill.operators.metrics import PRINT, fingerprint, noted_fingerprint, observe_batch, observe_fingerprints
+from ridemill.operators.metrics import fingerprint, noted_fingerprints, observe_batch, observe_fingerprints
 from ridemill.session import delete_path, names_in, path_exists, read_note, write_note
 
 MAIN = "main"
@@ -111,9 +111,9 @@ class ParquetTripStore:
         delete_path(self.spark, self._path(ACTIVE, branch, staged=True))
         shaped = _shaped(dated.select(*[F.col(f.name).cast(f.dataType) for f in layout]), HISTORY)
         observed, metrics = observe_batch(shaped)
-        observed, prints = observe_fingerprints(observed, {HISTORY: None})
+        observed, prints = observe_fingerprints(observed, {HISTORY: "true"})
         self._write(observed, HISTORY, self._path(HISTORY, branch, staged=True), "static")
-        self._note_staged(branch, self._note(branch) | {HISTORY: noted_fingerprint(prints, HISTORY)})
+        self._note_staged(branch, self._note(branch) | noted_fingerprints(prints, [HISTORY]))
         return metrics.get
 
     def batch_rows(self, branch: str) -> DataFrame:
@@ -372,12 +372,12 @@ class ParquetTripStore:
         merged = merge_trips(target, source.select(*target.columns), staged["null_end"], staged["small"])
         shaped = _sorted(merged, ACTIVE) if staged["small"] else _shaped(merged, ACTIVE)
         # About a month of days at most, by the time check.
-        by_day = {day.isoformat(): F.col(S.DAY_COLUMN) == F.lit(day) for day in days}
+        by_day = {day.isoformat(): f"{S.DAY_COLUMN} = DATE '{day.isoformat()}'" for day in days}
         observed, prints = observe_fingerprints(shaped, by_day)
         self._write(observed, ACTIVE, self._path(ACTIVE, branch, staged=True), mode)
         # Only now: what was cut off before is not known as staged, or is merged again.
-        made = {day.isoformat(): {"base": base[day], "own": uuid.uuid4().hex} for day in days}
-        made = {day: found | {"print": noted_fingerprint(prints, day)} for day, found in made.items()}
+        found = noted_fingerprints(prints, by_day)
+        made = {day.isoformat(): {"base": base[day], "own": uuid.uuid4().hex, "print": found[day.isoformat()]} for day in days}
         self._note_staged(branch, staged | {"days": staged["days"] | made})
 
     def _staged(self, branch: str) -> dict:
@@ -447,7 +447,7 @@ def _made_from(staged: dict, day: dt.date, version: str) -> bool:
 
 
 def _found(groups, table: str, columns: list[str]) -> DataFrame:
-    found = groups.agg(*[c.alias(f"found_{kind}") for kind, c in zip(PRINT, fingerprint(columns), strict=True)])
+    found = groups.agg(*fingerprint(columns, "found_"))
     return found.select(F.lit(table).alias("table"), "*")
 
 

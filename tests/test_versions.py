@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import os
+import shutil
 import time
 
 import pytest
@@ -38,11 +39,31 @@ RUNS = {
 
 @pytest.fixture()
 def place(spark, tmp_path):
+    return place_at(spark, tmp_path)
+
+
+@pytest.fixture(scope="module")
+def three_staged(spark, routes, vehicles, tmp_path_factory):
+    """A folder with the three runs staged side by side, to be copied."""
+    made = place_at(spark, tmp_path_factory.mktemp("staged"))
+    for run_id in RUNS:
+        stage(spark, made, routes, vehicles, run_id)
+    return made.root
+
+
+@pytest.fixture(scope="module")
+def four_closed(spark, routes, vehicles, tmp_path_factory):
+    """A folder with four closed runs and an open one in its history, to be copied."""
+    made = place_at(spark, tmp_path_factory.mktemp("closed"))
+    closed_runs(spark, made, routes, vehicles)
+    return made.root
+
+
+def place_at(spark, root):
     class Place:
-        root = str(tmp_path)
-        store = ParquetTripStore(spark, f"{tmp_path}/tables")
-        sink = ParquetGoldSink(spark, f"{tmp_path}/gold")
+        pass
 
+    Place.root, Place.store, Place.sink = str(root), ParquetTripStore(spark, f"{root}/tables"), ParquetGoldSink(spark, f"{root}/gold")
     return Place
 
 
@@ -59,9 +80,8 @@ ALL_FOUR = [("T1", "completed", "08:40"), ("T2", "completed", "08:45"), ("T3", "
 
 
 @pytest.mark.parametrize("order", list(itertools.permutations(RUNS)), ids="".join)
-def test_three_staged_runs_are_all_there_in_any_order(spark, place, routes, vehicles, order):
-    for run_id in RUNS:
-        stage(spark, place, routes, vehicles, run_id)
+def test_three_staged_runs_are_all_there_in_any_order(place, three_staged, order):
+    shutil.copytree(three_staged, place.root, dirs_exist_ok=True)
     for run_id in order:
         place.store.publish(run_id)
     assert current(place.store) == ALL_FOUR
@@ -78,9 +98,8 @@ def test_a_second_publish_of_a_generation_does_not_take_back_later_runs(spark, p
     assert [r["distance_km"] for r in place.store.read(ACTIVE).where("trip_id = 'T2'").collect()] == [9.0]
 
 
-def test_a_rebase_that_was_cut_off_is_done_again(spark, place, routes, vehicles, monkeypatch):
-    for run_id in RUNS:
-        stage(spark, place, routes, vehicles, run_id)
+def test_a_rebase_that_was_cut_off_is_done_again(place, three_staged, monkeypatch):
+    shutil.copytree(three_staged, place.root, dirs_exist_ok=True)
     place.store.publish("run_a")
     monkeypatch.setattr(place.store, "_note_staged", lambda *_: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
@@ -263,8 +282,8 @@ def closed_runs(spark, place, routes, vehicles, count=4):
             delete_path(spark, f"{place.root}/tables/{kind}/run_{i}")
 
 
-def test_folded_history_has_the_same_rows(spark, place, routes, vehicles):
-    closed_runs(spark, place, routes, vehicles)
+def test_folded_history_has_the_same_rows(spark, place, four_closed):
+    shutil.copytree(four_closed, place.root, dirs_exist_ok=True)
     before = history(place.store)
     assert [d.isoformat() for d in place.store.fold_history()] == ["2025-01-18", "2025-01-19", "2025-01-20"]
     assert history(place.store) == before
@@ -281,8 +300,8 @@ def test_folded_history_has_the_same_rows(spark, place, routes, vehicles):
 
 
 @pytest.mark.parametrize("step", ["written", "noted", "committed", "half removed"])
-def test_a_fold_that_was_cut_off_changes_nothing(spark, place, routes, vehicles, monkeypatch, step):
-    closed_runs(spark, place, routes, vehicles)
+def test_a_fold_that_was_cut_off_changes_nothing(place, four_closed, monkeypatch, step):
+    shutil.copytree(four_closed, place.root, dirs_exist_ok=True)
     before, calls = history(place.store), []
 
     def write(spark, path, text):
@@ -308,8 +327,8 @@ def test_a_fold_that_was_cut_off_changes_nothing(spark, place, routes, vehicles,
     assert partitions(place, "2025-01-18") == ["run_open"]
 
 
-def test_a_folded_run_that_is_given_again_replaces_its_rows(spark, place, routes, vehicles):
-    closed_runs(spark, place, routes, vehicles)
+def test_a_folded_run_that_is_given_again_replaces_its_rows(spark, place, four_closed, routes, vehicles):
+    shutil.copytree(four_closed, place.root, dirs_exist_ok=True)
     place.store.fold_history()
     count = place.store.read(HISTORY).count()
     stage(spark, place, routes, vehicles, "run_2", [raw_row("T2", start="2025-01-18 08:00:00", km=9.0)])
