@@ -19,8 +19,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import Memo, bodies, in_batches, rows_of, written
@@ -41,6 +42,19 @@ SHARED_WORDS = 200_000
 GRADIENT_TASKS = 8
 #: Distinct words that a task gathers before it hands their counts on.
 GATHERED = 500_000
+#: Bigrams that a task gathers before it hands their counts on.
+GATHERED_BIGRAMS = 1 << 21
+#: A bigram has a weight if it was seen so often, and is taken to be seen DISCOUNT times less.
+SEEN = 2
+DISCOUNT = 0.75
+BIGRAM_UPDATES = 6
+#: Places of the table of weights and normalisers that every task knows: 36 megabytes.
+PLACES = 1 << 22
+#: Hash of what comes before a text's first token, and factors that mix a word before with a class.
+START = np.uint64(1)
+MIX_BEFORE, MIX_CLASS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: Stands for the word where a row counts a class after a pair of buckets.
+CELL = 0
 PAIRS = np.arange(BUCKETS * BUCKETS)
 FIRST, SECOND = PAIRS // BUCKETS, PAIRS % BUCKETS
 #: For each pair of buckets the rows of its four features.
@@ -98,6 +112,11 @@ def hashed_class(word: bytes) -> int:
     return OWN_CLASSES + zlib.crc32(word[:2]) % (CLASSES - OWN_CLASSES)
 
 
+def class_number() -> Column:
+    """`hashed_class` of the column `word`."""
+    return (F.crc32(F.substring("word", 1, 2)) % (CLASSES - OWN_CLASSES) + OWN_CLASSES).cast("int")
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """The shared words are those above a count that at most SHARED_WORDS reach."""
     log = F.floor(F.log2("c") * 8).cast("int")
@@ -111,10 +130,9 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     found = counts.where(log >= (1 << 30 if lowest is None else lowest)).select("word", "c").toArrow()
     shared = sorted(zip(found["word"].to_pylist(), found["c"].to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
     own = {w for w, _ in shared[:OWN_CLASSES]}
-    number = (F.crc32(F.substring("word", 1, 2)) % (CLASSES - OWN_CLASSES) + OWN_CLASSES).cast("int")
     rest = counts.where(~F.col("word").isin([bytearray(w) for w in own])) if own else counts
     totals = np.zeros((CLASSES, 2))
-    for row in rest.groupBy(number.alias("class")).agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("words")).collect():
+    for row in rest.groupBy(class_number().alias("class")).agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("words")).collect():
         totals[row["class"]] = row["tokens"], row["words"]
     class_logs = np.log10(totals[:, 0] + 0.5 * (totals[:, 1] + 1))
     logs = np.log10(np.array([0.0, *(c for _, c in shared)]) + 0.5)
@@ -128,26 +146,114 @@ def contexts(codes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     return buckets[1:-1] * BUCKETS + buckets[:-2], codes >> 8 & 255
 
 
-def class_counts(docs: DataFrame, known) -> DataFrame:
-    """pair, class, n: how often each class follows each pair of buckets in all of `docs`."""
-    schema = pa.schema([("pair", pa.int32()), ("class", pa.int32()), ("n", pa.int64())])
+def word_hash(word: bytes) -> int:
+    """As Spark's xxhash64 of a binary column, unsigned."""
+    return xxhash.xxh64_intdigest(word, 42)
+
+
+def bigram_contexts(hashes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """A key for each token's word before it and its class."""
+    return np.concatenate(([START], hashes[:-1])) * MIX_BEFORE + kinds.astype(np.uint64) * MIX_CLASS
+
+
+def context_counts(docs: DataFrame, known) -> DataFrame:
+    """context, word, n, total: what follows what in all of `docs`, in one pass over the texts.
+
+    Rows whose `word` is CELL say how often a class follows a pair of buckets, both in
+    `context` as pair * CLASSES + class.  The others say how often a word (its hash)
+    follows another one in its class; they are the bigrams seen SEEN times or more, and
+    `total` counts all tokens of their context.  Words that are classes of their own
+    have no such rows.
+    """
+    schema = pa.schema([("context", pa.int64()), ("word", pa.int64()), ("n", pa.int64())])
+
+    def counted(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        context, word = (np.concatenate(part) for part in zip(*held, strict=True))
+        _, first, n = np.unique(context ^ word, return_index=True, return_counts=True)
+        for at in range(0, len(first), 65_536):
+            own = first[at : at + 65_536]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (context[own].view(np.int64), word[own].view(np.int64), n[at : at + 65_536])], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = Memo(known.value.packed)
+        packed, hashed = Memo(known.value.packed), Memo(word_hash)
         found = np.zeros(len(PAIRS) * CLASSES, np.int64)
+        held, tokens = [], 0
         for batch in batches:
             cells = [np.empty(0, np.int64)]
             for _, body in rows_of(iter([batch])):
                 words = token_words(body)
-                pair, kind = contexts(np.fromiter(map(packed.__getitem__, words), np.int64, len(words)), packed[END] & 255)
+                codes = np.fromiter(map(packed.__getitem__, words), np.int64, len(words))
+                hashes = np.fromiter(map(hashed.__getitem__, words), np.uint64, len(words))
+                pair, kind = contexts(codes, packed[END] & 255)
                 cells.append(pair * CLASSES + kind)
+                shares = kind >= OWN_CLASSES
+                held.append((bigram_contexts(hashes, kind)[shares], hashes[shares]))
+                tokens += len(words)
+                if tokens >= GATHERED_BIGRAMS:
+                    yield from counted(held)
+                    held, tokens = [], 0
             found += np.bincount(np.concatenate(cells), minlength=len(found))
+        if held:
+            yield from counted(held)
         own = np.flatnonzero(found)
-        columns = (own // CLASSES, own % CLASSES, found[own])
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (own, np.full(len(own), CELL), found[own])], schema=schema)
+
+    # Tasks have added up what they saw, so rows are dealt by context once, for the sums and the totals.
+    rows = bodies(docs).mapInArrow(run, "context long, word long, n long").repartition("context")
+    rows = rows.groupBy("context", "word").agg(F.sum("n").alias("n"))
+    rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("context")))
+    return written(rows.where((F.col("word") == CELL) | (F.col("n") >= SEEN)), "context-counts")
+
+
+def in_class_values(counts: DataFrame, words: DataFrame, vocab: Vocabulary, updates: int = BIGRAM_UPDATES) -> DataFrame:
+    """key, value and n: log10 weights of bigrams (context xor word), and of contexts less the log10 of their normaliser.
+
+    A weight starts where the word would have its discounted share of the context if
+    nothing else changed, and follows the difference of what was shown and is expected.
+    """
+    size = F.array(*(F.lit(float(10**log)) for log in vocab.class_logs))
+    shares = words.where(F.col("c") >= SEEN).select(F.xxhash64("word").alias("word"), ((F.col("c") + 0.5) / F.element_at(size, class_number() + 1)).alias("share"))
+    rows = counts.where(F.col("word") != CELL).join(shares, "word")
+    shown = F.col("n") - F.lit(DISCOUNT)
+    rows = rows.withColumn("weight", F.log(shown / (F.col("total") * F.col("share"))))
+    # All words of the class, those without a weight included: their shares add up to one.
+    whole = F.lit(1.0) + F.sum(F.col("share") * (F.exp("weight") - 1)).over(Window.partitionBy("context"))
+    for _ in range(updates):
+        rows = rows.withColumn("whole", whole)
+        expected = F.col("total") * F.col("share") * F.exp("weight") / F.col("whole")
+        rows = rows.withColumn("weight", F.col("weight") + (shown - expected) / F.greatest(shown, expected))
+    rows = rows.withColumn("whole", whole).select("context", "word", "n", "total", (F.col("weight") / np.log(10)).alias("weight"), (-F.log10("whole")).alias("rest"))
+    rows = written(rows, "bigram-weights")
+    own = rows.select(F.col("context").bitwiseXOR(F.col("word")).alias("key"), F.col("weight").cast("float").alias("value"), "n")
+    wholes = rows.groupBy(F.col("context").alias("key")).agg(F.first("rest").cast("float").alias("value"), F.first("total").alias("n"))
+    return written(own.unionByName(wholes), "in-class-values")
+
+
+@dataclass
+class Places:
+    """For each place the upper half and the value of the most frequent key there, and whether there are others."""
+
+    tags: np.ndarray
+    values: np.ndarray
+    contested: np.ndarray
+
+    def of(self, keys: np.ndarray) -> tuple[float, np.ndarray]:
+        """The sum of what is known of `keys`, and those of which only the table may know."""
+        place = (keys & np.uint64(len(self.tags) - 1)).astype(np.int64)
+        known = self.tags[place] == (keys >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        return float(self.values[place[known]].sum(dtype=np.float64)), keys[~known & self.contested[place]]
+
 
-    rows = bodies(docs).mapInArrow(run, "pair int, class int, n long")
-    return rows.groupBy("pair", "class").agg(F.sum("n").alias("n"))
+def shared_places(values: DataFrame) -> Places:
+    tag = F.shiftright("key", 32).cast("int").alias("tag")
+    best = F.max_by(F.struct(tag, "value"), F.struct("n", "key")).alias("best")
+    rows = values.groupBy(F.col("key").bitwiseAND(F.lit(PLACES - 1)).cast("int").alias("place")).agg(best, (F.count(F.lit(1)) > 1).alias("contested"))
+    found = rows.select("place", "best.tag", "best.value", "contested").toArrow()
+    held = Places(np.zeros(PLACES, np.int32), np.zeros(PLACES, np.float32), np.zeros(PLACES, bool))
+    place = found["place"].to_numpy()
+    held.tags[place], held.values[place] = found["tag"].to_numpy(), found["value"].to_numpy()
+    held.contested[place] = found["contested"].to_numpy()
+    return held
 
 
 def class_logits(weights: np.ndarray, pairs: np.ndarray) -> np.ndarray:
@@ -216,15 +322,19 @@ def lm_scores(docs: DataFrame, training: Column, updates: int = UPDATES) -> Data
     counts = written(word_counts(learned_from), "word-counts")
     vocab = vocabulary(counts)
     known = docs.sparkSession.sparkContext.broadcast(vocab)
-    weights = trained(class_counts(learned_from, known), updates)
+    seen = context_counts(learned_from, known)
+    cells = seen.where(F.col("word") == CELL).select((F.col("context") / CLASSES).cast("int").alias("pair"), (F.col("context") % CLASSES).cast("int").alias("class"), "n")
+    weights = trained(cells, updates)
     # For each pair of buckets the log10 probability of each class: a table of fixed size.
     table = docs.sparkSession.sparkContext.broadcast((log_softmax(class_logits(weights, PAIRS)) / np.log(10)).astype(np.float32))
-    fields = [("row", pa.int64()), ("doc_id", pa.int64()), ("word", pa.binary()), ("times", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64())]
+    values = in_class_values(seen, counts, vocab)
+    places = docs.sparkSession.sparkContext.broadcast(shared_places(values))
+    fields = [("row", pa.int64()), ("doc_id", pa.int64()), ("word", pa.binary()), ("key", pa.int64()), ("times", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64())]
     schema = pa.schema(fields)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        vocab, logs = known.value, table.value
-        packed = Memo(vocab.packed)
+        vocab, logs, inside = known.value, table.value, places.value
+        packed, hashed = Memo(vocab.packed), Memo(word_hash)
         row = TaskContext.get().partitionId() << 40
         for doc_id, body in rows_of(batches):
             row += 1
@@ -236,17 +346,26 @@ def lm_scores(docs: DataFrame, training: Column, updates: int = UPDATES) -> Data
             own_class = shared & (place <= OWN_CLASSES)
             found = vocab.log_counts[place] * shared
             model = float(logs[pair, kind].sum(dtype=np.float64) + found[~own_class].sum() - vocab.class_logs[kind[~own_class]].sum())
-            yield row, doc_id, None, None, len(words), int(shared.sum()), float(found.sum()), model
+            hashes = np.fromiter(map(hashed.__getitem__, words), np.uint64, len(words))
+            context = bigram_contexts(hashes, kind)[~own_class]
+            value, keys = inside.of(np.concatenate((context, context ^ hashes[~own_class])))
+            yield row, doc_id, None, None, None, len(words), int(shared.sum()), float(found.sum()), model + value
             for word, times in Counter([words[i] for i in np.flatnonzero(~shared).tolist()]).items():
-                yield row, doc_id, word, times, None, None, None, None
+                yield row, doc_id, word, None, times, None, None, None, None
+            for key, times in zip(*(c.tolist() for c in np.unique(keys.view(np.int64), return_counts=True)), strict=True):
+                yield row, doc_id, None, key, times, None, None, None, None
 
-    columns = "row long, doc_id long, word binary, times long, n_tokens long, n_known long, base double, model double"
+    columns = "row long, doc_id long, word binary, key long, times long, n_tokens long, n_known long, base double, model double"
     parts = written(bodies(docs).mapInArrow(lambda batches: in_batches(scored(batches), schema, 16_384), columns), "lm-parts")
     # Only words that are not shared meet their counts by a join; a text's sum of logs is the same for both scores.
     rare = parts.where("word IS NOT NULL").select("row", "word", "times").join(counts, "word", "left")
     share = F.col("times") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(0.5))
-    rare = rare.groupBy("row").agg(F.sum(share).alias("rare"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    rows = parts.where("word IS NULL").select("row", "doc_id", "n_tokens", "n_known", "base", "model").join(rare, "row", "left")
+    rare = rare.select("row", share.alias("rare"), F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("rare_known"), F.lit(0.0).alias("inside"))
+    # So do weights and normalisers that did not win their place.
+    others = parts.where("key IS NOT NULL").select("row", "key", "times").join(values, "key")
+    others = others.select("row", F.lit(0.0).alias("rare"), F.lit(0).cast("long").alias("rare_known"), (F.col("times") * F.col("value").cast("double")).alias("inside"))
+    rare = rare.unionByName(others).groupBy("row").agg(*(F.sum(c).alias(c) for c in ("rare", "rare_known", "inside")))
+    rows = parts.where("word IS NULL AND key IS NULL").select("row", "doc_id", "n_tokens", "n_known", "base", "model").join(rare, "row", "left")
     more = F.coalesce("rare", F.lit(0.0))
     whole = float(np.log10(vocab.train_tokens + 0.5 * (vocab.distinct + 1)))
     return rows.select(
@@ -255,5 +374,5 @@ def lm_scores(docs: DataFrame, training: Column, updates: int = UPDATES) -> Data
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(vocab.train_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + more - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("model") + more).alias("score"),
+        (F.col("model") + more + F.coalesce("inside", F.lit(0.0))).alias("score"),
     )
