@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import Memo, bodies, in_batches, rows_of, written
+from .frames import Memo, Scratch, bodies, in_batches, rows_of, written
 
 #: The token that ends each text; no word is empty.
 END = b""
@@ -39,7 +39,7 @@ PRIOR = 4.0
 #: Words whose counts every task knows: at most so many, the most frequent.
 SHARED_WORDS = 200_000
 #: Tasks that gradients are computed in, at most so many at any size: the counts they read have a fixed size.
-GRADIENT_TASKS = 8
+GRADIENT_TASKS = 4
 #: Distinct words that a task gathers before it hands their counts on.
 GATHERED = 500_000
 #: Bigrams that a task gathers before it hands their counts on.
@@ -48,8 +48,10 @@ GATHERED_BIGRAMS = 1 << 21
 SEEN = 2
 DISCOUNT = 0.75
 BIGRAM_UPDATES = 6
-#: Places of the table of weights and normalisers that every task knows: 36 megabytes.
-PLACES = 1 << 22
+#: Places of the table of weights and normalisers that every task knows, and 64-bit words of the
+#: filter that tells which others there are: 16 and 8 megabytes, whatever the input.
+PLACES = 1 << 21
+FILTER_WORDS = 1 << 20
 #: Hash of what comes before a text's first token, and factors that mix a word before with a class.
 START = np.uint64(1)
 MIX_BEFORE, MIX_CLASS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -202,7 +204,7 @@ def context_counts(docs: DataFrame, known) -> DataFrame:
     rows = bodies(docs).mapInArrow(run, "context long, word long, n long").repartition("context")
     rows = rows.groupBy("context", "word").agg(F.sum("n").alias("n"))
     rows = rows.withColumn("total", F.sum("n").over(Window.partitionBy("context")))
-    return written(rows.where((F.col("word") == CELL) | (F.col("n") >= SEEN)), "context-counts")
+    return rows.where((F.col("word") == CELL) | (F.col("n") >= SEEN))
 
 
 def in_class_values(counts: DataFrame, words: DataFrame, vocab: Vocabulary, updates: int = BIGRAM_UPDATES) -> DataFrame:
@@ -217,42 +219,53 @@ def in_class_values(counts: DataFrame, words: DataFrame, vocab: Vocabulary, upda
     shown = F.col("n") - F.lit(DISCOUNT)
     rows = rows.withColumn("weight", F.log(shown / (F.col("total") * F.col("share"))))
     # All words of the class, those without a weight included: their shares add up to one.
-    whole = F.lit(1.0) + F.sum(F.col("share") * (F.exp("weight") - 1)).over(Window.partitionBy("context"))
+    context = Window.partitionBy("context")
+    whole = F.lit(1.0) + F.sum(F.col("share") * (F.exp("weight") - 1)).over(context)
     for _ in range(updates):
         rows = rows.withColumn("whole", whole)
         expected = F.col("total") * F.col("share") * F.exp("weight") / F.col("whole")
         rows = rows.withColumn("weight", F.col("weight") + (shown - expected) / F.greatest(shown, expected))
-    rows = rows.withColumn("whole", whole).select("context", "word", "n", "total", (F.col("weight") / np.log(10)).alias("weight"), (-F.log10("whole")).alias("rest"))
-    rows = written(rows, "bigram-weights")
-    own = rows.select(F.col("context").bitwiseXOR(F.col("word")).alias("key"), F.col("weight").cast("float").alias("value"), "n")
-    wholes = rows.groupBy(F.col("context").alias("key")).agg(F.first("rest").cast("float").alias("value"), F.first("total").alias("n"))
-    return written(own.unionByName(wholes), "in-class-values")
+    rows = rows.withColumn("whole", whole).withColumn("least", F.min("word").over(context))
+
+    def entry(key: Column, log10: Column, n: Column) -> Column:
+        return F.struct(key.alias("key"), log10.cast("float").alias("value"), n.alias("n"))
+
+    own = entry(F.col("context").bitwiseXOR(F.col("word")), F.col("weight") / np.log(10), F.col("n"))
+    # One of a context's rows brings its normaliser along.
+    normaliser = entry(F.col("context"), -F.log10("whole"), F.col("total"))
+    both = F.when(F.col("word") == F.col("least"), F.array(own, normaliser)).otherwise(F.array(own))
+    return written(rows.select(F.inline(both)), "in-class-values")
 
 
 @dataclass
 class Places:
-    """For each place the upper half and the value of the most frequent key there, and whether there are others."""
+    """For each place the upper half and the value of the most frequent key there; and a filter of all keys."""
 
     tags: np.ndarray
     values: np.ndarray
-    contested: np.ndarray
+    filter: np.ndarray
 
     def of(self, keys: np.ndarray) -> tuple[float, np.ndarray]:
         """The sum of what is known of `keys`, and those of which only the table may know."""
         place = (keys & np.uint64(len(self.tags) - 1)).astype(np.int64)
         known = self.tags[place] == (keys >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        return float(self.values[place[known]].sum(dtype=np.float64)), keys[~known & self.contested[place]]
+        others = keys[~known]
+        bits = self.filter[(others >> np.uint64(12) & np.uint64(FILTER_WORDS - 1)).astype(np.int64)] >> (others >> np.uint64(6) & np.uint64(63))
+        return float(self.values[place[known]].sum(dtype=np.float64)), others[(bits & np.uint64(1)).astype(bool)]
 
 
 def shared_places(values: DataFrame) -> Places:
+    held = Places(np.zeros(PLACES, np.int32), np.zeros(PLACES, np.float32), np.zeros(FILTER_WORDS, np.uint64))
     tag = F.shiftright("key", 32).cast("int").alias("tag")
     best = F.max_by(F.struct(tag, "value"), F.struct("n", "key")).alias("best")
-    rows = values.groupBy(F.col("key").bitwiseAND(F.lit(PLACES - 1)).cast("int").alias("place")).agg(best, (F.count(F.lit(1)) > 1).alias("contested"))
-    found = rows.select("place", "best.tag", "best.value", "contested").toArrow()
-    held = Places(np.zeros(PLACES, np.int32), np.zeros(PLACES, np.float32), np.zeros(PLACES, bool))
-    place = found["place"].to_numpy()
-    held.tags[place], held.values[place] = found["tag"].to_numpy(), found["value"].to_numpy()
-    held.contested[place] = found["contested"].to_numpy()
+    rows = values.groupBy(F.col("key").bitwiseAND(F.lit(PLACES - 1)).cast("int").alias("place")).agg(best)
+    for batch in rows.select("place", "best.tag", "best.value").toArrow().to_batches():
+        place, tags, logs = (c.to_numpy() for c in batch.columns)
+        held.tags[place], held.values[place] = tags, logs
+    word = F.shiftright("key", 12).bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int").alias("word")
+    bit = F.expr("shiftleft(1L, int(shiftright(key, 6) & 63L))")
+    for batch in values.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow().to_batches():
+        held.filter[batch.column(0).to_numpy()] = batch.column(1).to_numpy().view(np.uint64)
     return held
 
 
@@ -322,12 +335,14 @@ def lm_scores(docs: DataFrame, training: Column, updates: int = UPDATES) -> Data
     counts = written(word_counts(learned_from), "word-counts")
     vocab = vocabulary(counts)
     known = docs.sparkSession.sparkContext.broadcast(vocab)
-    seen = context_counts(learned_from, known)
+    scratch = Scratch(docs.sparkSession)
+    seen = scratch.written(context_counts(learned_from, known), "context-counts")
     cells = seen.where(F.col("word") == CELL).select((F.col("context") / CLASSES).cast("int").alias("pair"), (F.col("context") % CLASSES).cast("int").alias("class"), "n")
     weights = trained(cells, updates)
     # For each pair of buckets the log10 probability of each class: a table of fixed size.
     table = docs.sparkSession.sparkContext.broadcast((log_softmax(class_logits(weights, PAIRS)) / np.log(10)).astype(np.float32))
     values = in_class_values(seen, counts, vocab)
+    scratch.drop(seen)
     places = docs.sparkSession.sparkContext.broadcast(shared_places(values))
     fields = [("row", pa.int64()), ("doc_id", pa.int64()), ("word", pa.binary()), ("key", pa.int64()), ("times", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64())]
     schema = pa.schema(fields)
