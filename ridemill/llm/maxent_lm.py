@@ -43,14 +43,16 @@ GRADIENT_TASKS = 4
 #: Distinct words that a task gathers before it hands their counts on.
 GATHERED = 500_000
 #: Bigrams that a task gathers before it hands their counts on.
-GATHERED_BIGRAMS = 1 << 21
+GATHERED_BIGRAMS = 1 << 19
+#: Words whose hash a task remembers.
+KNOWN_HASHES = 200_000
 #: A bigram has a weight if it was seen so often, and is taken to be seen DISCOUNT times less.
 SEEN = 2
 DISCOUNT = 0.75
 BIGRAM_UPDATES = 6
 #: Places of the table of weights and normalisers that every task knows, and 64-bit words of the
-#: filter that tells which others there are: 16 and 8 megabytes, whatever the input.
-PLACES = 1 << 21
+#: filter that tells which others there are: 8 megabytes each, whatever the input.
+PLACES = 1 << 20
 FILTER_WORDS = 1 << 20
 #: Hash of what comes before a text's first token, and factors that mix a word before with a class.
 START = np.uint64(1)
@@ -177,7 +179,7 @@ def context_counts(docs: DataFrame, known) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (context[own].view(np.int64), word[own].view(np.int64), n[at : at + 65_536])], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, hashed = Memo(known.value.packed), Memo(word_hash)
+        packed, hashed = Memo(known.value.packed), Memo(word_hash, KNOWN_HASHES)
         found = np.zeros(len(PAIRS) * CLASSES, np.int64)
         held, tokens = [], 0
         for batch in batches:
@@ -340,7 +342,10 @@ def lm_scores(docs: DataFrame, training: Column, updates: int = UPDATES) -> Data
     cells = seen.where(F.col("word") == CELL).select((F.col("context") / CLASSES).cast("int").alias("pair"), (F.col("context") % CLASSES).cast("int").alias("class"), "n")
     weights = trained(cells, updates)
     # For each pair of buckets the log10 probability of each class: a table of fixed size.
-    table = docs.sparkSession.sparkContext.broadcast((log_softmax(class_logits(weights, PAIRS)) / np.log(10)).astype(np.float32))
+    logs = np.empty((len(PAIRS), CLASSES), np.float32)
+    for at in range(0, len(PAIRS), 1024):
+        logs[at : at + 1024] = log_softmax(class_logits(weights, PAIRS[at : at + 1024])) / np.log(10)
+    table = docs.sparkSession.sparkContext.broadcast(logs)
     values = in_class_values(seen, counts, vocab)
     scratch.drop(seen)
     places = docs.sparkSession.sparkContext.broadcast(shared_places(values))
@@ -349,7 +354,7 @@ def lm_scores(docs: DataFrame, training: Column, updates: int = UPDATES) -> Data
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         vocab, logs, inside = known.value, table.value, places.value
-        packed, hashed = Memo(vocab.packed), Memo(word_hash)
+        packed, hashed = Memo(vocab.packed), Memo(word_hash, KNOWN_HASHES)
         row = TaskContext.get().partitionId() << 40
         for doc_id, body in rows_of(batches):
             row += 1
