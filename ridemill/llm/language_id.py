@@ -25,12 +25,14 @@ LONGEST = 16
 ROUNDS = 2
 #: Added to each piece's expected count.
 SMOOTHING = 0.1
-#: Bytes of a part that a longer word is cut into when expected counts are taken.
+#: Characters of a part that a longer word is cut into when expected counts are taken.
 COUNTED = 64
 UNDECIDED = "und"
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
-#: Words whose scores a task keeps.
-MOST_KNOWN = 800_000
+#: Numbers, a word's score in a language each, that a task keeps: fewer words with more languages.
+MOST_SCORES = 8_000_000
+#: Numbers that are worked on at once.
+MOST_AT_ONCE = 4_000_000
 
 
 class Pieces:
@@ -86,53 +88,97 @@ def has_letter(text: str) -> bool:
     return any(unicodedata.category(c)[0] == "L" for c in set(text))
 
 
-def by_length(words: list[bytes], most: int = 2048) -> Iterator[tuple[list[int], list[str]]]:
-    """Places and marked texts of words of one length, at most `most` at once and fewer if long."""
+def marked(word: bytes) -> str:
+    """A word as the vocabulary spells it, its start marked."""
+    return "▁" + word.decode("utf-8", "replace")
+
+
+def by_length(texts: list[str], languages: int = 1, most: int = 2048) -> Iterator[tuple[list[int], list[str]]]:
+    """Places and texts of one length, at most `most` at once and fewer if they are long or languages are many."""
     groups: dict[int, list[int]] = {}
-    texts = ["▁" + w.decode("utf-8", "replace") for w in words]
     for place, text in enumerate(texts):
         groups.setdefault(len(text), []).append(place)
     for length, places in groups.items():
-        step = max(1, min(most, 400_000 // length))
+        step = max(1, min(most, 400_000 // length, MOST_AT_ONCE // ((LONGEST + 1) * languages)))
         for at in range(0, len(places), step):
             yield places[at : at + step], [texts[i] for i in places[at : at + step]]
 
 
-def forward(edges: np.ndarray, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums over all segmentations of each prefix (words, length + 1, languages), and the logs taken out of them.
+def forward(edges: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """The log of the sum over all segmentations (words, languages).
 
     `chances`: a row for each piece, a column for each language; the last row is 0.
-    Every LONGEST characters the sums that are still needed are scaled.
+    Only the sums of the last LONGEST prefixes are held, in turn; they are scaled
+    whenever all have been replaced.
     """
     count, length, longest = edges.shape
-    sums = np.zeros((count, length + 1, chances.shape[1]))
+    held = LONGEST + 1
+    sums = np.zeros((held, count, chances.shape[1]))
     logs = np.zeros((count, chances.shape[1]))
-    sums[:, 0] = 1
+    sums[0] = 1
     for end in range(1, length + 1):
+        now = sums[end % held]
+        now[:] = 0
         for size in range(1, min(longest, end) + 1):
-            sums[:, end] += sums[:, end - size] * chances[edges[:, end - size, size - 1]]
+            now += sums[(end - size) % held] * chances[edges[:, end - size, size - 1]]
         if end % LONGEST == 0:
-            window = slice(end - LONGEST + 1, end + 1)
-            top = sums[:, window].max(axis=1)
-            sums[:, window] /= top[:, None]
+            top = sums.max(axis=0)
+            sums /= top
             logs += np.log(top)
-    return sums, logs
+    return np.log(sums[length % held]) + logs
 
 
 def word_scores(words: list[bytes], chances: np.ndarray, path: str | None) -> np.ndarray:
     """The log probability of each word in each language."""
     found = np.empty((len(words), chances.shape[1]))
-    for places, texts in by_length(words):
-        sums, logs = forward(pieces(path).edges(texts), chances)
-        found[places] = np.log(sums[:, -1]) + logs
+    for places, texts in by_length([marked(w) for w in words], chances.shape[1]):
+        found[places] = forward(pieces(path).edges(texts), chances)
     return found
 
 
+class Scores:
+    """Scores of words in all languages, computed when first asked for; emptied when there is no room for new ones."""
+
+    def __init__(self, chances: np.ndarray, path: str | None):
+        self.chances, self.path = chances, path
+        self.room = max(1, MOST_SCORES // chances.shape[1])
+        self.place: dict[bytes, int] = {}
+        self.scores = np.empty((min(self.room, 4096), chances.shape[1]))
+
+    def learn(self, words: list[bytes]) -> None:
+        """Know all of at most `room` words."""
+        new = [w for w in dict.fromkeys(words) if w not in self.place]
+        if len(self.place) + len(new) > self.room:
+            self.place.clear()
+            new = list(dict.fromkeys(words))
+        first, last = len(self.place), len(self.place) + len(new)
+        if last > len(self.scores):
+            wider = np.empty((min(self.room, max(last, 2 * len(self.scores))), self.scores.shape[1]))
+            wider[:first] = self.scores[:first]
+            self.scores = wider
+        self.scores[first:last] = word_scores(new, self.chances, self.path)
+        self.place.update(zip(new, range(first, last), strict=True))
+
+    def total(self, words: list[bytes]) -> np.ndarray:
+        """The sum of the scores of words; of more words than there is room for, part by part."""
+        found = np.zeros(self.scores.shape[1])
+        step = min(self.room, max(1, MOST_AT_ONCE // self.scores.shape[1]))
+        for at in range(0, len(words), step):
+            part = words[at : at + step]
+            if len(words) > step:
+                self.learn(part)
+            found += self.scores[np.fromiter(map(self.place.__getitem__, part), np.int64, len(part))].sum(axis=0)
+        return found
+
+
 def expected(words: list[bytes], counts: np.ndarray, chances: np.ndarray, path: str | None) -> np.ndarray:
-    """How often each piece is expected in `words` of one language, each with its count."""
+    """How often each piece is expected in `words` of one language, each with its count.
+
+    Longer words are cut into parts of whole characters; only the first has the mark of a start.
+    """
     known = pieces(path)
     found = np.zeros(known.size + 1)
-    parts = [(word[at : at + COUNTED], n) for word, n in zip(words, counts.tolist(), strict=True) for at in range(0, len(word), COUNTED)]
+    parts = [(text[at : at + COUNTED], n) for text, n in zip(map(marked, words), counts.tolist(), strict=True) for at in range(0, len(text), COUNTED)]
     counts = np.array([n for _, n in parts])
     for places, texts in by_length([part for part, _ in parts]):
         edges = known.edges(texts)
@@ -231,23 +277,30 @@ def language_id(docs: DataFrame, training: DataFrame, rounds: int = ROUNDS, path
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         chances, prior = known.value
-        place: dict[bytes, int] = {}
-        scores = np.empty((0, len(languages)))
+        scores = Scores(chances, path) if languages else None
         for batch in parts_of(batches):
-            rows = [(doc_id, body or b"") for doc_id, body in rows_of(iter([batch]))]
-            split = [body.split() for _, body in rows]
-            if len(place) > MOST_KNOWN:
-                place, scores = {}, scores[:0]
-            if languages:
-                new = list(dict.fromkeys(w for words in split for w in words if w not in place))
-                place.update(zip(new, range(len(scores), len(scores) + len(new)), strict=True))
-                scores = np.concatenate((scores, word_scores(new, chances, path)))
-            for (doc_id, body), words in zip(rows, split, strict=True):
+            texts = [(doc_id, body or b"") for doc_id, body in rows_of(iter([batch]))]
+            held, size = [], 0
+            for doc_id, body in texts:
+                words = body.split()
                 if not languages or not (ASCII_LETTER.search(body) or has_letter(body.decode("utf-8", "replace"))):
                     yield doc_id, UNDECIDED, 0.0
                     continue
-                logs = scores[np.fromiter(map(place.__getitem__, words), np.int64, len(words))].sum(axis=0) + prior
-                best = int(logs.argmax())
-                yield doc_id, languages[best], float(1 / np.exp(logs - logs[best]).sum())
+                # Texts that together fit are learned at once.
+                if held and size + len(words) > scores.room:
+                    yield from decided(held, scores, prior)
+                    held, size = [], 0
+                held.append((doc_id, words))
+                size += len(words)
+            if held:
+                yield from decided(held, scores, prior)
+
+    def decided(held: list[tuple], scores: Scores, prior: np.ndarray) -> Iterator[tuple]:
+        if sum(len(words) for _, words in held) <= scores.room:
+            scores.learn([w for _, words in held for w in words])
+        for doc_id, words in held:
+            logs = scores.total(words) + prior
+            best = int(logs.argmax())
+            yield doc_id, languages[best], float(1 / np.exp(logs - logs[best]).sum())
 
     return bodies(docs).mapInArrow(lambda batches: in_batches(judged(batches), schema), "doc_id long, lang_pred string, score double")

@@ -70,3 +70,38 @@ def test_empty_tables(spark):
     none = training(spark).where("false")
     assert op.language_id(cases.table(spark, []), training(spark)).collect() == []
     assert {r.lang_pred for r in op.language_id(cases.table(spark, [(1, "text"), (2, None)]), none).collect()} == {op.UNDECIDED}
+
+
+def test_long_words_are_cut_between_characters_and_start_once():
+    known, word = op.pieces(None), "漢字é" * 1000
+    chances = np.full((known.size + 1, 1), 1 / known.size)
+    chances[-1] = 0
+    found = op.expected([word.encode()], np.array([2]), chances, None)
+    lengths, starts = np.ones(known.size), np.zeros(known.size)
+    for piece, number in known.numbers.items():
+        lengths[number], starts[number] = len(piece), piece.startswith("▁")
+    assert np.isclose(found @ lengths, 2 * (1 + len(word)))
+    assert np.isclose(found @ starts, 2)
+    assert found[known.numbers["▁"]] > 0 and not any(found[n] for p, n in known.numbers.items() if "�" in p)
+
+
+def test_scores_are_the_same_with_little_room(monkeypatch):
+    known, rnd = op.pieces(None), np.random.default_rng(4)
+    chances = rnd.random((known.size + 1, 3))
+    chances[-1] = 0
+    chances /= chances.sum(axis=0)
+    words = [w.encode() for w in cases.prose(5, 300).split()] + [("é漢" * 700).encode()]
+    wanted = op.word_scores(words, chances, None).sum(axis=0)
+    monkeypatch.setattr(op, "MOST_SCORES", 30)
+    monkeypatch.setattr(op, "MOST_AT_ONCE", 60)
+    scores = op.Scores(chances, None)
+    assert np.allclose(scores.total(words), wanted) and len(scores.scores) <= 10
+
+
+def test_three_hundred_languages(spark):
+    def text(i):
+        return " ".join([f"{chr(97 + i % 26)}{chr(97 + i // 26)}{k}" for k in "xyz"] * 5)
+
+    training = spark.createDataFrame([(i, text(i), f"l{i:03}") for i in range(300)], "doc_id long, text string, lang string")
+    found = op.language_id(training.where("doc_id % 50 = 0"), training, rounds=1).collect()
+    assert {(r.doc_id, r.lang_pred) for r in found} == {(i, f"l{i:03}") for i in range(0, 300, 50)}
