@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -51,12 +51,11 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
 
-    def meet(self, words: Iterable[bytes]) -> None:
-        new = set(words) - self.keys()
-        if len(self) + len(new) > MOST_KNOWN:
+    def meet(self, words: set[bytes]) -> None:
+        texts = [word for word in words if word not in self]
+        if len(self) + len(texts) > MOST_KNOWN:
             self.clear()
-            new = set(words)
-        texts = list(new)
+            texts = list(words)
         found = self.tokenizer.encode_batch_fast([word.decode() for word in texts], add_special_tokens=False)
         self.update((word, array("I", own.ids).tobytes()) for word, own in zip(texts, found, strict=True))
 
@@ -68,10 +67,10 @@ def word_ids(path: str | None) -> WordIds:
     return WordIds(path)
 
 
-def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
+def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, with_ids: bool = True) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, ids: each document's ids, its end id last, in pieces of `capacity` and a rest.
 
-    ids are little-endian unsigned 32-bit numbers.  `path`: the vocabulary's file.
+    ids are little-endian unsigned 32-bit numbers, null where they are not asked for.  `path`: the vocabulary's file.
     """
     fields = [(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")]
     schema = pa.schema([*fields, ("ids", pa.binary())])
@@ -87,7 +86,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = N
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     own = ids[4 * start : 4 * (start + capacity)]
-                    yield doc_id, start, len(own) // 4, zlib.crc32(own), total, own
+                    yield doc_id, start, len(own) // 4, zlib.crc32(own), total, own if with_ids else None
 
     columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
     return bodies(docs).mapInArrow(lambda batches: in_batches(pieces(batches), schema, 1024), columns)
@@ -169,7 +168,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, unit: int = UNIT, path: st
     and empty texts are the end id alone.  Rows that repeat a doc_id are documents of
     their own, each packed once.  An empty table gives an empty result.
     """
-    pieces = token_pieces(docs, capacity, path)
+    pieces = token_pieces(docs, capacity, path, with_ids)
     pieces = pieces.withColumn("size", F.ceil(F.col("length") / unit).cast("int"))
     pieces = written(pieces if with_ids else pieces.drop("ids"), "pieces")
     histogram = {r["size"]: r["count"] for r in pieces.groupBy("size").count().collect()}
