@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ridemill import schema as S
 from ridemill.functions import as_day, day_literal, shift_day
 from ridemill.operators.dedupe import dedupe_batch, latest_per_trip
-from ridemill.operators.lookup import BROADCAST_LIMIT_BYTES, enrich_trips, fits_broadcast, row_floor_bytes, sized
+from ridemill.operators.lookup import BROADCAST_LIMIT_BYTES, enrich_trips, fits_broadcast, row_floor_bytes, sized, unique_lookup
 from ridemill.operators.metrics import observe_reasons
 from ridemill.operators.outliers import fold_duration_stats, run_scope, trip_outliers
 from ridemill.operators.rankings import fold_weekly
@@ -57,11 +57,13 @@ def run_silver(
     The raw rows are judged twice, once for each output: keeping them in between
     takes as long as parsing them again, needs room for the whole batch, and can
     be lost with an executor.  Everything after the history write reads the
-    staged history.  With run id `main` the result is published at once.
+    staged history.  With run id `main` the result is published at once.  A raw row is
+    one row of the outputs, however often the dimensions hold its keys.
     """
     spark = raw.sparkSession
     require_utc(spark)
-    classified = classify_trips(raw, routes, vehicles, run_id, as_of)
+    known = (unique_lookup(dimension.select(key), key) for dimension, key in ((routes, "route_id"), (vehicles, "vehicle_id")))
+    classified = classify_trips(raw, *known, run_id, as_of)
     bad_counts = _quarantine(classified, quarantine_root, run_id)
     clean, _ = split_clean_bad(classified)
     store.init_tables(clean)

@@ -121,6 +121,13 @@ def test_batch_without_bad_rows_writes_no_quarantine(spark, place, routes, vehic
     assert glob.glob(f"{place.bad}/*") == []
 
 
+def test_keys_that_a_dimension_holds_twice_do_not_multiply_raw_rows(spark, place, routes, vehicles):
+    nobody = spark.createDataFrame([(None, "Bus", 1)], vehicles.schema)
+    result = silver(spark, place, routes.unionByName(routes), vehicles.unionByName(vehicles).unionByName(nobody), "run_a", FIRST)
+    assert (result.clean_count, result.bad_counts) == (2, {S.REASON_ROUTE: 1})
+    assert spark.read.json(f"{place.bad}/run_a").count() == 1
+
+
 def test_a_batch_with_other_columns_is_refused(spark, place, routes, vehicles):
     silver(spark, place, routes, vehicles, "run_a", FIRST)
     raw = spark.createDataFrame(SECOND, RAW).drop("note")
