@@ -27,11 +27,20 @@ def observe_batch(clean: DataFrame, name: str = "batch") -> tuple[DataFrame, Obs
 
 
 PRINT = ("rows", "total", "xor")
+#: The column that holds a row's hash while it is observed.
+HASHED = "_row_hash"
 
 
-def fingerprint(columns: list[str], prefix: str = "", where: str = "true") -> list[Column]:
-    """`rows`, `total` and `xor`: number of rows, sum and xor of their hashes, the same for the same rows in any order and number of files."""
-    row = f"CASE WHEN {where} THEN xxhash64({', '.join(f'`{c}`' for c in sorted(columns))}) END"
+def row_hash(columns: list[str]) -> Column:
+    return F.xxhash64(*(F.col(f"`{c}`") for c in sorted(columns)))
+
+
+def fingerprint(hashed: str, prefix: str = "", where: str = "true") -> list[Column]:
+    """`rows`, `total` and `xor`: number of rows, sum and xor of their hashes, the same for the same rows in any order and number of files.
+
+    `hashed` is the column with the `row_hash`.
+    """
+    row = f"CASE WHEN {where} THEN `{hashed}` END"
     return [
         F.expr(f"count({row}) AS `{prefix}rows`"),
         F.expr(f"cast(coalesce(sum(cast({row} AS decimal(38,0))), 0) AS string) AS `{prefix}total`"),
@@ -40,10 +49,13 @@ def fingerprint(columns: list[str], prefix: str = "", where: str = "true") -> li
 
 
 def observe_fingerprints(rows: DataFrame, parts: dict[str, str], name: str = "fingerprints") -> tuple[DataFrame, Observation]:
-    """The rows to write, and an observation of the fingerprint of each of a bounded number of parts, given by conditions."""
+    """The rows to write, and an observation of the fingerprint of each of a bounded number of parts, given by conditions.
+
+    A row is hashed once, not for each part and kind.
+    """
     observation = Observation(name)
-    columns = [c for part, where in parts.items() for c in fingerprint(rows.columns, f"{part}_", where)]
-    return rows.observe(observation, *columns), observation
+    columns = [c for part, where in parts.items() for c in fingerprint(HASHED, f"{part}_", where)]
+    return rows.withColumn(HASHED, row_hash(rows.columns)).observe(observation, *columns).drop(HASHED), observation
 
 
 def noted_fingerprints(observation: Observation, parts: Iterable[str]) -> dict[str, list]:

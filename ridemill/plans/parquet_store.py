@@ -41,14 +41,14 @@ import uuid
 from collections.abc import Iterable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridemill import schema as S
 from ridemill.operators.dedupe import latest_per_trip
 from ridemill.operators.merge import MERGE_KEY, merge_trips
-from ridemill.operators.metrics import fingerprint, noted_fingerprints, observe_batch, observe_fingerprints
+from ridemill.operators.metrics import HASHED, fingerprint, noted_fingerprints, observe_batch, observe_fingerprints, row_hash
 from ridemill.session import delete_path, names_in, path_exists, read_note, write_note
 
 MAIN = "main"
@@ -163,9 +163,7 @@ class ParquetTripStore:
         noted = [(ACTIVE, day, *v["print"]) for day, v in staged["days"].items()] + [(HISTORY, None, *staged[HISTORY])]
         noted = self.spark.createDataFrame(noted, "table string, day string, noted_rows long, noted_total string, noted_xor long")
         active = self._rows(ACTIVE, self._path(ACTIVE, branch, staged=True))
-        found = [_found(active.groupBy(F.col(S.DAY_COLUMN).cast("string").alias("day")), ACTIVE, active.columns)]
-        history = self.batch_rows(branch)
-        found.append(_found(history.groupBy(F.lit(None).cast("string").alias("day")), HISTORY, history.columns))
+        found = [_found(active, F.col(S.DAY_COLUMN), ACTIVE), _found(self.batch_rows(branch), F.lit(None), HISTORY)]
         twice = active.groupBy(S.DAY_COLUMN, *MERGE_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         twice = twice.select(F.lit(ACTIVE).alias("table"), F.col(S.DAY_COLUMN).cast("string").alias("day")).distinct()
         twice = twice.withColumn("doubled", F.lit(True))
@@ -446,8 +444,9 @@ def _made_from(staged: dict, day: dt.date, version: str) -> bool:
     return version in (found["base"], found["own"])
 
 
-def _found(groups, table: str, columns: list[str]) -> DataFrame:
-    found = groups.agg(*fingerprint(columns, "found_"))
+def _found(rows: DataFrame, day: Column, table: str) -> DataFrame:
+    hashed = rows.select(day.cast("string").alias("day"), row_hash(rows.columns).alias(HASHED))
+    found = hashed.groupBy("day").agg(*fingerprint(HASHED, "found_"))
     return found.select(F.lit(table).alias("table"), "*")
 
 

@@ -15,6 +15,7 @@ from ridemill.operators import (
     trip_outliers,
     weekly_top_routes,
 )
+from ridemill.operators.metrics import observe_fingerprints
 from ridemill.operators.outliers import run_scope
 from tests.helpers import AS_OF, ENRICHED, RAW, SILVER, plan_of, ride
 
@@ -78,3 +79,10 @@ def test_large_merge_shuffles_each_side_once(spark, tmp_path):
     side = spark.read.parquet(str(tmp_path / "t"))
     plan = plan_of(merge_trips(side, side.withColumn("distance_km", F.lit(1.0))))
     assert shuffles(plan) == 2 and scans(plan) == 2
+
+
+def test_observed_rows_are_hashed_once(trips):
+    parts = {day: f"to_date(start_time) = DATE '{day}'" for day in ("2025-01-12", "2025-01-13", "2025-01-14")}
+    observed, _ = observe_fingerprints(trips, parts)
+    assert observed.columns == trips.columns
+    assert plan_of(observed).count("xxhash64(") == 1
