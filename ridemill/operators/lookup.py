@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from ridemill.session import checkpointed
 
 BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
+#: Rows of the vehicles that a row of `folded_vehicles` stands for.
+COPIES = "_vehicle_copies"
 _ROW_OVERHEAD_BYTES = 32
 
 
@@ -81,6 +83,18 @@ def with_dimension(trips: DataFrame, dimension: DataFrame, key: str, *attributes
     return joined.select(*trips.columns, *attributes)
 
 
+def folded_vehicles(vehicles: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """One row per vehicle and type: COPIES, the sum and the number of their capacities; hinted if small.
+
+    A join with it has a row for each type of a trip's vehicle, however often the vehicle is listed;
+    `day_sums` and `trip_outliers` count such a row COPIES times.
+    """
+    sums = (F.count(F.lit(1)).alias(COPIES), F.sum("capacity").alias("capacity_sum"), F.count("capacity").alias("capacity_n"))
+    rows = vehicles.groupBy("vehicle_id", "vehicle_type").agg(*sums)
+    return F.broadcast(rows) if fits_broadcast(rows, limit) else checkpointed(rows)
+
+
 def enrich_trips(trips: DataFrame, vehicles: DataFrame) -> DataFrame:
-    """Trips of known vehicles, with vehicle type and capacity."""
-    return with_dimension(trips, vehicles, "vehicle_id", "vehicle_type", "capacity")
+    """Trips of known vehicles, with vehicle type and capacity, or what `folded_vehicles` has in its place."""
+    attributes = (COPIES, "capacity_sum", "capacity_n") if COPIES in vehicles.columns else ("capacity",)
+    return with_dimension(trips, vehicles, "vehicle_id", "vehicle_type", *attributes)

@@ -17,7 +17,7 @@ from ridemill.functions import (
     zscore,
 )
 from ridemill.functions.columns import MICROS_PER_MINUTE
-from ridemill.operators.lookup import enrich_trips, sized
+from ridemill.operators.lookup import COPIES, enrich_trips, sized
 from ridemill.session import checkpointed
 
 STATS_KEY = ["route_id", "vehicle_type"]
@@ -79,9 +79,13 @@ def score_trips(trips: DataFrame, scope: Column, duration: str = "exact", stats:
     are one row per route and vehicle type; they are written once, measured, and
     broadcast if small, so that the judged trips need no shuffle on a hot route.
     That runs two jobs while the plan is built and leaves a checkpoint; callers that
-    must not, or that judge fewer trips than the baseline has, give `stats`.
+    must not, or that judge fewer trips than the baseline has, give `stats`.  Trips joined with
+    `folded_vehicles` need `stats` and keep their COPIES.
     """
+    folded = [COPIES] if COPIES in trips.columns else []
     if stats is None:
+        if folded:
+            raise ValueError("trips joined with folded vehicles are judged by given stats only")
         stats = sized(checkpointed(route_duration_stats(trips, duration)))
     length = duration_minutes() if duration == "exact" else whole_minutes()
     judged = finished(trips).where(scope).select(
@@ -93,6 +97,7 @@ def score_trips(trips: DataFrame, scope: Column, duration: str = "exact", stats:
         "end_time",
         "distance_km",
         length.alias("duration_minutes"),
+        *folded,
     )
     spread = F.coalesce("stddev_duration_minutes", F.lit(0.0))
     return (
@@ -114,11 +119,16 @@ def trip_outliers(
     otherwise: str | None = S.OUTLIER_NONE,
     stats: DataFrame | None = None,
 ) -> DataFrame:
-    """Scored trips above `z` or `max_km`; the duration reason goes first."""
+    """Scored trips above `z` or `max_km`; the duration reason goes first.
+
+    Of trips joined with `folded_vehicles` an outlier has a row for each of its COPIES.
+    """
     too_long, too_far = F.col("z_score") > z, F.col("distance_km") > max_km
     reason = F.when(too_long, S.OUTLIER_DURATION).when(too_far, S.OUTLIER_DISTANCE).otherwise(F.lit(otherwise))
-    scored = score_trips(trips, scope, duration, stats)
-    return scored.where(too_long | too_far).withColumn("outlier_reason", reason).select(*S.GOLD_OUTLIERS.column_names)
+    found = score_trips(trips, scope, duration, stats).where(too_long | too_far).withColumn("outlier_reason", reason)
+    if COPIES in found.columns:
+        found = found.withColumn(COPIES, F.explode(F.sequence(F.lit(1).cast("long"), COPIES)))
+    return found.select(*S.GOLD_OUTLIERS.column_names)
 
 
 def trip_outliers_on(trips: DataFrame, vehicles: DataFrame, day, lookback_days: int = 7, **limits) -> DataFrame:

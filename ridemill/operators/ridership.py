@@ -17,6 +17,7 @@ from ridemill.functions import (
     whole_minutes,
 )
 from ridemill.functions.columns import MICROS_PER_MINUTE
+from ridemill.operators.lookup import COPIES
 
 GROUP = ["trip_date", "route_id", "vehicle_type"]
 
@@ -83,31 +84,56 @@ def daily_ridership(trips: DataFrame, start, end, duration: str = "exact") -> Da
 
 
 def _partial(facts: DataFrame, duration: str, more: list[Column]) -> DataFrame:
-    """Sums by hour, and by vehicle where `per_vehicle` is 1, in one scan; `more` sums are for the hours."""
+    """Sums by hour, and by vehicle where `per_vehicle` is 1, in one scan; `more` sums are for the hours.
+
+    A row with COPIES counts that often.
+    """
     by_hour, by_vehicle = [*GROUP, "trip_hour"], [*GROUP, "vehicle_id"]
+    if COPIES in facts.columns:
+        capacity = F.sum("capacity_sum"), F.sum("capacity_n")
+        completed, in_progress = (_copies_where(F.col("status") == status) for status in (S.STATUS_COMPLETED, S.STATUS_IN_PROGRESS))
+    else:
+        capacity = F.sum("capacity"), F.count("capacity")
+        completed, in_progress = status_count(S.STATUS_COMPLETED), status_count(S.STATUS_IN_PROGRESS)
     return facts.groupingSets([by_hour, by_vehicle], *GROUP, "trip_hour", "vehicle_id").agg(
         F.grouping("trip_hour").alias("per_vehicle"),
-        F.count("trip_id").alias("trips"),
-        F.sum("capacity").alias("capacity_sum"),
-        F.count("capacity").alias("capacity_n"),
-        *_length_sums(duration),
-        F.count("length").alias("length_n"),
+        _number(facts, "trip_id").alias("trips"),
+        capacity[0].alias("capacity_sum"),
+        capacity[1].alias("capacity_n"),
+        *_length_sums(facts, duration),
+        _number(facts, "length").alias("length_n"),
         F.max("length").alias("length_max"),
-        status_count(S.STATUS_COMPLETED).alias("completed"),
-        status_count(S.STATUS_IN_PROGRESS).alias("in_progress"),
+        completed.alias("completed"),
+        in_progress.alias("in_progress"),
         *more,
     )
 
 
+def _copies_where(condition: Column) -> Column:
+    return F.sum(F.when(condition, F.col(COPIES)).otherwise(0))
+
+
+def _number(facts: DataFrame, name: str) -> Column:
+    """How many values a column has, each as often as its row counts."""
+    return _copies_where(F.col(name).isNotNull()) if COPIES in facts.columns else F.count(name)
+
+
+def _each(facts: DataFrame, value: Column, dtype: str = "bigint") -> Column:
+    """`value` times the number its row counts."""
+    return value * F.col(COPIES).cast(dtype) if COPIES in facts.columns else value
+
+
 def day_sums(trips: DataFrame) -> DataFrame:
     """What the business tables need of whole days, to be kept: sums by day, route, vehicle type and hour.
 
     Rows with `per_vehicle` 1 name the vehicles of a day, route and type.  All sums are of whole
     numbers and all rows of one day, so days can be added up in any way with the same result;
     `finished_*` are the moments of finished trips in microseconds: their number, sum and sum of squares.
-    Groups with a null key are kept; `fold_daily` leaves them out.
+    Groups with a null key are kept; `fold_daily` leaves them out.  Trips joined with `folded_vehicles`
+    give the sums of those joined with each row of the vehicles.
     """
     length = duration_us()
+    capacity = (COPIES, "capacity_sum", "capacity_n") if COPIES in trips.columns else ("capacity",)
     facts = trips.select(
         F.to_date("start_time").alias("trip_date"),
         "route_id",
@@ -116,12 +142,16 @@ def day_sums(trips: DataFrame) -> DataFrame:
         "vehicle_id",
         "trip_id",
         "status",
-        "capacity",
+        *capacity,
         length.alias("length"),
         F.when((F.col("status") == S.STATUS_COMPLETED) & F.col("end_time").isNotNull(), length).alias("finished"),
     )
     us = F.col("finished").cast("decimal(19,0)")
-    moments = [F.count("finished").alias("finished_n"), F.sum(us).cast("decimal(38,0)").alias("finished_sum"), F.sum(us * us).alias("finished_squares")]
+    moments = [
+        _number(facts, "finished").alias("finished_n"),
+        F.sum(_each(facts, us, "decimal(19,0)")).cast("decimal(38,0)").alias("finished_sum"),
+        F.sum(_each(facts, us * us, "decimal(19,0)")).alias("finished_squares"),
+    ]
     sums = _partial(facts, "exact", moments)
     keys = {*GROUP, "trip_hour", "vehicle_id", "per_vehicle"}
     # A vehicle's row only says that it was there.
@@ -155,11 +185,11 @@ def fold_daily(partial: DataFrame, duration: str = "exact") -> DataFrame:
     )
 
 
-def _length_sums(duration: str) -> list[Column]:
+def _length_sums(facts: DataFrame, duration: str) -> list[Column]:
     if duration == "minutes":
-        return [F.sum("length").alias("length_minutes")]
+        return [F.sum(_each(facts, F.col("length"))).alias("length_minutes")]
     seconds, micros = split_seconds(F.col("length"))
-    return [F.sum(seconds).alias("length_seconds"), F.sum(micros).alias("length_micros")]
+    return [F.sum(_each(facts, seconds)).alias("length_seconds"), F.sum(_each(facts, micros)).alias("length_micros")]
 
 
 def _busiest_hour(hour: Column, trips: Column) -> Column:

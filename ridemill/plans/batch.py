@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from ridemill import schema as S
 from ridemill.functions import as_day, day_literal, shift_day
 from ridemill.operators.dedupe import dedupe_batch, latest_per_trip
-from ridemill.operators.lookup import BROADCAST_LIMIT_BYTES, enrich_trips, fits_broadcast, row_floor_bytes, sized, unique_lookup
+from ridemill.operators.lookup import (
+    BROADCAST_LIMIT_BYTES,
+    enrich_trips,
+    fits_broadcast,
+    folded_vehicles,
+    row_floor_bytes,
+    sized,
+    unique_lookup,
+)
 from ridemill.operators.metrics import observe_reasons
 from ridemill.operators.outliers import fold_duration_stats, run_scope, trip_outliers
 from ridemill.operators.rankings import fold_weekly
@@ -117,7 +125,8 @@ def run_gold(
     Daily ridership, the weekly ranking and the outliers' baseline are folded from sums by day
     that are kept from run to run (`kept_day_sums`): of trips, only those of days that have
     changed are read, and those that are judged.  `persist` keeps the joined trips of the dates for
-    both.  The branch is published only after the sink has taken all three tables, and they
+    both.  Trips meet each vehicle once for each of its types and count as often as the table lists it.
+    The branch is published only after the sink has taken all three tables, and they
     are made anew if another run has published one of its days meanwhile.
     """
     require_utc(vehicles.sparkSession)
@@ -135,12 +144,13 @@ def run_gold(
 def _write_gold(vehicles: DataFrame, store, sink, run_id: str, start_date: str, end_date: str, persist: bool) -> None:
     last_calculation = shift_day(end_date, WINDOW_PAD_DAYS)
     dates, padded = _days(start_date, end_date), _days(shift_day(start_date, -WINDOW_PAD_DAYS), last_calculation)
-    of_the_dates = _enriched(store, run_id, vehicles, dates)
+    folded = folded_vehicles(vehicles)
+    of_the_dates = _enriched(store, run_id, folded, dates)
     if persist:
         of_the_dates = of_the_dates.persist(StorageLevel.MEMORY_AND_DISK)
 
     def trips_of(days: list[dt.date]) -> DataFrame:
-        return of_the_dates.where(F.to_date("start_time").isin(days)) if persist and set(days) <= set(dates) else _enriched(store, run_id, vehicles, days)
+        return of_the_dates.where(F.to_date("start_time").isin(days)) if persist and set(days) <= set(dates) else _enriched(store, run_id, folded, days)
 
     try:
         sums = kept_day_sums(store, run_id, padded, vehicles, trips_of)
@@ -166,9 +176,9 @@ def _days(first: dt.date | str, last: dt.date | str) -> list[dt.date]:
 
 
 def _enriched(store, branch: str, vehicles: DataFrame, days: list[dt.date]) -> DataFrame:
-    """Trips of the days, joined with their vehicles."""
+    """Trips of the days, joined with their folded vehicles."""
     window = load_window(store.read(ACTIVE, branch, days), min(days), max(days), 0)
-    return enrich_trips(window, vehicles).select(*S.ENRICHED_COLUMNS)
+    return enrich_trips(window.select(*[c for c in S.ENRICHED_COLUMNS if c not in ("vehicle_type", "capacity")]), vehicles)
 
 
 def run_batch(

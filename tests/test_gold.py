@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ridemill import schema as S
 from ridemill.operators import (
     daily_ridership,
+    day_sums,
     enrich_trips,
     hourly_counts,
     latest_daily,
@@ -23,6 +24,7 @@ from ridemill.operators import (
     weekly_top_routes,
     worst_outliers,
 )
+from ridemill.operators.lookup import COPIES, folded_vehicles
 from ridemill.operators.outliers import run_scope
 from tests.helpers import ENRICHED, plan_of, ride
 
@@ -302,3 +304,41 @@ def test_reports_are_ordered_and_short(spark):
     worst = worst_outliers(trip_outliers(trips, run_scope("main", "2025-01-11", DAY))).collect()
     scores = [r["z_score"] for r in worst]
     assert len(worst) == 10 and scores == sorted(scores, reverse=True)
+
+
+def test_vehicles_listed_many_times_meet_a_trip_once_for_each_type(spark):
+    listed = [("v1", "bus", 50)] * 40 + [("v1", "bus", None), ("v1", "tram", 90), ("v1", None, 7), ("v2", "bus", None), ("v2", "bus", 30), (None, "bus", 1), ("v9", "bus", 1)]
+    vehicles = spark.createDataFrame(listed, "vehicle_id string, vehicle_type string, capacity int")
+    rides = [ride(f"T{i % 25}", f"R{i % 3}" if i % 11 else None, f"{DAY} {i % 24:02d}:10:00", 5 + i % 9 if i % 7 else None, vehicle=f"v{i % 4}") for i in range(60)]
+    rides += [ride(None, "R1", f"{DAY} 08:00:00", 4), ride("T8", "R1", f"{DAY} 09:00:00", 3000, status="in_progress"), ride("far", "R1", f"{DAY} 09:00:00", 6, km=99.0)]
+    trips = frame(spark, rides).drop("vehicle_type", "capacity")
+    whole, folded = enrich_trips(trips, vehicles), enrich_trips(trips, folded_vehicles(vehicles))
+    assert folded.groupBy("vehicle_id").agg((F.count("*") / F.count_distinct(F.struct("trip_id", "route_id", "start_time", "end_time", "status"))).alias("n")).where("n > 3").isEmpty()
+    assert folded.count() < whole.count() / 10 and folded.agg(F.sum(COPIES)).first()[0] == whole.count()
+    expected, found = day_sums(whole), day_sums(folded)
+    assert [(f.name, f.dataType) for f in found.schema] == [(f.name, f.dataType) for f in expected.schema]
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+    stats = spark.createDataFrame([("R1", "bus", 6.0, 1.0)], "route_id string, vehicle_type string, avg_duration_minutes double, stddev_duration_minutes double")
+    judged = [trip_outliers(t, run_scope("main", DAY, DAY), stats=stats).collect() for t in (whole, folded)]
+    assert sorted(map(repr, judged[0])) == sorted(map(repr, judged[1])) and len(judged[0]) > 41
+    with pytest.raises(ValueError):
+        trip_outliers(folded, run_scope("main", DAY, DAY))
+
+
+def test_gold_of_a_run_reads_folded_vehicles(spark, tmp_path):
+    from ridemill.plans import ParquetTripStore, run_batch
+    from ridemill.plans import batch as plan
+    from ridemill.plans.parquet_store import ACTIVE
+    from ridemill.sinks import ParquetGoldSink
+    from tests.helpers import AS_OF, RAW, raw_row
+
+    vehicles = spark.createDataFrame([("V0001", "bus", 50)] * 30 + [("V0001", "tram", 20)], "vehicle_id string, vehicle_type string, capacity int")
+    routes = spark.createDataFrame([("R001",)], "route_id string")
+    raw = spark.createDataFrame([raw_row(f"T{i}") for i in range(4)], RAW)
+    store, sink = ParquetTripStore(spark, f"{tmp_path}/tables"), ParquetGoldSink(spark, f"{tmp_path}/gold")
+    run_batch(raw, routes, vehicles, store, sink, "run_a", AS_OF, f"{tmp_path}/bad", f"{tmp_path}/runs")
+    daily = {r["vehicle_type"]: (r["total_trips"], r["avg_capacity"], r["unique_vehicles"]) for r in sink.read(S.GOLD_DAILY).collect()}
+    assert daily == {"bus": (120, 50.0, 1), "tram": (4, 20.0, 1)}
+    day = dt.date(2025, 1, 20)
+    assert store.read(ACTIVE).count() == 4
+    assert plan._enriched(store, "main", folded_vehicles(vehicles), [day]).count() == 8
