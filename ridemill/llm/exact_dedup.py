@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import bodies, in_batches, rows_of, written
+from .frames import bodies, in_batches, parts_of, rows_of, written
 
 PRIMES = (2147483647, 2147483629)
 BASE = 1_000_003
@@ -58,20 +58,25 @@ def fingerprint(text: bytes, prime: int, falling: np.ndarray) -> int:
     return hashes[0]
 
 
-def fingerprints(docs: DataFrame, primes: Sequence[int] = PRIMES) -> DataFrame:
-    """doc_id, body, n_bytes, fp1, fp2, text_sha256 of every row; a null text counts as empty."""
-    schema = pa.schema([("doc_id", pa.int64()), ("body", pa.binary()), ("n_bytes", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("text_sha256", pa.string())])
+def fingerprints(docs: DataFrame, primes: Sequence[int] = PRIMES, with_body: bool = True) -> DataFrame:
+    """doc_id, body, n_bytes, fp1, fp2, text_sha256 of every row; a null text counts as empty.
+
+    Texts go back only `with_body`: where nothing compares them they would be copied for nothing.
+    """
+    own = [("body", pa.binary())] if with_body else []
+    schema = pa.schema([("doc_id", pa.int64()), *own, ("n_bytes", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("text_sha256", pa.string())])
     tables = [(p, powers(p)) for p in primes]
 
     def run(batches):
-        for batch in batches:  # a batch out for each in, so that no second copy of many texts is held
+        for batch in parts_of(batches):  # a batch out for each part, so that no second copy of many texts is held
             found = []
             for doc_id, body in rows_of(iter([batch])):
                 body = body or b""
-                found.append((doc_id, body, len(body), *(fingerprint(body, p, t) for p, t in tables), hashlib.sha256(body).hexdigest()))
+                found.append((doc_id, *([body] if with_body else ()), len(body), *(fingerprint(body, p, t) for p, t in tables), hashlib.sha256(body).hexdigest()))
             yield from in_batches(iter(found), schema)
 
-    return bodies(docs).mapInArrow(run, "doc_id long, body binary, n_bytes long, fp1 long, fp2 long, text_sha256 string")
+    columns = f"doc_id long, {'body binary, ' if with_body else ''}n_bytes long, fp1 long, fp2 long, text_sha256 string"
+    return bodies(docs).mapInArrow(run, columns)
 
 
 def grouped(rows: DataFrame) -> DataFrame:
@@ -114,7 +119,7 @@ def exact_groups(docs: DataFrame, primes: Sequence[int] = PRIMES) -> DataFrame:
     less than any other; a group with null ids only keeps its rows and has a null
     keep_id.  An empty table gives an empty result.
     """
-    rows = fingerprints(docs, primes).drop("body").withColumn("split", F.lit(0))
+    rows = fingerprints(docs, primes, with_body=False).withColumn("split", F.lit(0))
     rows = written(rows, "exact-rows")
     while True:
         apart = written(differing(docs, rows, primes), "exact-differing")

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .frames import WHITE_SPACE, bodies, in_batches, rows_of
+from .frames import WHITE_SPACE, bodies, in_batches, parts_of, rows_of
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -175,7 +175,7 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     at, counted = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             kept, texts = [], []
             for text in batch.column(at).to_pylist():
                 *counts, word_bytes, left = judged(text.encode() if text is not None else None)

@@ -59,3 +59,18 @@ def test_repeated_ids_go_by_their_own_text_and_names_may_clash(spark):
     rows = [(5, "a", 1, "x"), (5, "b", 2, "x"), (7, "b", 3, "x"), (7, "b", 3, "x"), (None, None, 4, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id int, kept_text string")
     assert sorted(op.exact_dedup(docs).collect(), key=repr) == sorted(docs.where("kept_id != 2").collect(), key=repr)
+
+
+def test_grouping_takes_no_texts_back_from_the_tasks(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i % 3}" if i else None) for i in range(2_000)], "doc_id long, text string").coalesce(1)
+    asked, made = [], op.fingerprints
+
+    def noting(rows, *more, **named):
+        found = made(rows, *more, **named)
+        asked.append(found.columns)
+        return found
+
+    monkeypatch.setattr(op, "fingerprints", noting)
+    groups = {r.group_size for r in op.exact_groups(docs).collect()}
+    assert groups == {1, 666, 667}
+    assert "body" not in asked[0] and "body" in asked[1]

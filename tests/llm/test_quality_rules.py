@@ -3,6 +3,8 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import pyarrow as pa
+
 from ridemill.llm import quality_rules as op
 
 from . import cases
@@ -75,3 +77,17 @@ def test_boilerplate_is_whole_words_and_most_of_the_line(spark):
     assert [fault(x) for x in furniture] == ["boilerplate"] * len(furniture)
     texts = [(1, clean[4]), (2, "\n".join(clean))]
     assert {r.doc_id: r.text for r in op.quality_filter(cases.table(spark, texts)).collect()} == dict(texts)
+
+
+def test_the_filter_holds_few_texts_at_once():
+    class Rows:
+        columns, schema = ["doc_id", "text"], None
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    given = pa.RecordBatch.from_pydict({"doc_id": list(range(1_500)), "text": [cases.prose(i, 60, 4000) for i in range(1_500)]})
+    run = op.quality_filter(Rows())
+    made, alone = list(run(iter([given]))), list(run(given.slice(i, 1) for i in range(given.num_rows)))
+    assert len(made) == 3 and all(batch.num_rows <= 512 for batch in made)
+    assert pa.Table.from_batches(made).to_pylist() == pa.Table.from_batches(alone).to_pylist()
