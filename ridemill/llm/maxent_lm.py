@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import Memo, Scratch, bodies, in_batches, rows_of, written
+from .frames import Memo, Scratch, bodies, in_batches, parts_of, rows_of, written
 
 #: The token that ends each text; no word is empty.
 END = b""
@@ -324,6 +324,12 @@ def trained(counts: DataFrame, updates: int = UPDATES) -> np.ndarray:
     return weights
 
 
+def part_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
+    """A batch of equally long `columns`; the others of `schema` are null."""
+    size = len(columns["row"])
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
+
+
 def lm_scores(docs: DataFrame, training: Column, updates: int = UPDATES) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`.
 
@@ -352,31 +358,39 @@ def lm_scores(docs: DataFrame, training: Column, updates: int = UPDATES) -> Data
     fields = [("row", pa.int64()), ("doc_id", pa.int64()), ("word", pa.binary()), ("key", pa.int64()), ("times", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64())]
     schema = pa.schema(fields)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, logs, inside = known.value, table.value, places.value
         packed, hashed = Memo(vocab.packed), Memo(word_hash, KNOWN_HASHES)
         row = TaskContext.get().partitionId() << 40
-        for doc_id, body in rows_of(batches):
-            row += 1
-            words = token_words(body)
-            codes = np.fromiter(map(packed.__getitem__, words), np.int64, len(words))
-            place = codes >> 16
-            pair, kind = contexts(codes, packed[END] & 255)
-            shared = place > 0
-            own_class = shared & (place <= OWN_CLASSES)
-            found = vocab.log_counts[place] * shared
-            model = float(logs[pair, kind].sum(dtype=np.float64) + found[~own_class].sum() - vocab.class_logs[kind[~own_class]].sum())
-            hashes = np.fromiter(map(hashed.__getitem__, words), np.uint64, len(words))
-            context = bigram_contexts(hashes, kind)[~own_class]
-            value, keys = inside.of(np.concatenate((context, context ^ hashes[~own_class])))
-            yield row, doc_id, None, None, None, len(words), int(shared.sum()), float(found.sum()), model + value
-            for word, times in Counter([words[i] for i in np.flatnonzero(~shared).tolist()]).items():
-                yield row, doc_id, word, None, times, None, None, None, None
-            for key, times in zip(*(c.tolist() for c in np.unique(keys.view(np.int64), return_counts=True)), strict=True):
-                yield row, doc_id, None, key, times, None, None, None, None
+        for batch in parts_of(batches):
+            texts, rare, open_keys = [], [], [np.empty((3, 0), np.int64)]
+            for doc_id, body in rows_of(iter([batch])):
+                row += 1
+                words = token_words(body)
+                codes = np.fromiter(map(packed.__getitem__, words), np.int64, len(words))
+                place = codes >> 16
+                pair, kind = contexts(codes, packed[END] & 255)
+                shared = place > 0
+                own_class = shared & (place <= OWN_CLASSES)
+                found = vocab.log_counts[place] * shared
+                model = float(logs[pair, kind].sum(dtype=np.float64) + found[~own_class].sum() - vocab.class_logs[kind[~own_class]].sum())
+                hashes = np.fromiter(map(hashed.__getitem__, words), np.uint64, len(words))
+                context = bigram_contexts(hashes, kind)[~own_class]
+                value, keys = inside.of(np.concatenate((context, context ^ hashes[~own_class])))
+                texts.append((row, doc_id, len(words), int(shared.sum()), float(found.sum()), model + value))
+                for word, times in Counter([words[i] for i in np.flatnonzero(~shared).tolist()]).items():
+                    rare.append((row, word, times))
+                own, times = np.unique(keys.view(np.int64), return_counts=True)
+                open_keys.append(np.stack((np.full(len(own), row), own, times)))
+            yield part_rows(schema, **dict(zip(("row", "doc_id", "n_tokens", "n_known", "base", "model"), zip(*texts, strict=True), strict=True)))
+            if rare:
+                yield part_rows(schema, **dict(zip(("row", "word", "times"), zip(*rare, strict=True), strict=True)))
+            rows, keys, times = np.concatenate(open_keys, axis=1)
+            for at in range(0, len(rows), 65_536):
+                yield part_rows(schema, row=rows[at : at + 65_536], key=keys[at : at + 65_536], times=times[at : at + 65_536])
 
     columns = "row long, doc_id long, word binary, key long, times long, n_tokens long, n_known long, base double, model double"
-    parts = written(bodies(docs).mapInArrow(lambda batches: in_batches(scored(batches), schema, 16_384), columns), "lm-parts")
+    parts = written(bodies(docs).mapInArrow(scored, columns), "lm-parts")
     # Only words that are not shared meet their counts by a join; a text's sum of logs is the same for both scores.
     rare = parts.where("word IS NOT NULL").select("row", "word", "times").join(counts, "word", "left")
     share = F.col("times") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(0.5))
