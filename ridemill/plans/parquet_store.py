@@ -49,7 +49,7 @@ from ridemill import schema as S
 from ridemill.operators.dedupe import latest_per_trip
 from ridemill.operators.merge import MERGE_KEY, merge_trips
 from ridemill.operators.metrics import HASHED, fingerprint, noted_fingerprints, observe_batch, observe_fingerprints, row_hash
-from ridemill.session import delete_path, names_in, path_exists, read_note, write_note
+from ridemill.session import delete_path, names_in, path_exists, read_note, small_splits, write_note
 
 MAIN = "main"
 ACTIVE = "active"
@@ -420,10 +420,11 @@ class ParquetTripStore:
 
     def _write(self, shaped: DataFrame, name: str, path: str, mode: str) -> None:
         writer = shaped.write.partitionBy(*PARTITIONS[name])
-        if mode == "append":
-            writer.mode("append").parquet(path)
-        else:
-            writer.mode("overwrite").option("partitionOverwriteMode", mode).parquet(path)
+        with small_splits(self.spark):
+            if mode == "append":
+                writer.mode("append").parquet(path)
+            else:
+                writer.mode("overwrite").option("partitionOverwriteMode", mode).parquet(path)
 
     def _path(self, name: str, branch: str, staged: bool = False) -> str:
         if branch == MAIN and not staged:

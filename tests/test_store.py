@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ridemill import schema as S
 from ridemill.plans import ParquetTripStore, run_batch, run_gold, run_silver
 from ridemill.plans.parquet_store import ACTIVE, HISTORY
-from ridemill.session import write_note
+from ridemill.session import SORTED_SPLIT_BYTES, SPLIT_SETTING, write_note
 from ridemill.sinks import ParquetGoldSink, first_attempt_time, read_quarantine, read_run_metadata
 from tests.helpers import AS_OF, RAW, raw_row
 
@@ -263,3 +263,27 @@ def test_only_the_days_of_the_run_are_judged(spark, place, routes, vehicles):
     result = silver(spark, place, routes, vehicles, "run_a", SECOND[1:])
     run_gold(vehicles, place.store, Looking(), "run_a", result.start_date, result.end_date)
     assert "2025-01-20" in plans[0] and "2025-01-14" not in plans[0]
+
+
+def test_a_write_sorts_small_splits_of_its_files(spark, place):
+    class Writer:
+        """Stands for rows and their writer; notes what a task reads while they are written."""
+
+        seen = []
+
+        def __getattr__(self, name):
+            return self if name == "write" else lambda *a, **b: self
+
+        def parquet(self, path):
+            self.seen.append(spark.conf.get(SPLIT_SETTING))
+
+    before = spark.conf.get(SPLIT_SETTING)
+    try:
+        for given, wanted in (("128MB", str(SORTED_SPLIT_BYTES)), ("1m", "1m")):
+            spark.conf.set(SPLIT_SETTING, given)
+            for mode in ("append", "static"):
+                place.store._write(Writer(), ACTIVE, "nowhere", mode)
+            assert Writer.seen == [wanted, wanted] and spark.conf.get(SPLIT_SETTING) == given
+            Writer.seen.clear()
+    finally:
+        spark.conf.set(SPLIT_SETTING, before)
