@@ -11,7 +11,9 @@ the rank says which pattern, sequence and place a piece gets.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator, Mapping
@@ -33,15 +35,31 @@ VOCABULARY = "word_bpe_49k.json"
 GAP = 1e-3
 #: The program stops there at the latest; any basis packs all pieces.
 MOST_PIVOTS = 5_000
-#: Words whose ids a task keeps.
-MOST_KNOWN = 1_500_000
+#: Words, and parts of words, whose ids a task keeps.
+MOST_KNOWN = 500_000
+#: What a vocabulary does to a text before its merges, if `plain` words may be cut here.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: Words of ASCII without apostrophe and `<`, and of Latin letters that nothing composes with.
+PLAIN = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
+PLAIN_PART = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+LATIN = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 
 
 class WordIds(dict):
     """Token ids of words, as little-endian unsigned 32-bit bytes; `meet` adds those of new words.
 
     The vocabulary drops white space and never joins over it, and no added token holds any, so
-    words can be tokenized each for itself.
+    words can be tokenized each for itself.  Where it also cuts words into runs of letters, single
+    digits and runs of signs, plain words are cut so here, and their parts, which many words
+    share, go through the merges alone.
     """
 
     def __init__(self, path: str | None):
@@ -50,14 +68,34 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
+        steps = [json.loads(step.__getstate__()) if step else None for step in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.cuts = steps == [NORMALIZER, PRE_TOKENIZER] and not any(PLAIN.fullmatch(token.content) for token in added)
+        self.parts: dict[str, bytes] = {}
+        self.spelled = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in LATIN}) if self.cuts else {}
 
     def meet(self, words: set[bytes]) -> None:
-        texts = [word for word in words if word not in self]
-        if len(self) + len(texts) > MOST_KNOWN:
+        new = [word for word in words if word not in self]
+        if len(self) + len(new) > MOST_KNOWN:
             self.clear()
-            texts = list(words)
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in texts], add_special_tokens=False)
-        self.update((word, array("I", own.ids).tobytes()) for word, own in zip(texts, found, strict=True))
+            new = list(words)
+        texts = [word.decode() for word in new]
+        others = []
+        for word, text in zip(new, texts, strict=True):
+            if self.cuts and PLAIN.fullmatch(text):
+                self[word] = b"".join(map(self.part, PLAIN_PART.findall(text.lower())))
+            else:
+                others.append((word, text))
+        found = self.tokenizer.encode_batch_fast([text for _, text in others], add_special_tokens=False)
+        self.update((word, array("I", own.ids).tobytes()) for (word, _), own in zip(others, found, strict=True))
+
+    def part(self, text: str) -> bytes:
+        found = self.parts.get(text)
+        if found is None:
+            if len(self.parts) >= MOST_KNOWN:
+                self.parts.clear()
+            found = self.parts[text] = array("I", [token.id for token in self.tokenizer.model.tokenize(text.translate(self.spelled))]).tobytes()
+        return found
 
 
 @lru_cache(maxsize=1)

@@ -47,6 +47,30 @@ def test_words_can_be_encoded_alone():
         assert b"".join(known[w] for w in text.encode().split()) == np.array(encode(text)[:-1], "<u4").tobytes()
 
 
+def test_parts_of_plain_words_have_the_ids_of_the_whole(monkeypatch):
+    encode, rnd = reference(), random.Random(2)
+    known = op.WordIds(None)
+    assert known.cuts
+    plain = [chr(c) for c in range(33, 256) if op.PLAIN.fullmatch(chr(c))]
+    others = [chr(c) for c in range(0x80, 0x250) if not op.PLAIN.fullmatch(chr(c)) and not 0xD800 <= c < 0xE000] + [*"'<\u0301ſ"]
+    words = [*plain, *others, "l'été", "É\u0301", "Straße.", "x²", "10,5%", "<|x", "İi"]
+    words += ["".join(rnd.choice(plain if rnd.random() < 0.9 else others) for _ in range(rnd.randint(1, 9))) for _ in range(5000)]
+    words = [w.encode() for w in words if len(w.encode().split()) == 1 and w.encode().split() == [w.encode()]]
+    # A word's ids stay right when what is known is forgotten in between.
+    monkeypatch.setattr(op, "MOST_KNOWN", 700)
+    for at in range(0, len(words), 500):
+        known.meet(set(words[at : at + 500]))
+        assert len(known.parts) <= 700
+        for word in words[at : at + 500]:
+            assert known[word] == np.array(encode(word.decode())[:-1], "<u4").tobytes(), word
+
+
+def test_words_that_share_parts_are_merged_once():
+    known = op.WordIds(None)
+    known.meet({b"House", b"house.", b"(house)", b"HOUSE-house", "Été".encode(), "été,".encode()})
+    assert known.parts.keys() == {"house", ".", "(", ")", "-", "été", ","}
+
+
 def test_patterns_use_each_piece_once_and_leave_little_room():
     rnd = random.Random(3)
     for count in (1, 40, 20_000):
