@@ -31,10 +31,18 @@ UNDECIDED = "und"
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
 #: Numbers, a word's score in a language each, that a task keeps: fewer words with more languages.
 MOST_SCORES = 8_000_000
+#: Bits of the hashes by which steps of the trie are found.
+HASH_BITS = 20
+HASHES = 1 << HASH_BITS
 #: Numbers that are worked on at once.
 MOST_AT_ONCE = 4_000_000
 
 
+def hashed(keys: np.ndarray) -> np.ndarray:
+    """A number below HASHES for each key of the trie."""
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+
 class Pieces:
     """The vocabulary; `missing` stands for no piece, `unknown` for a character that is no piece."""
 
@@ -56,8 +64,24 @@ class Pieces:
                     steps[nodes[piece[: end - 1]] << 21 | ord(piece[end - 1])] = nodes[piece[:end]]
         self.keys = np.array(sorted(steps), np.int64)
         self.next = np.array([steps[k] for k in self.keys.tolist()], np.int64)
+        # For each hash the place of one key that has it; the other keys are found by bisection.
+        self.places = np.zeros(HASHES, np.int32)
+        self.places[hashed(self.keys)] = np.arange(len(self.keys), dtype=np.int32)
+        self.crowded = np.zeros(HASHES, bool)
+        self.crowded[hashed(self.keys[self.places[hashed(self.keys)] != np.arange(len(self.keys))])] = True
         self.ending = np.array([self.numbers.get(prefix, self.missing) for prefix in nodes], np.int32)
 
+    def steps(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of `keys` are in the trie, and the nodes that those lead to."""
+        hashes = hashed(keys)
+        place = self.places[hashes]
+        known = self.keys[place] == keys
+        again = np.flatnonzero(~known & self.crowded[hashes])
+        if len(again):
+            place[again] = np.minimum(np.searchsorted(self.keys, keys[again]), len(self.keys) - 1)
+            known[again] = self.keys[place[again]] == keys[again]
+        return known, self.next[place[known]]
+
     def edges(self, words: list[str]) -> np.ndarray:
         """For words of one length: the piece at each start and of each length."""
         length = len(words[0])
@@ -66,10 +90,8 @@ class Pieces:
         row, start = (x.ravel() for x in np.indices(codes.shape))
         node = np.zeros(len(row), np.int64)
         for size in range(1, found.shape[2] + 1):
-            key = node << 21 | codes[row, start + size - 1]
-            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = self.keys[place] == key
-            row, start, node = row[known], start[known], self.next[place[known]]
+            known, node = self.steps(node << 21 | codes[row, start + size - 1])
+            row, start = row[known], start[known]
             found[row, start, size - 1] = self.ending[node]
             inside = start + size < length
             row, start, node = row[inside], start[inside], node[inside]
@@ -104,6 +126,12 @@ def by_length(texts: list[str], languages: int = 1, most: int = 2048) -> Iterato
             yield places[at : at + step], [texts[i] for i in places[at : at + step]]
 
 
+def usual(pieces: np.ndarray, missing: int) -> np.ndarray | slice:
+    """Where `pieces` are not missing; everything if that is most of them."""
+    rows = np.flatnonzero(pieces != missing)
+    return rows if 4 * len(rows) < len(pieces) else slice(None)
+
+
 def forward(edges: np.ndarray, chances: np.ndarray) -> np.ndarray:
     """The log of the sum over all segmentations (words, languages).
 
@@ -112,6 +140,7 @@ def forward(edges: np.ndarray, chances: np.ndarray) -> np.ndarray:
     whenever all have been replaced.
     """
     count, length, longest = edges.shape
+    by_start = np.ascontiguousarray(edges.transpose(1, 2, 0))
     held = LONGEST + 1
     sums = np.zeros((held, count, chances.shape[1]))
     logs = np.zeros((count, chances.shape[1]))
@@ -120,7 +149,9 @@ def forward(edges: np.ndarray, chances: np.ndarray) -> np.ndarray:
         now = sums[end % held]
         now[:] = 0
         for size in range(1, min(longest, end) + 1):
-            now += sums[(end - size) % held] * chances[edges[:, end - size, size - 1]]
+            piece = by_start[end - size, size - 1]
+            rows = usual(piece, len(chances) - 1)
+            now[rows] += sums[(end - size) % held][rows] * chances[piece[rows]]
         if end % LONGEST == 0:
             top = sums.max(axis=0)
             sums /= top
@@ -181,26 +212,30 @@ def expected(words: list[bytes], counts: np.ndarray, chances: np.ndarray, path:
     parts = [(text[at : at + COUNTED], n) for text, n in zip(map(marked, words), counts.tolist(), strict=True) for at in range(0, len(text), COUNTED)]
     counts = np.array([n for _, n in parts])
     for places, texts in by_length([part for part, _ in parts]):
-        edges = known.edges(texts)
-        count, length, longest = edges.shape
+        edges = np.ascontiguousarray(known.edges(texts).transpose(1, 2, 0))
+        length, longest, count = edges.shape
         # The sums of a whole part are kept, each scaled by a usual chance for a character.
-        scale = np.exp(-np.log(np.maximum(chances[edges[:, :, 0], 0], 1e-6)).mean())
-        own = chances[:, 0][edges] * scale ** np.arange(1, longest + 1)
-        sums, back = np.zeros((count, length + 1)), np.zeros((count, length + 1))
-        sums[:, 0] = back[:, length] = 1
-        for end in range(1, length + 1):
-            for size in range(1, min(longest, end) + 1):
-                sums[:, end] += sums[:, end - size] * own[:, end - size, size - 1]
-        for start in range(length - 1, -1, -1):
-            for size in range(1, min(longest, length - start) + 1):
-                back[:, start] += back[:, start + size] * own[:, start, size - 1]
-        total = sums[:, length]
+        scale = np.exp(-np.log(np.maximum(chances[edges[:, 0], 0], 1e-6)).mean())
+        own = chances[:, 0][edges] * (scale ** np.arange(1, longest + 1))[:, None]
+        there = (edges != known.missing).any(axis=2)
+        steps = [(start, size) for start in range(length) for size in range(1, min(longest, length - start) + 1) if there[start, size - 1]]
+        sums, back = np.zeros((length + 1, count)), np.zeros((length + 1, count))
+        sums[0] = back[length] = 1
+        # All that ends where a piece starts has been added up before it.
+        for start, size in steps:
+            sums[start + size] += sums[start] * own[start, size - 1]
+        for start, size in reversed(steps):
+            back[start] += back[start + size] * own[start, size - 1]
+        total = sums[length]
         usable = np.isfinite(total) & (total > 0)
         weight = np.where(usable, counts[places] / np.where(usable, total, 1), 0)
-        for size in range(1, longest + 1):
-            starts = length - size + 1
-            part = sums[:, :starts] * own[:, :starts, size - 1] * back[:, size:] * weight[:, None]
-            found += np.bincount(edges[:, :starts, size - 1].ravel(), np.nan_to_num(part).ravel(), known.size + 1)
+        for start, size in steps:
+            own[start, size - 1] *= sums[start] * back[start + size] * weight
+        met = edges != known.missing
+        shares = own[met]
+        if not np.isfinite(shares).all():
+            shares = np.nan_to_num(shares)
+        found += np.bincount(edges[met], shares, known.size + 1)
     return found[: known.size]
 
 

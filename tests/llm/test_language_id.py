@@ -55,6 +55,35 @@ def test_expected_counts_cover_each_text():
     assert np.isclose(found @ lengths, sum(n * (1 + len(w.decode())) for w, n in zip(words, (2, 1, 3), strict=True)))
 
 
+def test_steps_of_the_trie_are_those_that_bisection_finds(monkeypatch):
+    # With few hashes most keys share theirs, and go by bisection.
+    monkeypatch.setattr(op, "HASH_BITS", 8)
+    monkeypatch.setattr(op, "HASHES", 1 << 8)
+    known, rnd = op.Pieces(None), np.random.default_rng(6)
+    keys = np.concatenate((rnd.choice(known.keys, 5000), rnd.choice(known.keys, 5000) + 1, rnd.integers(0, 1 << 40, 1000), [0, 1 << 40]))
+    found, nodes = known.steps(keys)
+    place = np.minimum(np.searchsorted(known.keys, keys), len(known.keys) - 1)
+    assert (found == (known.keys[place] == keys)).all() and 0 < found.sum() < len(keys)
+    assert (nodes == known.next[place[found]]).all()
+
+
+def test_words_with_few_pieces_do_not_cost_every_length():
+    known, calls = op.pieces(None), []
+
+    class Chances(np.ndarray):
+        def __getitem__(self, at):
+            calls.append(at)
+            return np.ndarray.__getitem__(self, at)
+
+    chances = np.full((known.size + 1, 1), 1 / known.size)
+    chances[-1] = 0
+    edges = known.edges(["漢" * 30 + "字" * 2] * 8)
+    wanted = np.asarray(op.forward(edges, chances))
+    assert np.allclose(op.forward(edges, chances.view(Chances)), wanted)
+    # The characters have no piece together: one length of sixteen brings a chance.
+    assert sum(np.size(at) for at in calls) < 8 * 32 * 2
+
+
 def test_predictions(spark):
     texts = cases.odd_texts() + [(30, "Through the many houses"), (31, "zwischen schönen Bäumen"), (32, "1234 ... 99"), (33, "the " * 3000 + "x" * 3000), (34, "½ ²"), (35, "Ⅷ 7"), (36, "½ é")]
     found = op.language_id(cases.table(spark, texts), training(spark)).collect()
