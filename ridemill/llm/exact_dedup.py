@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import bodies, in_batches, parts_of, rows_of, written
+from .frames import bodies, in_batches, parts_of, rows_of, small_batches, written
 
 PRIMES = (2147483647, 2147483629)
 BASE = 1_000_003
@@ -119,14 +119,15 @@ def exact_groups(docs: DataFrame, primes: Sequence[int] = PRIMES) -> DataFrame:
     less than any other; a group with null ids only keeps its rows and has a null
     keep_id.  An empty table gives an empty result.
     """
-    rows = fingerprints(docs, primes, with_body=False).withColumn("split", F.lit(0))
-    rows = written(rows, "exact-rows")
-    while True:
-        apart = written(differing(docs, rows, primes), "exact-differing")
-        if apart.isEmpty():
-            break
-        moved = rows.join(apart.withColumn("moved", F.lit(1)), [*KEY, "text_sha256"], "left")
-        rows = written(moved.withColumn("split", F.col("split") + F.coalesce("moved", F.lit(0))).drop("moved"), "exact-rows")
+    with small_batches(docs.sparkSession):
+        rows = fingerprints(docs, primes, with_body=False).withColumn("split", F.lit(0))
+        rows = written(rows, "exact-rows")
+        while True:
+            apart = written(differing(docs, rows, primes), "exact-differing")
+            if apart.isEmpty():
+                break
+            moved = rows.join(apart.withColumn("moved", F.lit(1)), [*KEY, "text_sha256"], "left")
+            rows = written(moved.withColumn("split", F.col("split") + F.coalesce("moved", F.lit(0))).drop("moved"), "exact-rows")
     return grouped(rows).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 

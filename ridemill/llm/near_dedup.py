@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import Memo, Scratch, bodies, in_batches, rows_of, written
+from .frames import Memo, Scratch, bodies, in_batches, rows_of, small_batches, written
 from .simhash import MIX_PART, MOST_BITS, close_pairs, shingle_hashes, simhash
 
 WORDS_EACH = 5
@@ -214,7 +214,9 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     Documents without words, null texts and null ids are never similar to another.
     Rows that repeat a doc_id stay or go together.  An empty table gives an empty result.
     """
-    gone = components(near_links(docs)).where("node != root").select(F.col("node").alias("gone_id"))
+    with small_batches(docs.sparkSession):
+        links = near_links(docs)
+    gone = components(links).where("node != root").select(F.col("node").alias("gone_id"))
     # Inside a struct, columns of `docs` cannot clash with those of the join.
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"))
     return rows.join(gone, F.col("row_id") == F.col("gone_id"), "left_anti").select("row.*")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import BUCKET_ROWS, bodies, in_batches, parts_of, ranked, rows_of, written
+from .frames import BUCKET_ROWS, bodies, in_batches, parts_of, ranked, rows_of, small_batches, written
 
 CAPACITY = 2048
 #: Tokens that a class of lengths spans; a piece of the class counts as its longest.
@@ -208,7 +208,8 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, unit: int = UNIT, path: st
     """
     pieces = token_pieces(docs, capacity, path, with_ids)
     pieces = pieces.withColumn("size", F.ceil(F.col("length") / unit).cast("int"))
-    pieces = written(pieces if with_ids else pieces.drop("ids"), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = written(pieces if with_ids else pieces.drop("ids"), "pieces")
     histogram = {r["size"]: r["count"] for r in pieces.groupBy("size").count().collect()}
     slots, sequences, taken = [], 0, dict.fromkeys(histogram, 0)
     for pattern, times in patterns(histogram, -(-capacity // unit)):

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import WHITE_SPACE, Memo, bodies, in_batches, rows_of, written
+from .frames import WHITE_SPACE, Memo, bodies, in_batches, rows_of, small_batches, written
 
 LENGTH = 13
 #: Words of an anchor; each window of LENGTH words has LENGTH - ANCHOR + 1 of them.
@@ -178,9 +178,11 @@ def repeated_windows(docs: DataFrame, closer: DataFrame, length: int) -> DataFra
 
 def repeats(docs: DataFrame, length: int) -> DataFrame:
     """doc_id, `repeated` (runs) and `windows` (hashes) of documents that have any: what is to be removed from them."""
-    told = written(told_runs(docs, length), "runs")
+    with small_batches(docs.sparkSession):
+        told = written(told_runs(docs, length), "runs")
+        windows = repeated_windows(docs, told.where("NOT repeated"), length)
     whole = told.where("repeated").groupBy("doc_id").agg(F.collect_set("run").alias("repeated"))
-    return whole.join(repeated_windows(docs, told.where("NOT repeated"), length), "doc_id", "full")
+    return whole.join(windows, "doc_id", "full")
 
 
 def removed(words: list[bytes], length: int, repeated: list[int] | None, windows: list[int] | None) -> np.ndarray:
