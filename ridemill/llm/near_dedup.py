@@ -7,7 +7,9 @@ shingles are dealt into groups by their hash, a handful to each, and each of the
 first PARTS groups gets a SimHash of its own.  Similar documents have equal groups
 among these: a group of g shingles stays whole with probability 0.8 ** g.
 Documents that share a part's fingerprint, or whose whole fingerprints are linked,
-are candidates; candidates are compared exactly.
+are candidates; candidates are compared exactly.  Before their texts meet, their marks
+do: the parities of their shingles by place, in which two documents cannot differ more
+often than their sets do.  Only pairs whose marks allow the similarity are gathered.
 
 Groups may all differ, and not every pair of a bucket is compared.  So what these
 leave unconnected goes by an exact rule: of n shingles a similar document has all but
@@ -19,6 +21,7 @@ that shares such a shingle, can reach the similarity and is not connected is com
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,10 @@ PARTS = 24
 GROUP_SHINGLES = 3
 #: Counters that order the shingles: four megabytes for any input.  Equal counters cost candidates, never links.
 COUNTERS = 1 << 20
+#: Places of the least mark.
+LEAST_PLACES = 64
+#: First shingles meet in so many jobs one after the other, each with the shuffle files of its share only.
+SLICES = 2
 
 
 def part_fingerprints(hashes: np.ndarray, similarity: float) -> np.ndarray:
@@ -44,29 +51,69 @@ def part_fingerprints(hashes: np.ndarray, similarity: float) -> np.ndarray:
     The number of groups is a power of two that follows the number of shingles.  Where
     a similar document may have the next power, the groups of both are given.
     """
-    found = []
+    found = [np.empty(0, np.uint64)]
     level = max(0.0, np.log2(max(1, len(hashes)) / GROUP_SHINGLES))
     for power in {int(level), int(level - np.log2(similarity))}:
         groups = hashes & np.uint64((1 << power) - 1)
-        order = np.argsort(groups, kind="stable")
-        order = order[groups[order] < PARTS]
-        numbers, starts = np.unique(groups[order], return_index=True)
-        for number, own in zip(numbers.tolist(), np.split(hashes[order], starts[1:]), strict=True):
-            found.append((simhash(own) ^ (power * PARTS + number + 1) * MIX_PART) & 0xFFFFFFFFFFFFFFFF)
-    return np.array(found, np.uint64).view(np.int64)
+        own = np.flatnonzero(groups < PARTS)
+        if not len(own):
+            continue
+        own = own[np.argsort(groups[own], kind="stable")]
+        numbers, starts, sizes = np.unique(groups[own], return_index=True, return_counts=True)
+        # The SimHash of each group: the bits that over half of its hashes have.
+        bits = np.unpackbits(hashes[own].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        over = 2 * np.add.reduceat(bits, starts, axis=0, dtype=np.int64) > sizes[:, None]
+        codes = np.packbits(over, axis=1, bitorder="little").view(np.uint64).ravel()
+        found.append(codes ^ (numbers + np.uint64(power * PARTS + 1)) * np.uint64(MIX_PART))
+    return np.concatenate(found).view(np.int64)
+
+
+def mark(hashes: np.ndarray) -> bytes:
+    """For each place, by the low bits of the distinct `hashes`, whether an odd number of them is there.
+
+    The places are a power of two, one for each hash at least; the halves of a mark, added up, are that of half its places.
+    """
+    places = max(LEAST_PLACES, 1 << max(0, len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_be_similar(size: int, own: bytes, other_size: int, other: bytes) -> bool:
+    """Whether sets of these sizes and marks can have a similarity of SIMILARITY: never False for sets that have it."""
+    short, long = sorted((own, other), key=len)
+    folded = np.bitwise_xor.reduce(np.frombuffer(long, np.uint8).reshape(-1, len(short)), axis=0)
+    # Of what only one of the two sets has, each one changes the parity of one place.
+    apart = max(abs(size - other_size), int(np.bitwise_count(folded ^ np.frombuffer(short, np.uint8)).sum()))
+    return apart * (1 + SIMILARITY) <= (size + other_size) * (1 - SIMILARITY) + 1e-6
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint and `parts` of every document with a word and an id."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64()), ("parts", pa.list_(pa.int64()))])
+    """doc_id, fingerprint, `parts`, and number of shingles with their `mark`, of every document with a word and an id."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64()), ("parts", pa.list_(pa.int64())), ("size", pa.int32()), ("mark", pa.binary())])
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for doc_id, body in rows_of(batches):
             hashes = shingle_hashes(body, WORDS_EACH)
             if doc_id is not None and len(hashes):
-                yield doc_id, simhash(hashes), part_fingerprints(np.unique(hashes), SIMILARITY)
+                own = np.unique(hashes)
+                yield doc_id, simhash(hashes), part_fingerprints(own, SIMILARITY), len(own), mark(own)
+
+    return bodies(docs).mapInArrow(lambda b: in_batches(sketches(b), schema), "doc_id long, fingerprint long, parts array<long>, size int, mark binary")
+
+
+def possible(marks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those `pairs` (a, b: doc_ids) that may be similar by their `marks` (doc_id, size, mark)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for a, b, *sketches in rows_of(batches):
+            if may_be_similar(*sketches):
+                yield a, b
 
-    return bodies(docs).mapInArrow(lambda b: in_batches(sketches(b), schema), "doc_id long, fingerprint long, parts array<long>")
+    pairs = pairs.join(marks.select(F.col("doc_id").alias("a"), "size", "mark"), "a")
+    pairs = pairs.join(marks.select(F.col("doc_id").alias("b"), F.col("size").alias("other_size"), F.col("mark").alias("other_mark")), "b")
+    columns = pairs.select("a", "b", "size", "mark", "other_size", "other_mark")
+    return columns.mapInArrow(lambda batches: in_batches(similar(batches), schema), "a long, b long").distinct()
 
 
 def confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -157,10 +204,13 @@ def near_links(docs: DataFrame) -> DataFrame:
     whole = components(close_pairs(codes, MOST_BITS))
     whole = rows.join(whole, rows.fingerprint == whole.node, "left").select("doc_id", F.xxhash64(F.lit(0), F.coalesce("root", "fingerprint")).alias("bucket"))
     every = scratch.written(first_shingles(docs), "near-firsts")
-    firsts = scratch.written(every.join(in_several(every, "doc_id"), "bucket"), "near-firsts")
+    slices = [every.where(F.pmod("bucket", F.lit(SLICES)) == i) for i in range(SLICES)]
+    slices = [scratch.written(own.join(in_several(own, "doc_id"), "bucket"), "near-firsts") for own in slices]
+    firsts = reduce(DataFrame.unionByName, slices)
     scratch.drop(every)
     buckets = rows.select("doc_id", F.explode("parts").alias("bucket")).unionByName(whole).unionByName(firsts.select("doc_id", "bucket"))
     now = unfinished(buckets.withColumn("group", F.col("doc_id")), scratch)
+    marks = scratch.written(rows.select("doc_id", "size", "mark").join(now.select("doc_id").distinct(), "doc_id", "left_semi").distinct(), "near-marks")
     scratch.drop(rows)
     # Only texts that have a candidate are compared; they are gathered once.
     texts = scratch.written(bodies(docs).join(now.select("doc_id").distinct(), "doc_id", "left_semi"), "near-texts")
@@ -173,7 +223,9 @@ def near_links(docs: DataFrame) -> DataFrame:
         ends = (F.least(F.struct("doc_id", "group"), "one").alias("low"), F.greatest(F.struct("doc_id", "group"), "one").alias("high"))
         pairs = pairs.select(*ends).select(F.col("low.doc_id").alias("a"), F.col("high.doc_id").alias("b"), F.col("low.group").alias("ga"), F.col("high.group").alias("gb"))
         pairs = scratch.written(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        new = written(confirmed(texts, pairs.select("a", "b")), "near-links")
+        near = scratch.written(possible(marks, pairs.select("a", "b")), "near-possible")
+        new = written(confirmed(texts, near), "near-links")
+        scratch.drop(near)
         tried = tried.unionByName(pairs.select("a", "b"))
         if new.isEmpty():
             break
@@ -186,8 +238,8 @@ def near_links(docs: DataFrame) -> DataFrame:
         turn += 1
     scratch.drop(now)
     pairs, read = open_pairs(firsts, links, scratch)
-    scratch.drop(firsts)
-    rest = scratch.written(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+    scratch.drop(*slices)
+    rest = scratch.written(possible(marks, pairs.join(tried, ["a", "b"], "left_anti")), "near-pairs")
     scratch.drop(read)
     links = links.unionByName(written(confirmed(texts, rest), "near-links"))
     # What is left of the scratch are the texts and the pairs; the links are tables of their own.

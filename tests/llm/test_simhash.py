@@ -137,6 +137,51 @@ def test_near_dedup_of_short_documents(spark):
     assert sorted(r.doc_id for r in left) == wanted
 
 
+def test_fingerprints_of_parts_are_simhashes_of_groups():
+    for size in (0, 1, 2, 3, 7, 40, 300, 3000):
+        hashes = np.unique(np.random.default_rng(size).integers(0, 1 << 64, size, np.uint64))
+        wanted = []
+        level = max(0.0, np.log2(max(1, len(hashes)) / near_dedup.GROUP_SHINGLES))
+        for power in {int(level), int(level - np.log2(near_dedup.SIMILARITY))}:
+            for number in range(near_dedup.PARTS):
+                own = hashes[hashes & np.uint64((1 << power) - 1) == number]
+                if len(own):
+                    wanted.append((op.simhash(own) ^ (power * near_dedup.PARTS + number + 1) * near_dedup.MIX_PART) & 0xFFFFFFFFFFFFFFFF)
+        found = near_dedup.part_fingerprints(hashes, near_dedup.SIMILARITY).view(np.uint64)
+        assert sorted(found.tolist()) == sorted(wanted)
+
+
+def test_marks_never_part_similar_sets_and_part_most_others():
+    rnd = np.random.default_rng(4)
+    parted = others = 0
+    for size in (1, 5, 12, 63, 64, 65, 130, 700, 5000):
+        for share in (0.0, 0.3, 0.6, 0.75, 0.8, 0.82, 0.9, 1.0):
+            for _ in range(20):
+                hashes = np.unique(rnd.integers(0, 1 << 64, 2 * size, np.uint64))
+                rnd.shuffle(hashes)
+                both, rest = hashes[: round(share * size)], hashes[round(share * size) : size]
+                cut = int(rnd.integers(0, len(rest) + 1))
+                one, other = np.concatenate([both, rest[:cut]]), np.concatenate([both, rest[cut:]])
+                found = near_dedup.may_be_similar(len(one), near_dedup.mark(one), len(other), near_dedup.mark(other))
+                if len(both) >= near_dedup.SIMILARITY * size:
+                    assert found
+                elif share <= 0.6 and size >= 12:
+                    others, parted = others + 1, parted + (not found)
+    assert parted > 0.95 * others > 0
+
+
+def test_near_dedup_gathers_texts_only_of_pairs_that_may_be_similar(spark, monkeypatch):
+    """Documents that share a long passage are candidates of each other, and none is similar."""
+    passage = [f"hot{i}" for i in range(60)]
+    texts = [(i, " ".join(passage + [f"own{i}x{k}" for k in range(80)])) for i in range(60)]
+    texts += [(100 + i, f"{text} end") for i, text in texts[:5]]
+    compared, confirmed = [], near_dedup.confirmed
+    monkeypatch.setattr(near_dedup, "confirmed", lambda t, p: compared.extend(map(tuple, p.collect())) or confirmed(t, p))
+    left = near_dedup.near_dedup(cases.table(spark, texts)).collect()
+    assert sorted(r.doc_id for r in left) == near_brute(texts) == list(range(60))
+    assert sorted(compared) == [(i, 100 + i) for i in range(5)]
+
+
 def test_near_dedup_with_clashing_names_and_repeated_ids(spark):
     base = cases.prose(7, 200)
     rows = [(1, base, 1, "x"), (2, base + " more", 2, "x"), (2, base + " more", 2, "x"), (3, None, 3, None), (None, base, 4, "y")]
