@@ -1,4 +1,4 @@
-"""Rejected rows as JSON, one folder per run."""
+"""Rejected rows as compressed JSON, one folder per run."""
 
 from __future__ import annotations
 
@@ -12,7 +12,8 @@ def write_quarantine(rows: DataFrame, root: str, run_id: str, mode: str = "appen
     `mode="overwrite"` makes a repeated run leave one copy.
     """
     folder = f"{root}/{run_id}"
-    rows.write.mode(mode).json(folder)
+    # JSON repeats all names in each row: uncompressed it takes several times the batch.
+    rows.write.mode(mode).option("compression", "gzip").json(folder)
     return folder
 
 

@@ -13,6 +13,7 @@ from ridemill import fixtures as X
 from ridemill import operators as op
 from ridemill import schema as S
 from ridemill.functions import between_days, date_spine
+from ridemill.operators.lookup import unique_lookup
 from ridemill.operators.outliers import run_scope
 from ridemill.plans import ParquetTripStore, run_batch, run_silver
 from ridemill.plans.parquet_store import ACTIVE, HISTORY, RETAIN_DAYS
@@ -222,7 +223,9 @@ def announced_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = op.quarantine_rows(classified(spark, sf_dir), X.AS_OF)
+    # One row of each key: a raw row is rejected once, however often the lookups hold its keys.
+    known = (unique_lookup(d.select(key), key) for d, key in ((X.dim_routes(spark, sf_dir), "route_id"), (X.dim_vehicles(spark, sf_dir), "vehicle_id")))
+    bad = op.quarantine_rows(op.classify_trips(X.raw_trips(spark, sf_dir), *known, X.BATCH_ID, X.AS_OF), X.AS_OF)
     root = scratch_path(spark, "quarantine")
     write_quarantine(bad, root, X.BATCH_ID)
     return read_quarantine(spark, root, X.BATCH_ID, bad.schema).select(
